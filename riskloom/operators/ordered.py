@@ -4,8 +4,11 @@
 Every order-dependent quantity in the scorecard (running counts for ROC, KS,
 AP, CAP, decile positions, exact quantiles) is instead computed in two levels:
 
-1. range-partition the rows on the order key (Spark samples the bounds, as
-   for any distributed ``orderBy``) and tag each row with its bucket;
+1. bucket the rows by the order key: B-1 bounds are taken once on the driver
+   from a bounded sample of the key (as Spark's range partitioner does for a
+   distributed ``orderBy``) and each row gets its bucket from a balanced tree
+   of literal comparisons, so the buckets are the same in every consumer and
+   on every retry of a stage;
 2. running sums inside each bucket with a window partitioned by bucket, and
    bucket totals (one row per bucket) turned into offsets by a window on the
    small totals table; the offsets are joined back.
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import dbl
 
 BUCKET = "_rl_bucket"
+SAMPLES_PER_BUCKET = 64
 
 
 def _default_buckets(df: DataFrame) -> int:
@@ -33,36 +37,83 @@ def _default_buckets(df: DataFrame) -> int:
     return max(1, n)
 
 
-def running_totals(df: DataFrame, order_by: Sequence[Column], sums: Sequence[str],
+def _key_columns(order_by: Sequence[str]) -> list[Column]:
+    """"x" ascending, "-x" descending (numeric), all mapped to ascending keys."""
+    out = []
+    for k in order_by:
+        out.append(-F.col(k[1:]) if k.startswith("-") else F.col(k))
+    return out
+
+
+def _search(key: Column, bounds: list, lo: int, hi: int, types: list) -> Column:
+    """Number of bounds[lo:hi] <= key, as a balanced tree of comparisons."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    b = bounds[mid]
+    lit = F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
+    return F.when(key >= lit, _search(key, bounds, mid + 1, hi, types)).otherwise(
+        _search(key, bounds, lo, mid, types))
+
+
+def bucket_bounds(keyed: DataFrame, n_buckets: int) -> list[tuple]:
+    """B-1 ascending bounds of the struct key ``_rl_key``, from a bounded sample.
+
+    Computed once on the driver (at most SAMPLES_PER_BUCKET * B keys are
+    collected), so every consumer of the bucketed rows sees the same buckets,
+    also when a stage is recomputed after an executor loss.
+    """
+    if n_buckets <= 1:
+        return []
+    n = keyed.count()
+    want = SAMPLES_PER_BUCKET * n_buckets
+    sample = keyed if n <= want else keyed.sample(False, min(1.0, 1.2 * want / n), seed=17)
+    keys = sorted(tuple(r[0]) for r in sample.select("_rl_key").collect()
+                  if all(v is not None for v in r[0]))
+    if not keys:
+        return []
+    bounds = []
+    for i in range(1, n_buckets):
+        b = keys[min(len(keys) - 1, (i * len(keys)) // n_buckets)]
+        if not bounds or b > bounds[-1]:
+            bounds.append(b)
+    return bounds
+
+
+def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
                    partition_by: Sequence[str] = (), buckets: int | None = None,
                    prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``sums`` in ``order_by`` order per ``partition_by``.
 
-    ``order_by`` must be a total order within each partition group (aggregate
-    to distinct values or add a unique tie-breaker); ties would make the
-    running sum depend on row order, exactly as a ROWS window would.
+    ``order_by`` lists column names, "-name" for descending.  It must be a
+    total order within each partition group (aggregate to distinct values or
+    add a unique tie-breaker), as for a ROWS window.
     """
     part = list(partition_by)
-    order_by = list(order_by)
     nb = buckets or _default_buckets(df)
-    ranged = df.repartitionByRange(nb, *[F.col(c) for c in part], *order_by) \
-        .withColumn(BUCKET, F.spark_partition_id())
-
-    totals = ranged.groupBy(*part, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    keys = _key_columns(order_by)
+    fields = [F.col(c) for c in part] + keys
+    keyed = df.withColumn("_rl_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(fields)]))
+    types = [f.dataType for f in keyed.schema["_rl_key"].dataType.fields]
+    bounds = bucket_bounds(keyed, nb)
+    bucketed = keyed.withColumn(BUCKET, _search(F.col("_rl_key"), bounds, 0, len(bounds), types))
+
+    totals = bucketed.groupBy(*part, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     w_off = Window.partitionBy(*part).orderBy(BUCKET).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = totals.select(*part, BUCKET, *[
         F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sums])
 
-    w_in = Window.partitionBy(BUCKET, *part).orderBy(*order_by).rowsBetween(
+    w_in = Window.partitionBy(BUCKET, *part).orderBy(*keys).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    inner = ranged.select("*", *[F.sum(c).over(w_in).alias(f"_i_{c}") for c in sums])
-    out = inner.join(offsets, on=[*part, BUCKET], how="inner")
+    inner = bucketed.select("*", *[F.sum(c).over(w_in).alias(f"_i_{c}") for c in sums])
+    # offsets: one row per (group, bucket), bounded by the bucket count
+    out = inner.join(F.broadcast(offsets) if not part else offsets, on=[*part, BUCKET])
     return out.select(*df.columns, *[
         (F.col(f"_o_{c}") + F.col(f"_i_{c}")).alias(f"{prefix}{c}") for c in sums])
 
 
-def row_positions(df: DataFrame, order_by: Sequence[Column], partition_by: Sequence[str] = (),
+def row_positions(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
                   name: str = "rn", buckets: int | None = None) -> DataFrame:
     """1-based row number in ``order_by`` order per group, computed in two levels."""
     one = df.withColumn("_rl_one", F.lit(1).cast("bigint"))
@@ -89,7 +140,7 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     v = (base.select(*keyed, F.col(value_col).cast("double").alias("_v"))
          .where(F.col("_v").isNotNull())
          .groupBy(*keyed, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    rt = running_totals(v, [F.col("_v")], ["_c"], keyed, buckets)
+    rt = running_totals(v, ["_v"], ["_c"], keyed, buckets)
     sizes = v.groupBy(*keyed).agg(F.sum("_c").alias("_n"))
     t = (sizes.select(*keyed, "_n", F.posexplode(F.array(*[dbl(p) for p in probs]))
                       .alias("pidx", "prob"))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.expr import dbl
 from .ordered import percentiles
 
+INLINE_GROUPS_MAX = 10_000
+
 
 def cohort_column(vintage: Column, train: Sequence[str], val: Sequence[str],
                   oot_from: str) -> Column:
@@ -70,6 +72,19 @@ def impute_median(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str]
         vals = {c: (row[c] if row is not None else None) for c in cols}
         return df.withColumns({c: F.coalesce(F.col(c).cast("double"),
                                              F.lit(vals[c]).cast("double")) for c in cols})
+    if len(group_cols) == 1:
+        # few groups (periods, segments): collect the medians, checked against
+        # a bound, and look them up from a literal map - no join, one pass.
+        rows = med.limit(INLINE_GROUPS_MAX + 1).collect()
+        if len(rows) <= INLINE_GROUPS_MAX:
+            g = group_cols[0]
+            out = {}
+            for c in cols:
+                pairs = [x for r in rows if r[g] is not None and r[c] is not None
+                         for x in (F.lit(r[g]), F.lit(float(r[c])))]
+                look = F.create_map(*pairs)[F.col(g)] if pairs else F.lit(None)
+                out[c] = F.coalesce(F.col(c).cast("double"), look.cast("double"))
+            return df.withColumns(out)
     med = med.select(*group_cols, *[F.col(c).alias(f"_med_{c}") for c in cols])
     joined = df.join(med, on=list(group_cols), how="left")
     out = joined.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}"))

@@ -27,7 +27,7 @@ def score_counts(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> Da
 def cumulative(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> DataFrame:
     """Per distinct score (descending): pos, neg, tp, fp (inclusive), P, N."""
     sc = score_counts(df, group_cols, p, y)
-    cum = running_totals(sc, [F.col("score").desc()], ["pos", "neg"], group_cols)
+    cum = running_totals(sc, ["-score"], ["pos", "neg"], group_cols)
     cum = cum.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
     tot = sc.groupBy(*group_cols).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     if group_cols:
@@ -77,7 +77,7 @@ def decile_table(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key:
     (the qcut of 0..n-1).
     """
     pos = row_positions(df.select(*group_cols, p, y, key),
-                        [F.col(p).desc(), F.col(key)], group_cols)
+                        [f"-{p}", key], group_cols)
     sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
     pos = pos.join(sizes, list(group_cols)) if group_cols else pos.withColumn(
         "_n", F.lit(sizes.first()["_n"]))
@@ -100,7 +100,7 @@ def cap_curve(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key: str
     """Cumulative accuracy profile per row by descending score (ties by key)."""
     one = df.select(*group_cols, p, key, F.col(y).cast("bigint").alias("_y"))
     cum = running_totals(one.withColumn("_one", F.lit(1).cast("bigint")),
-                         [F.col(p).desc(), F.col(key)], ["_one", "_y"], group_cols)
+                         [f"-{p}", key], ["_one", "_y"], group_cols)
     tot = one.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_b"))
     cum = cum.join(tot, list(group_cols)) if group_cols else cum.withColumns(
         {k: F.lit(v) for k, v in tot.first().asDict().items()})

@@ -84,7 +84,7 @@ def level_counts(df: DataFrame, features: Sequence[str], target: str) -> DataFra
 
 def weighted_percentiles(vc: DataFrame, probs: Sequence[float]) -> DataFrame:
     """Exact percentiles per feature from a (feature, value, n) table."""
-    rt = running_totals(vc.select("feature", "value", "n"), [F.col("value")], ["n"],
+    rt = running_totals(vc.select("feature", "value", "n"), ["value"], ["n"],
                         ["feature"])
     sizes = vc.groupBy("feature").agg(F.sum("n").alias("_tot"))
     t = (sizes.select("feature", "_tot", F.posexplode(F.array(*[dbl(p) for p in probs]))

@@ -141,3 +141,76 @@ def categorical_long(features, where: str = "cohort = 'TRAIN'", src: str = "prep
 
 def scorecard_woe_ctes() -> list[str]:
     return [*edge_ctes(S.NUMERIC), categorical_long(S.CATEGORICAL), *woe_smoothed_ctes()]
+
+
+def all_rows_woe_ctes(features, categorical) -> list[str]:
+    """WoE of every loan (all cohorts) for ``features``: aw(loan_id, feature, woe)."""
+    num = [f for f in features if f not in categorical]
+    cat = [f for f in features if f in categorical]
+    out = [f"dvals AS (SELECT feature, list_sort(list(DISTINCT value)) AS vals FROM tl "
+           f"WHERE value IS NOT NULL GROUP BY feature)",
+           "cl AS (SELECT feature, level, dense_rank() OVER (PARTITION BY feature ORDER BY level) - 1"
+           " AS bin FROM (SELECT DISTINCT feature, level FROM tc))"]
+    parts = []
+    if num:
+        out.append(f"al AS ({union_long(num, 'CAST({c} AS double)', 'TRUE', extra_cols='loan_id')})")
+        out.append("""ab AS (SELECT a.loan_id, a.feature,
+              CASE WHEN e.type = 'discrete_numeric' THEN
+                     CASE WHEN list_contains(dv.vals, a.value)
+                          THEN len(list_filter(dv.vals, lambda v: v < a.value)) ELSE 0 END
+                   WHEN a.value IS NULL THEN len(e.edges)
+                   ELSE len(list_filter(e.edges, lambda x: x <= a.value)) END AS bin
+              FROM al a JOIN ed e ON a.feature = e.feature
+              LEFT JOIN dvals dv ON a.feature = dv.feature)""")
+        parts.append("SELECT ab.loan_id, ab.feature, wb.woe FROM ab JOIN wb "
+                     "ON ab.feature = wb.feature AND ab.bin = wb.bin")
+    if cat:
+        sel = "\nUNION ALL ".join(
+            f"SELECT loan_id, {q(f)} AS feature, CAST({f} AS varchar) AS level FROM prep"
+            for f in cat)
+        out.append(f"acl AS ({sel})")
+        out.append("""acb AS (SELECT a.loan_id, a.feature, coalesce(cl.bin, 0) AS bin FROM acl a
+              LEFT JOIN cl ON a.feature = cl.feature AND a.level = cl.level)""")
+        parts.append("SELECT acb.loan_id, acb.feature, wb.woe FROM acb JOIN wb "
+                     "ON acb.feature = wb.feature AND acb.bin = wb.bin")
+    out.append("aw AS (" + "\nUNION ALL ".join(parts) + ")")
+    return out
+
+
+def scored_ctes(steps: int | None = None) -> list[str]:
+    """... -> gr(loan_id, cohort, y, p, p_cal, grade) and cal(c, t)."""
+    from ..functions.expr import GRADE_EDGES, GRADE_LABELS, PROB_EPS
+    steps = steps or S.CALIBRATION_STEPS
+    feats = list(S.SCORE_WEIGHTS)
+    piv = ", ".join(f"max(CASE WHEN feature = {q(f)} THEN woe END) AS w_{f}" for f in feats)
+    z = d(S.SCORE_INTERCEPT)
+    for f, w in S.SCORE_WEIGHTS.items():
+        z = f"{z} + {d(w)} * w_{f}"
+    z = "(" + z.replace(f"{d(S.SCORE_INTERCEPT)} + ", f"{d(S.SCORE_INTERCEPT)} + ", 1) + ")"
+    # left-to-right evaluation, same association as the Spark expression
+    eps = d(PROB_EPS)
+    one_m = d(1.0 - PROB_EPS)
+    pc = f"least(greatest(p, {eps}), {one_m})"
+    out = [*scorecard_woe_ctes(), *all_rows_woe_ctes(feats, S.CATEGORICAL),
+           f"pw AS (SELECT loan_id, {piv} FROM aw GROUP BY loan_id)",
+           f"""sc AS (SELECT prep.loan_id, prep.cohort, prep.y,
+                  round(CAST(1 AS double) / (CAST(1 AS double) + exp(-{z})), 9) AS p
+                  FROM prep JOIN pw ON prep.loan_id = pw.loan_id)""",
+           f"lz AS (SELECT *, ln({pc} / (CAST(1 AS double) - {pc})) AS z FROM sc)",
+           "tg AS (SELECT avg(y) AS t FROM lz WHERE cohort = 'TRAIN')",
+           "c0 AS (SELECT CAST(0 AS double) AS c)"]
+    for i in range(1, steps + 1):
+        out.append(f"""c{i} AS (SELECT greatest(CAST(-10 AS double), least(CAST(10 AS double),
+              c - (avg(s) - t) / avg(s * (CAST(1 AS double) - s)))) AS c FROM
+              (SELECT CAST(1 AS double) / (CAST(1 AS double) + exp(-(lz.z + c{i - 1}.c))) AS s,
+                      c{i - 1}.c AS c, tg.t AS t FROM lz, c{i - 1}, tg WHERE lz.cohort = 'TRAIN')
+              GROUP BY c, t)""")
+    labels = "[" + ", ".join(q(s) for s in GRADE_LABELS) + "]"
+    edges = "[" + ", ".join(repr(float(e)) for e in GRADE_EDGES) + "]"
+    out += [f"cal AS (SELECT round(c{steps}.c, 9) AS c, tg.t AS t FROM c{steps}, tg)",
+            """pc AS (SELECT lz.loan_id, lz.cohort, lz.y, lz.p, lz.z,
+                  round(CAST(1 AS double) / (CAST(1 AS double) + exp(-(lz.z + cal.c))), 9) AS p_cal
+                  FROM lz, cal)""",
+            f"""gr AS (SELECT *, {labels}[least(len(list_filter({edges}, lambda e: e <= p_cal)),
+                  {len(GRADE_LABELS) - 1}) + 1] AS grade FROM pc)"""]
+    return out
