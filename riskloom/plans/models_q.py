@@ -1 +1,136 @@
-"""Model-fitting query keys (registered into ``queries.REGISTRY``)."""
+"""Model-fitting query keys (registered into ``queries.REGISTRY``, no SQL oracle).
+
+First pipeline: L2 / L1 logistic on the WoE of IV-selected features, fitted
+on TRAIN.  Second pipeline: IV screen (floor convention), VIF removal, scaled
+features, stratified folds, greedy forward search, boosted trees.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.expr import IV_THRESHOLD, r6
+from ..operators import models as M
+from ..operators import prep as P
+from ..operators import woe as W
+from ..operators.selection import stratified_folds, vif_elimination
+from . import scorecard as S
+from .queries import N_FOLDS, FOLD_SEED, register, rounded
+
+L1_C = 0.1
+VIF_THRESHOLD = 10.0
+MAX_FEATURES = 10
+ALPHA = 0.5
+# tree settings of the second pipeline (search / final)
+TREE_SEARCH = {"max_iter": 100, "max_depth": 4, "step": 0.05, "subsample": 0.8,
+               "col_sample": "0.8"}
+TREE_FINAL = {**TREE_SEARCH, "max_iter": 300}
+POS_WEIGHTS = [1, 5, 10, 20, 40, 60]
+TUNE_FOLDS = 3
+
+
+def _woe_design(spark: SparkSession, sf: str):
+    prep = S.prepared_loans(spark, sf)
+    enc = S.fit_scorecard_encoder(prep)
+    feats = [f for f, fb in sorted(enc.bins.items(), key=lambda kv: -kv[1].iv)
+             if fb.iv >= IV_THRESHOLD]
+    wide = W.transform(prep, enc, feats, keep=["loan_id", "cohort", "y"])
+    cols = [f"woe_{f}" for f in feats]
+    return wide, cols, feats, enc
+
+
+def _fit(spark, sf, penalty="l2", C=1.0):
+    wide, cols, feats, enc = _woe_design(spark, sf)
+    train = wide.where(F.col("cohort") == "TRAIN")
+    model = M.logistic(train, cols, "y", C=C, penalty=penalty)
+    return model, wide, cols, feats, enc
+
+
+def _coef_frame(spark, model, feats):
+    rows = [(f if f == "(intercept)" else f, c) for f, c in
+            M.coefficients(model, feats)]
+    return spark.createDataFrame(rows, "feature string, coef double")
+
+
+@register("logit_l2")
+def q_logit_l2(spark, sf):
+    """L2 logistic, C = 1, on TRAIN WoE (coefficients and intercept)."""
+    model, wide, cols, feats, enc = _fit(spark, sf)
+    return rounded(_coef_frame(spark, model, feats), ["coef"])
+
+
+@register("logit_l1")
+def q_logit_l1(spark, sf):
+    """L1 logistic, C = 0.1 (the shrinkage stress test)."""
+    model, wide, cols, feats, enc = _fit(spark, sf, "l1", L1_C)
+    return rounded(_coef_frame(spark, model, feats), ["coef"])
+
+
+@register("l1_zeroed")
+def q_l1_zeroed(spark, sf):
+    """Features the L1 fit sets to exactly zero (may be none)."""
+    model, wide, cols, feats, enc = _fit(spark, sf, "l1", L1_C)
+    return _coef_frame(spark, model, feats).where(
+        (F.col("feature") != "(intercept)") & (F.col("coef") == 0)).select("feature")
+
+
+@register("score_model")
+def q_score_model(spark, sf):
+    """Class-1 probability of the L2 model for every loan."""
+    model, wide, cols, feats, enc = _fit(spark, sf)
+    out = M.predict_proba(model, wide, cols, ["loan_id", "cohort", "y"])
+    return rounded(out, ["p"])
+
+
+@register("coef_table")
+def q_coef_table(spark, sf):
+    """Model weights beside IV, ranked by IV (first pipeline's coefficient file)."""
+    model, wide, cols, feats, enc = _fit(spark, sf)
+    coefs = _coef_frame(spark, model, feats).where(F.col("feature") != "(intercept)")
+    iv = enc.iv_frame().select("feature", "iv")
+    return rounded(coefs.join(iv, "feature").select(
+        "feature", F.col("coef").alias("coef_woe"), "iv",
+        F.abs("coef").alias("abs_coef")), ["coef_woe", "iv", "abs_coef"])
+
+
+# ---------------------------------------------------------------------------
+# Second pipeline
+# ---------------------------------------------------------------------------
+
+def second_pipeline_pool(spark: SparkSession, sf: str):
+    """IV screen (floor convention, deciles, >= 0.02) then VIF removal on TRAIN."""
+    prep = S.prepared_loans(spark, sf)
+    train = S.train_rows(prep)
+    enc = S.fit_scorecard_encoder(prep, convention="floor", closed="right", numeric=S.NUMERIC,
+                                  categorical=[], discrete_max=0)
+    ranked = sorted(enc.bins.values(), key=lambda fb: (-fb.iv, fb.feature))
+    selected = [fb.feature for fb in ranked if fb.iv >= IV_THRESHOLD]
+    kept, removed = vif_elimination(train, selected, VIF_THRESHOLD)
+    return prep, train, selected, kept, removed
+
+
+@register("vif_select")
+def q_vif_select(spark, sf):
+    """Iterative removal of the highest VIF above 10 (one correlation job)."""
+    prep, train, selected, kept, removed = second_pipeline_pool(spark, sf)
+    rows = [(f, "kept", None, None) for f in kept] + [
+        (f, "removed", step, v) for step, f, v in removed]
+    out = spark.createDataFrame(rows, "feature string, status string, step int, vif double")
+    return rounded(out, ["vif"])
+
+
+def _scaled_folds(spark, sf):
+    prep, train, selected, kept, removed = second_pipeline_pool(spark, sf)
+    scaled = P.standardize(train.select("loan_id", "y", *kept), kept, population=True)
+    folds = stratified_folds(scaled, "y", "loan_id", N_FOLDS, FOLD_SEED)
+    return folds, kept, prep
+
+
+@register("forward_logit")
+def q_forward_logit(spark, sf):
+    """Greedy forward search (10 steps, 5 folds, 0.5 Gini + 0.5 Brier skill)."""
+    data, pool, _ = _scaled_folds(spark, sf)
+    steps = M.forward_logistic(data, pool, MAX_FEATURES, N_FOLDS, 1.0, ALPHA)
+    out = spark.createDataFrame(steps, "step int, feature string, cv_score double")
+    return rounded(out, ["cv_score"])

@@ -677,3 +677,99 @@ def q_calibrate_offset(spark, sf):
     tr = cal.where(F.col("cohort") == "TRAIN").agg(F.avg(F.col("y").cast("double"))).first()[0]
     t = t.withColumn("offset", dbl(offset)).withColumn("target", dbl(tr))
     return rounded(t, ["base_rate", "mean_p", "mean_p_cal", "offset", "target"])
+
+
+# ---------------------------------------------------------------------------
+# Step 7 (SQL-checkable part): folds and variance inflation
+# ---------------------------------------------------------------------------
+
+N_FOLDS = 5
+FOLD_SEED = 42
+
+
+@register("stratified_folds", lambda: O.base() + f"""
+SELECT loan_id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY (loan_id * 7919 + {FOLD_SEED}) % 10007, loan_id) - 1) % {N_FOLDS} AS INTEGER) AS fold
+FROM prep WHERE cohort = 'TRAIN'""")
+def q_stratified_folds(spark, sf):
+    from ..operators.selection import stratified_folds
+    tr = S.train_rows(S.prepared_loans(spark, sf))
+    return stratified_folds(tr.select("loan_id", "y"), "y", "loan_id", N_FOLDS, FOLD_SEED)
+
+
+VIF_FEATURES = ["loan_amount", "avg_qty", "qty_x_lines"]
+
+
+def _vif_sql():
+    return O.base("""vx AS (SELECT loan_amount AS a, avg_qty AS b, avg_qty * n_lines AS c FROM prep
+        WHERE cohort = 'TRAIN')""", """vc AS (SELECT corr(a, b) AS r12, corr(a, c) AS r13, corr(b, c) AS r23 FROM vx)""",
+                  """vd AS (SELECT *, 1 - r12 * r12 - r13 * r13 - r23 * r23 + 2 * r12 * r13 * r23 AS det FROM vc)""") + """
+SELECT 'loan_amount' AS feature, round((1 - r23 * r23) / det, 6) AS vif FROM vd
+UNION ALL SELECT 'avg_qty', round((1 - r13 * r13) / det, 6) FROM vd
+UNION ALL SELECT 'qty_x_lines', round((1 - r12 * r12) / det, 6) FROM vd"""
+
+
+@register("vif", _vif_sql)
+def q_vif(spark, sf):
+    """VIF = diagonal of the inverse correlation matrix (one correlation job)."""
+    from ..operators.selection import vif_table
+    tr = S.train_rows(S.prepared_loans(spark, sf)).withColumn(
+        "qty_x_lines", F.col("avg_qty") * F.col("n_lines"))
+    return rounded(vif_table(tr, VIF_FEATURES), ["vif"])
+
+
+# ---------------------------------------------------------------------------
+# Step 9: sinks and sources (round trips through the shared folder)
+# ---------------------------------------------------------------------------
+
+LOAN_SCHEMA = ("loan_id bigint, vintage string, loan_amount double, acctbal double, "
+               "segment string, priority string, n_lines bigint, avg_qty double, "
+               "max_disc double, avg_tax double, n_returns bigint, y int")
+
+
+@register("scan_csv", lambda: O.base(prep=False) + f"\nSELECT {LOAN_COLS} FROM loan")
+def q_scan_csv(spark, sf):
+    """Write the loans as ';'-separated text with a header, scan them back."""
+    from ..session import scratch_path
+    from ..sources.files import read_csv, write_csv
+    path = write_csv(loan_view(spark, sf), scratch_path(spark, "loans_csv"))
+    return read_csv(spark, path, LOAN_SCHEMA)
+
+
+@register("write_read_table", lambda: O.base() + f"""
+SELECT loan_id, vintage, round(acctbal, 6) AS acctbal, loan_to_income, y FROM prep
+WHERE vintage IN {O.in_list(S.TRAIN_VINTAGES)}""")
+def q_write_read_table(spark, sf):
+    """Replace a vintage-partitioned table, read TRAIN back (partition pruning)."""
+    from ..session import scratch_path
+    from ..sources.files import read_table, write_table
+    prep = S.prepared_loans(spark, sf).select("loan_id", "vintage", "acctbal",
+                                               "loan_to_income", "y")
+    path = write_table(prep, scratch_path(spark, "loans_pq"), ["vintage"])
+    back = read_table(spark, path).where(F.col("vintage").isin(S.TRAIN_VINTAGES))
+    return rounded(back.select("loan_id", "vintage", "acctbal", "loan_to_income", "y"),
+                   ["acctbal"])
+
+
+METRICS_SCHEMA = ("cohort string, metrics struct<auc: double, gini: double, ks: double, "
+                  "log_loss: double, brier: double, ap: double>")
+
+
+@register("metrics_json", lambda: O.base(*O.scored_ctes(), *RANK_CTES, LOSS_CTE) + """
+SELECT rs.cohort, round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini, round(ks, 6) AS ks,
+       round(log_loss, 6) AS log_loss, round(brier, 6) AS brier, round(ap, 6) AS ap
+FROM rs JOIN ls ON rs.cohort = ls.cohort""")
+def q_metrics_json(spark, sf):
+    """Nested metrics per split written as JSON and read back with its schema."""
+    from ..operators.calibration import prob_losses
+    from ..operators.rank_metrics import cumulative, rank_summary
+    from ..session import scratch_path
+    from ..sources.files import read_json, write_json
+    cal = _cal(spark, sf)
+    rk = rank_summary(cumulative(cal, ["cohort"], "p_cal", "y"), ["cohort"])
+    ls = prob_losses(cal, ["cohort"], "p_cal", "y")
+    nested = rk.join(ls, "cohort").select("cohort", F.struct(
+        "auc", "gini", "ks", "log_loss", "brier", "ap").alias("metrics"))
+    path = write_json(nested, scratch_path(spark, "metrics_json"))
+    back = read_json(spark, path, METRICS_SCHEMA)
+    m = ["auc", "gini", "ks", "log_loss", "brier", "ap"]
+    return rounded(back.select("cohort", *[F.col(f"metrics.{c}").alias(c) for c in m]), m)
