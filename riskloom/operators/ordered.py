@@ -25,16 +25,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.expr import dbl
 
 BUCKET = "_rl_bucket"
-SAMPLES_PER_BUCKET = 64
+ROWS_PER_BUCKET = 2_000_000  # rows one window task handles comfortably
+MAX_BUCKETS = 100_000
+SAMPLE_MAX = 1_000_000  # keys collected to pick the bucket bounds
 
 
-def _default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, n)
+def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets grow with the data: ~rows_per_bucket rows each, at most MAX_BUCKETS."""
+    return int(max(1, min(MAX_BUCKETS, -(-int(n_rows) // rows_per_bucket))))
 
 
 def _key_columns(order_by: Sequence[str]) -> list[Column]:
@@ -56,17 +59,16 @@ def _search(key: Column, bounds: list, lo: int, hi: int, types: list) -> Column:
         _search(key, bounds, lo, mid, types))
 
 
-def bucket_bounds(keyed: DataFrame, n_buckets: int) -> list[tuple]:
+def bucket_bounds(keyed: DataFrame, n_buckets: int, n_rows: int | None = None) -> list[tuple]:
     """B-1 ascending bounds of the struct key ``_rl_key``, from a bounded sample.
 
-    Computed once on the driver (at most SAMPLES_PER_BUCKET * B keys are
-    collected), so every consumer of the bucketed rows sees the same buckets,
+    Computed once on the driver (at most SAMPLE_MAX keys are collected), so every consumer of the bucketed rows sees the same buckets,
     also when a stage is recomputed after an executor loss.
     """
     if n_buckets <= 1:
         return []
-    n = keyed.count()
-    want = SAMPLES_PER_BUCKET * n_buckets
+    n = keyed.count() if n_rows is None else n_rows
+    want = min(SAMPLE_MAX, max(10, SAMPLE_MAX // n_buckets) * n_buckets)
     sample = keyed if n <= want else keyed.sample(False, min(1.0, 1.2 * want / n), seed=17)
     keys = sorted(tuple(r[0]) for r in sample.select("_rl_key").collect()
                   if all(v is not None for v in r[0]))
@@ -82,20 +84,29 @@ def bucket_bounds(keyed: DataFrame, n_buckets: int) -> list[tuple]:
 
 def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
                    partition_by: Sequence[str] = (), buckets: int | None = None,
-                   prefix: str = "cum_") -> DataFrame:
+                   prefix: str = "cum_", n_rows: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sums`` in ``order_by`` order per ``partition_by``.
 
     ``order_by`` lists column names, "-name" for descending.  It must be a
     total order within each partition group (aggregate to distinct values or
-    add a unique tie-breaker), as for a ROWS window.
+    add a unique tie-breaker), as for a ROWS window.  ``n_rows`` (an upper
+    bound of the row count, when the caller knows it) saves a counting job.
     """
     part = list(partition_by)
-    nb = buckets or _default_buckets(df)
+    if buckets is None:
+        n_rows = df.count() if n_rows is None else n_rows
+        buckets = bucket_count(n_rows)
+    nb = buckets
     keys = _key_columns(order_by)
+    if nb <= 1:
+        # everything fits one bucket (<= ROWS_PER_BUCKET rows): plain window
+        w = Window.partitionBy(*part).orderBy(*keys).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        return df.select(*df.columns, *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sums])
     fields = [F.col(c) for c in part] + keys
     keyed = df.withColumn("_rl_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(fields)]))
     types = [f.dataType for f in keyed.schema["_rl_key"].dataType.fields]
-    bounds = bucket_bounds(keyed, nb)
+    bounds = bucket_bounds(keyed, nb, n_rows)
     bucketed = keyed.withColumn(BUCKET, _search(F.col("_rl_key"), bounds, 0, len(bounds), types))
 
     totals = bucketed.groupBy(*part, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
@@ -114,51 +125,100 @@ def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
 
 
 def row_positions(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
-                  name: str = "rn", buckets: int | None = None) -> DataFrame:
+                  name: str = "rn", buckets: int | None = None,
+                  n_rows: int | None = None) -> DataFrame:
     """1-based row number in ``order_by`` order per group, computed in two levels."""
     one = df.withColumn("_rl_one", F.lit(1).cast("bigint"))
-    out = running_totals(one, order_by, ["_rl_one"], partition_by, buckets, prefix="_rl_cum")
+    out = running_totals(one, order_by, ["_rl_one"], partition_by, buckets, prefix="_rl_cum",
+                         n_rows=n_rows)
     return out.withColumnRenamed("_rl_cum_rl_one", name).drop("_rl_one")
 
 
-def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      probs: Sequence[float], buckets: int | None = None) -> DataFrame:
-    """Exact linear-interpolated percentiles per group, distributed.
+GROUPS_MAX = 100_000
+
+
+def _targets(spark, keyed: Sequence[str], sizes: list, probs: Sequence[float]):
+    """Order-statistic targets per group from collected sizes (small)."""
+    rows = []
+    for r in sizes:
+        n = r["_n"]
+        for i, p in enumerate(probs):
+            h = (n - 1) * float(p)
+            lo = int(h // 1)
+            hi = lo if h == lo else lo + 1
+            rows.append((*[r[c] for c in keyed], i, float(p), float(h), lo, hi))
+    return rows
+
+
+def exact_percentile_rows(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                          probs: Sequence[float], buckets: int | None = None,
+                          weight_col: str | None = None) -> list:
+    """Exact linear-interpolated percentiles per group, distributed; collected.
 
     Same definition as numpy ``quantile`` / DuckDB ``quantile_cont`` / Spark
     ``percentile``: with n non-null values sorted, h = (n - 1) * p and the
     result is v[floor h] + (v[ceil h] - v[floor h]) * (h - floor h).
 
-    Values are first collapsed to (group, value, count), so a value repeated in
-    a third of the rows is a single row; the order statistics are then found
-    from two-level running counts.  Unlike ``percentile`` nothing keeps a
-    whole group's value map in one task.  Output: group_cols, pidx, prob, q.
+    Values are first collapsed to (group, value, count) (``weight_col`` when
+    the input is already such a table), so a value repeated in a third of the
+    rows is a single row; the order statistics are then found from two-level
+    running counts.  Unlike ``percentile`` nothing keeps a whole group's value
+    map in one task.  The result has one row per (group, prob): group_cols,
+    pidx, prob, q.  The number of groups is checked against ``GROUPS_MAX``.
     """
+    spark = df.sparkSession
     groups = list(group_cols)
     keyed = groups or ["_rl_g"]
     base = df if groups else df.withColumn("_rl_g", F.lit(0))
-    v = (base.select(*keyed, F.col(value_col).cast("double").alias("_v"))
+    cnt = F.sum(weight_col) if weight_col else F.count(F.lit(1))
+    v = (base.select(*keyed, F.col(value_col).cast("double").alias("_v"),
+                     *([weight_col] if weight_col else []))
          .where(F.col("_v").isNotNull())
-         .groupBy(*keyed, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    rt = running_totals(v, ["_v"], ["_c"], keyed, buckets)
-    sizes = v.groupBy(*keyed).agg(F.sum("_c").alias("_n"))
-    t = (sizes.select(*keyed, "_n", F.posexplode(F.array(*[dbl(p) for p in probs]))
-                      .alias("pidx", "prob"))
-         .withColumn("_h", (F.col("_n") - 1).cast("double") * F.col("prob"))
-         .withColumn("_klo", F.floor("_h"))
-         .withColumn("_khi", F.ceil("_h")))
-    ks = t.select(*[F.col(c).alias(f"_kk_{c}") for c in keyed],
-                  F.explode(F.array("_klo", "_khi")).alias("_k")).distinct()
-    cond = [F.col(c) == F.col(f"_kk_{c}") for c in keyed] + [
-        (F.col("cum__c") - F.col("_c")) <= F.col("_k"), F.col("_k") < F.col("cum__c")]
-    hits = rt.join(ks, cond, "inner").select(*keyed, "_k", "_v")
-    lo = hits.select(*keyed, F.col("_k").alias("_klo"), F.col("_v").alias("_vlo"))
-    hi = hits.select(*keyed, F.col("_k").alias("_khi"), F.col("_v").alias("_vhi"))
-    res = (t.join(lo, [*keyed, "_klo"]).join(hi, [*keyed, "_khi"])
-           .select(*keyed, "pidx", "prob",
-                   (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo"))
-                    * (F.col("_h") - F.col("_klo"))).alias("q")))
-    return res if groups else res.drop("_rl_g")
+         .groupBy(*keyed, "_v").agg(cnt.cast("bigint").alias("_c")))
+    v = v.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sizes = v.groupBy(*keyed).agg(F.sum("_c").alias("_n"),
+                                      F.count(F.lit(1)).alias("_d")).limit(GROUPS_MAX + 1).collect()
+        if len(sizes) > GROUPS_MAX:
+            raise ValueError(f"more than {GROUPS_MAX} groups for exact percentiles")
+        if not sizes:
+            return []
+        n_distinct = sum(r["_d"] for r in sizes)
+        rt = running_totals(v, ["_v"], ["_c"], keyed, buckets, n_rows=n_distinct)
+        types = {f.name: f.dataType.simpleString() for f in v.schema.fields}
+        schema = ", ".join(f"`{c}` {types[c]}" for c in keyed) + \
+            ", pidx int, prob double, _h double, _klo bigint, _khi bigint"
+        targets = _targets(spark, keyed, sizes, probs)
+        t = spark.createDataFrame(targets, schema)
+        ks = t.select(*[F.col(c).alias(f"_kk_{c}") for c in keyed],
+                      F.explode(F.array("_klo", "_khi")).alias("_k")).distinct()
+        cond = [F.col(c).eqNullSafe(F.col(f"_kk_{c}")) for c in keyed] + [
+            (F.col("cum__c") - F.col("_c")) <= F.col("_k"), F.col("_k") < F.col("cum__c")]
+        # targets: (groups x probs x 2) rows, bounded by GROUPS_MAX above; the
+        # hits are as many, collected and interpolated on the driver
+        hits = rt.join(F.broadcast(ks), cond, "inner").select(*keyed, "_k", "_v").collect()
+        at = {(tuple(r[c] for c in keyed), r["_k"]): r["_v"] for r in hits}
+        out = []
+        for tr in targets:
+            g = tuple(tr[:len(keyed)])
+            i, p, h, klo, khi = tr[len(keyed):]
+            lo, hi = at.get((g, klo)), at.get((g, khi))
+            q = None if lo is None or hi is None else lo + (hi - lo) * (h - klo)
+            out.append((*(g if groups else ()), i, p, q))
+        return out
+    finally:
+        v.unpersist()
+
+
+def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                      probs: Sequence[float], buckets: int | None = None) -> DataFrame:
+    """``exact_percentile_rows`` as a small DataFrame (group_cols, pidx, prob, q)."""
+    spark = df.sparkSession
+    rows = exact_percentile_rows(df, group_cols, value_col, probs, buckets)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join(f"`{c}` {types[c]}" for c in group_cols) + \
+        (", " if group_cols else "") + "pidx int, prob double, q double"
+    return spark.createDataFrame(rows, schema)
 
 
 def approx_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,

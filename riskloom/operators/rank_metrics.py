@@ -24,17 +24,31 @@ def score_counts(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> Da
         F.sum(yy).alias("pos"), F.sum(F.lit(1) - yy).alias("neg"))
 
 
+GROUPS_MAX = 100_000
+
+
+def group_totals(df: DataFrame, group_cols: Sequence[str], aggs) -> DataFrame:
+    """Collect a per-group aggregate (checked bound) back as a small DataFrame."""
+    t = df.groupBy(*group_cols).agg(*aggs)
+    rows = t.limit(GROUPS_MAX + 1).collect()
+    if len(rows) > GROUPS_MAX:
+        raise ValueError(f"more than {GROUPS_MAX} groups")
+    return df.sparkSession.createDataFrame([tuple(r) for r in rows], t.schema)
+
+
 def cumulative(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> DataFrame:
     """Per distinct score (descending): pos, neg, tp, fp (inclusive), P, N."""
     sc = score_counts(df, group_cols, p, y)
-    cum = running_totals(sc, ["-score"], ["pos", "neg"], group_cols)
+    keys = list(group_cols) or ["_rl_g"]
+    if not group_cols:
+        sc = sc.withColumn("_rl_g", F.lit(0))
+    tot = group_totals(sc, keys, [F.sum("pos").cast("bigint").alias("P"),
+                                  F.sum("neg").cast("bigint").alias("N")])
+    n_rows = sum((r["P"] or 0) + (r["N"] or 0) for r in tot.collect())
+    cum = running_totals(sc, ["-score"], ["pos", "neg"], keys, n_rows=n_rows)
     cum = cum.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
-    tot = sc.groupBy(*group_cols).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    if group_cols:
-        return cum.join(tot, list(group_cols))
-    row = tot.first()
-    return cum.withColumns({"P": F.lit(row["P"] if row else 0).cast("bigint"),
-                            "N": F.lit(row["N"] if row else 0).cast("bigint")})
+    out = cum.join(F.broadcast(tot), keys)
+    return out if group_cols else out.drop("_rl_g")
 
 
 def _ratio(a, b):
@@ -76,34 +90,39 @@ def decile_table(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key:
     decile = ceil(10 (rn - 1) / (n - 1)), at least 1, in integer arithmetic
     (the qcut of 0..n-1).
     """
-    pos = row_positions(df.select(*group_cols, p, y, key),
-                        [f"-{p}", key], group_cols)
-    sizes = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-    pos = pos.join(sizes, list(group_cols)) if group_cols else pos.withColumn(
-        "_n", F.lit(sizes.first()["_n"]))
+    keys = list(group_cols) or ["_rl_g"]
+    base = df if group_cols else df.withColumn("_rl_g", F.lit(0))
+    sizes = group_totals(base, keys, [F.count(F.lit(1)).alias("_n")])
+    n_rows = sum(r["_n"] for r in sizes.collect())
+    pos = row_positions(base.select(*keys, p, y, key), [f"-{p}", key], keys, n_rows=n_rows)
+    pos = pos.join(F.broadcast(sizes), keys)
     r0 = F.col("rn") - 1
     nm1 = F.col("_n") - 1
     dec = F.when(r0 == 0, F.lit(1)).otherwise(
         F.floor((r0 * n_groups + nm1 - 1) / nm1)).cast("int")
-    t = pos.withColumn("decile", dec).groupBy(*group_cols, "decile").agg(
+    t = pos.withColumn("decile", dec).groupBy(*keys, "decile").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("bigint")).alias("defaults"))
-    w = Window.partitionBy(*group_cols).orderBy("decile").rowsBetween(
+    # windows over the gain table itself: at most n_groups rows per group
+    w = Window.partitionBy(*keys).orderBy("decile").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    wt = Window.partitionBy(*group_cols)
-    return (t.withColumn("default_rate", F.col("defaults") / F.col("n"))
-            .withColumn("cum_defaults", F.sum("defaults").over(w))
-            .withColumn("cum_capture_rate",
-                        _ratio(F.col("cum_defaults"), F.sum("defaults").over(wt))))
+    wt = Window.partitionBy(*keys)
+    out = (t.withColumn("default_rate", F.col("defaults") / F.col("n"))
+           .withColumn("cum_defaults", F.sum("defaults").over(w))
+           .withColumn("cum_capture_rate",
+                       _ratio(F.col("cum_defaults"), F.sum("defaults").over(wt))))
+    return out if group_cols else out.drop("_rl_g")
 
 
 def cap_curve(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key: str) -> DataFrame:
     """Cumulative accuracy profile per row by descending score (ties by key)."""
-    one = df.select(*group_cols, p, key, F.col(y).cast("bigint").alias("_y"))
+    keys = list(group_cols) or ["_rl_g"]
+    base = df if group_cols else df.withColumn("_rl_g", F.lit(0))
+    one = base.select(*keys, p, key, F.col(y).cast("bigint").alias("_y"))
+    tot = group_totals(one, keys, [F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_b")])
+    n_rows = sum(r["_n"] for r in tot.collect())
     cum = running_totals(one.withColumn("_one", F.lit(1).cast("bigint")),
-                         [f"-{p}", key], ["_one", "_y"], group_cols)
-    tot = one.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_b"))
-    cum = cum.join(tot, list(group_cols)) if group_cols else cum.withColumns(
-        {k: F.lit(v) for k, v in tot.first().asDict().items()})
+                         [f"-{p}", key], ["_one", "_y"], keys, n_rows=n_rows)
+    cum = cum.join(F.broadcast(tot), keys)
     pop = F.col("cum__one") / F.col("_n")
     return cum.select(*group_cols, key, F.col("cum__one").alias("rn"), pop.alias("cum_pop"),
                       _ratio(F.col("cum__y"), F.col("_b")).alias("cum_capture"),

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.expr import count_le, count_lt, dbl
-from .ordered import exact_percentiles, running_totals
+from .ordered import exact_percentile_rows
 
 DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 EDGE_DECIMALS = 9
@@ -84,24 +84,9 @@ def level_counts(df: DataFrame, features: Sequence[str], target: str) -> DataFra
 
 def weighted_percentiles(vc: DataFrame, probs: Sequence[float]) -> DataFrame:
     """Exact percentiles per feature from a (feature, value, n) table."""
-    rt = running_totals(vc.select("feature", "value", "n"), ["value"], ["n"],
-                        ["feature"])
-    sizes = vc.groupBy("feature").agg(F.sum("n").alias("_tot"))
-    t = (sizes.select("feature", "_tot", F.posexplode(F.array(*[dbl(p) for p in probs]))
-                      .alias("pidx", "prob"))
-         .withColumn("_h", (F.col("_tot") - 1).cast("double") * F.col("prob"))
-         .withColumn("_klo", F.floor("_h")).withColumn("_khi", F.ceil("_h")))
-    ks = t.select(F.col("feature").alias("_kf"),
-                  F.explode(F.array("_klo", "_khi")).alias("_k")).distinct()
-    hits = rt.join(ks, (F.col("feature") == F.col("_kf"))
-                   & ((F.col("cum_n") - F.col("n")) <= F.col("_k"))
-                   & (F.col("_k") < F.col("cum_n"))).select("feature", "_k", "value")
-    lo = hits.select("feature", F.col("_k").alias("_klo"), F.col("value").alias("_vlo"))
-    hi = hits.select("feature", F.col("_k").alias("_khi"), F.col("value").alias("_vhi"))
-    return (t.join(lo, ["feature", "_klo"]).join(hi, ["feature", "_khi"])
-            .select("feature", "pidx", "prob",
-                    (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo"))
-                     * (F.col("_h") - F.col("_klo"))).alias("q")))
+    rows = exact_percentile_rows(vc.select("feature", "value", "n"), ["feature"], "value",
+                                 probs, weight_col="n")
+    return vc.sparkSession.createDataFrame(rows, "feature string, pidx int, prob double, q double")
 
 
 def inner_edges(quantiles: DataFrame, vc: DataFrame) -> dict[str, list[float]]:

@@ -16,6 +16,7 @@ from ..functions.expr import annuity, clip_lower, dbl, grade_label, logit, sigmo
 from ..operators import woe as W
 from ..operators.calibration import newton_offset
 from ..operators.prep import cohort_column, impute_constant, impute_median, missing_flags
+from ..session import materialize
 from ..sources.tables import loan_view
 
 # Stand-in configuration (FIXTURES.md section 4).
@@ -65,8 +66,18 @@ def with_cohort(df: DataFrame) -> DataFrame:
     })
 
 
-def prepared_loans(spark: SparkSession, sf_dir: str, exact: bool = True) -> DataFrame:
-    df = with_cohort(loan_view(spark, sf_dir))
+def prepared_loans(spark: SparkSession, sf_dir: str, exact: bool = True,
+                   materialized: bool = True) -> DataFrame:
+    """Flags, per-vintage median imputation and derived features.
+
+    The loan table is written once to the shared folder (``materialized``) so
+    the median, edge, WoE and calibration actions that follow re-read it
+    instead of re-joining the source tables each time.
+    """
+    loan = loan_view(spark, sf_dir)
+    if materialized:
+        loan = materialize(loan, "loan")
+    df = with_cohort(loan)
     df = missing_flags(df, FLAGS)
     df = impute_median(df, MEDIAN_IMPUTED, ["vintage"], exact=exact)
     df = impute_constant(df, CONSTANT_IMPUTED)

@@ -86,10 +86,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet in the shared folder and read it back.
+
+    Used once per pipeline for the derived loan table, which every fit action
+    re-reads: later passes scan a columnar copy (pruned to the columns they
+    need) instead of recomputing the joins over the source tables, and the
+    copy survives executor loss.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so pandas/duckdb helpers in tests can read it."""
     return path[5:] if path.startswith("file:") else path
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage",
-           "local_path", "DEFAULT_CONF", "os"]
+           "materialize", "local_path", "DEFAULT_CONF", "os"]
