@@ -66,7 +66,7 @@ def predict_proba(model, df: DataFrame, features: Sequence[str], keep: Sequence[
 
 def gbt(df: DataFrame, features: Sequence[str], label: str = "y", max_iter: int = 100,
         max_depth: int = 4, step: float = 0.05, subsample: float = 0.8,
-        col_sample: str = "0.8", pos_weight: float = 1.0, seed: int = 42):
+        col_sample: str = "0.8", pos_weight: float = 1.0, seed: int = 42, max_bins: int = 32):
     """Boosted trees (first-order, per-node column sampling); ``pos_weight``
     weights class 1 like ``scale_pos_weight``."""
     data = assemble(df.withColumn("_rl_w", F.when(F.col(label) == 1, dbl(pos_weight))
@@ -74,7 +74,8 @@ def gbt(df: DataFrame, features: Sequence[str], label: str = "y", max_iter: int
                     [F.col(label).cast("double").alias("_rl_label"), "_rl_w"])
     est = GBTClassifier(featuresCol=FEATURES_COL, labelCol="_rl_label", weightCol="_rl_w",
                         maxIter=max_iter, maxDepth=max_depth, stepSize=step,
-                        subsamplingRate=subsample, featureSubsetStrategy=col_sample, seed=seed)
+                        subsamplingRate=subsample, featureSubsetStrategy=col_sample, seed=seed,
+                        maxBins=max_bins)
     return est.fit(data)
 
 
@@ -251,3 +252,39 @@ def forward_gbt(data: DataFrame, pool: Sequence[str], max_features: int = 10, n_
             chosen.append(remaining[best_i])
             out.append((step, remaining[best_i], scores[best_i]))
     return out
+
+
+def tune_pos_weight(train: DataFrame, test: DataFrame, features: Sequence[str],
+                    weights: Sequence[float], n_folds: int = 3, alpha: float = 0.5,
+                    params: dict | None = None, threads: int = 8) -> list[tuple]:
+    """For each class-1 weight: CV combined score on TRAIN folds, train and test
+    Gini of a fit on all TRAIN rows.  Fits run concurrently.  Returns
+    [(weight, cv_score, gini_train, gini_test)]; ``train`` needs a ``fold``."""
+    params = dict(params or {})
+    train = cut_lineage(train.select(*features, "y", "fold"))
+
+    def full(w):
+        m = gbt(train, list(features), pos_weight=w, **params)
+        g = {}
+        for name, d in (("train", train), ("test", test)):
+            sc = predict_proba(m, d, list(features), ["y"])
+            g[name] = rank_summary(cumulative(sc, [], "p", "y"), []).first()["gini"]
+        return g
+
+    with ThreadPoolExecutor(max_workers=threads) as ex:
+        fulls = list(ex.map(full, weights))
+        cvs = [_cv_tree_score(train, list(features), n_folds, alpha,
+                              {**params, "pos_weight": w}, ex) for w in weights]
+    return [(float(w), float(c), float(f["train"]), float(f["test"]))
+            for w, c, f in zip(weights, cvs, fulls)]
+
+
+def evaluate(train_scored: DataFrame, test_scored: DataFrame) -> dict:
+    """Gini, Brier, KS (two-sided) and log-loss of one model on train and test."""
+    out = {}
+    for name, sc in (("train", train_scored), ("test", test_scored)):
+        rk = rank_summary(cumulative(sc, [], "p", "y"), []).first()
+        ls = prob_losses(sc, [], "p", "y").first()
+        out[name] = {"gini": rk["gini"], "ks": rk["ks_two_sided"], "brier": ls["brier"],
+                     "log_loss": ls["log_loss"]}
+    return out
