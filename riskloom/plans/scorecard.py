@@ -85,7 +85,8 @@ def prepared_loans(spark: SparkSession, sf_dir: str, exact: bool = True,
 
 
 def train_rows(prepared: DataFrame) -> DataFrame:
-    return prepared.where(F.col("cohort") == "TRAIN")
+    # on vintage, not the derived cohort, so the predicate reaches the scan
+    return prepared.where(F.col("vintage").isin(TRAIN_VINTAGES))
 
 
 def fit_scorecard_encoder(prepared: DataFrame, convention: str = "smoothed",
@@ -122,7 +123,7 @@ def fitted(spark: SparkSession, sf_dir: str):
     prep = prepared_loans(spark, sf_dir)
     enc = fit_scorecard_encoder(prep)
     scored = fixed_score(prep, enc)
-    train = scored.where(F.col("cohort") == "TRAIN")
+    train = fixed_score(train_rows(prep), enc)
     offset = newton_offset(train, "p", "y", steps=CALIBRATION_STEPS)
     return prep, enc, scored, round(offset, SCORE_DECIMALS)
 
