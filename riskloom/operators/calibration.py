@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,18 +13,36 @@ from ..functions.expr import (GRADE_LABELS, PROB_EPS, clip_prob, count_lt, dbl,
 from ..session import cut_lineage
 from .ordered import exact_percentiles
 
+LOCAL_DISTINCT_MAX = 1_000_000
+
 
 def newton_offset(scored: DataFrame, p_col: str, y_col: str, steps: int = 8,
                   target: float | None = None, bound: float = 10.0) -> float:
     """Offset c with mean(sigmoid(logit(p) + c)) = target (default: mean of y).
 
     Rows are first collapsed to distinct logits with weights (a scorecard has
-    few distinct scores) and checkpointed, then each Newton step is one small
-    aggregate: f = mean(s) - target, f' = mean(s (1 - s)).  A fixed number of
+    few distinct scores).  Up to LOCAL_DISTINCT_MAX of them are collected and
+    the steps run on the driver; beyond that the table is checkpointed and
+    each Newton step is one small aggregate: f = mean(s) - target, f' = mean(s (1 - s)).  A fixed number of
     steps keeps the result reproducible; c is clamped to [-bound, bound].
     """
     dist = scored.select(logit(F.col(p_col)).alias("_z"), F.col(y_col).cast("bigint").alias("_y")) \
         .groupBy("_z").agg(F.count(F.lit(1)).alias("_w"), F.sum("_y").alias("_yp"))
+    small = dist.limit(LOCAL_DISTINCT_MAX + 1).collect()
+    if len(small) <= LOCAL_DISTINCT_MAX:
+        # few distinct scores (checked): the steps run on the collected table
+        z = np.array([r["_z"] for r in small], dtype=float)
+        w = np.array([r["_w"] for r in small], dtype=float)
+        if target is None:
+            target = float(sum(r["_yp"] for r in small) / w.sum()) if w.sum() else 0.0
+        c = 0.0
+        for _ in range(steps):
+            s_ = 1.0 / (1.0 + np.exp(-(z + c)))
+            m, d = float((w * s_).sum() / w.sum()), float((w * s_ * (1 - s_)).sum() / w.sum())
+            if d == 0:
+                break
+            c = max(-bound, min(bound, c - (m - target) / d))
+        return c
     dist = cut_lineage(dist)
     if target is None:
         r = dist.agg(F.sum("_yp").alias("a"), F.sum("_w").alias("b")).first()

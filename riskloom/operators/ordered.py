@@ -152,7 +152,7 @@ def _targets(spark, keyed: Sequence[str], sizes: list, probs: Sequence[float]):
 
 def exact_percentile_rows(df: DataFrame, group_cols: Sequence[str], value_col: str,
                           probs: Sequence[float], buckets: int | None = None,
-                          weight_col: str | None = None) -> list:
+                          weight_col: str | None = None, distinct: bool = False) -> list:
     """Exact linear-interpolated percentiles per group, distributed; collected.
 
     Same definition as numpy ``quantile`` / DuckDB ``quantile_cont`` / Spark
@@ -162,8 +162,10 @@ def exact_percentile_rows(df: DataFrame, group_cols: Sequence[str], value_col: s
     Values are first collapsed to (group, value, count) (``weight_col`` when
     the input is already such a table), so a value repeated in a third of the
     rows is a single row; the order statistics are then found from two-level
-    running counts.  Unlike ``percentile`` nothing keeps a whole group's value
-    map in one task.  The result has one row per (group, prob): group_cols,
+    running counts (``distinct=True``: the input already has one row per
+    (group, value) with its count in ``weight_col``).  Unlike ``percentile``
+    nothing keeps a whole group's value map in one task.  The result has one
+    row per (group, prob): group_cols,
     pidx, prob, q.  The number of groups is checked against ``GROUPS_MAX``.
     """
     spark = df.sparkSession
@@ -173,8 +175,12 @@ def exact_percentile_rows(df: DataFrame, group_cols: Sequence[str], value_col: s
     cnt = F.sum(weight_col) if weight_col else F.count(F.lit(1))
     v = (base.select(*keyed, F.col(value_col).cast("double").alias("_v"),
                      *([weight_col] if weight_col else []))
-         .where(F.col("_v").isNotNull())
-         .groupBy(*keyed, "_v").agg(cnt.cast("bigint").alias("_c")))
+         .where(F.col("_v").isNotNull()))
+    if distinct and weight_col:
+        # already one row per (group, value): no second aggregation
+        v = v.select(*keyed, "_v", F.col(weight_col).cast("bigint").alias("_c"))
+    else:
+        v = v.groupBy(*keyed, "_v").agg(cnt.cast("bigint").alias("_c"))
     v = v.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sizes = v.groupBy(*keyed).agg(F.sum("_c").alias("_n"),

@@ -85,22 +85,35 @@ def level_counts(df: DataFrame, features: Sequence[str], target: str) -> DataFra
 def weighted_percentiles(vc: DataFrame, probs: Sequence[float]) -> DataFrame:
     """Exact percentiles per feature from a (feature, value, n) table."""
     rows = exact_percentile_rows(vc.select("feature", "value", "n"), ["feature"], "value",
-                                 probs, weight_col="n")
+                                 probs, weight_col="n", distinct=True)
     return vc.sparkSession.createDataFrame(rows, "feature string, pidx int, prob double, q double")
 
 
-def inner_edges(quantiles: DataFrame, vc: DataFrame) -> dict[str, list[float]]:
-    """Distinct quantiles strictly inside (min, max), rounded; collected (bounded)."""
-    rng = vc.groupBy("feature").agg(F.min("value").alias("mn"), F.max("value").alias("mx"))
-    rows = (quantiles.join(rng, "feature")
-            .where((F.col("q") > F.col("mn")) & (F.col("q") < F.col("mx")))
-            .select("feature", F.round("q", EDGE_DECIMALS).alias("e")).distinct().collect())
-    out: dict[str, list[float]] = {}
-    for r in rows:
-        out.setdefault(r["feature"], []).append(r["e"])
+def inner_edges(quantiles: DataFrame, vc: DataFrame,
+                rng: dict | None = None) -> dict[str, list[float]]:
+    """Distinct quantiles strictly inside (min, max), rounded; collected (bounded).
+
+    ``rng`` maps feature -> (min, max) when the caller already has it.
+    """
+    if rng is None:
+        rng = {r["feature"]: (r["mn"], r["mx"]) for r in vc.groupBy("feature").agg(
+            F.min("value").alias("mn"), F.max("value").alias("mx")).collect()}
+    out: dict[str, set] = {}
+    for r in quantiles.collect():
+        mn, mx = rng.get(r["feature"], (None, None))
+        q = r["q"]
+        if q is None or mn is None or not (mn < q < mx):
+            continue
+        out.setdefault(r["feature"], set()).add(_round_half_up(q, EDGE_DECIMALS))
     return {k: sorted(v) for k, v in out.items()}
 
 
+def _round_half_up(x: float, d: int) -> float:
+    """Spark's ``round`` on a double: HALF_UP on the shortest decimal form."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-d), rounding=ROUND_HALF_UP))
+
+
 def _woe_columns(counts: DataFrame, convention: str) -> DataFrame:
     """Add n_neg, woe and iv_part to a (feature, bin, n, n_pos) table (small)."""
     w = Window.partitionBy("feature")
@@ -135,8 +148,11 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
     parts = []
     if numeric:
         vc = value_counts(train, numeric, target).persist(StorageLevel.MEMORY_AND_DISK)
-        nd = {r["feature"]: r["k"] for r in vc.where(F.col("value").isNotNull())
-              .groupBy("feature").agg(F.count(F.lit(1)).alias("k")).collect()}
+        stats = {r["feature"]: r for r in vc.where(F.col("value").isNotNull())
+                 .groupBy("feature").agg(F.count(F.lit(1)).alias("k"),
+                                         F.min("value").alias("mn"),
+                                         F.max("value").alias("mx")).collect()}
+        nd = {f: r["k"] for f, r in stats.items()}
         discrete = [f for f in numeric if 0 < nd.get(f, 0) <= discrete_max]
         cont = [f for f in numeric if f not in discrete]
         if discrete:
@@ -159,7 +175,8 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
             parts.append(dcounts)
         if cont:
             vcc = vc.where(F.col("feature").isin(cont) & F.col("value").isNotNull())
-            edges = inner_edges(weighted_percentiles(vcc, probs), vcc)
+            edges = inner_edges(weighted_percentiles(vcc, probs), vcc,
+                                {f: (r["mn"], r["mx"]) for f, r in stats.items()})
             for f in cont:
                 bins[f] = FeatureBins(f, "numeric", edges=edges.get(f, []))
             bin_expr = None

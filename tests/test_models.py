@@ -88,3 +88,13 @@ def test_forward_gbt_small_fixture(spark):
                           params={"max_iter": 3, "max_depth": 2}, threads=4)
     assert [s[0] for s in steps] == [1, 2]
     assert len({s[1] for s in steps}) == 2
+
+
+def test_newton_offset_distributed_path_agrees(spark, monkeypatch):
+    from riskloom.operators import calibration as C
+    pdf, df = _data(spark)
+    scored = df.selectExpr("1 / (1 + exp(-(x1 - 1))) AS p", "y")
+    local = newton_offset(scored, "p", "y", steps=8)
+    monkeypatch.setattr(C, "LOCAL_DISTINCT_MAX", 0)
+    dist = C.newton_offset(scored, "p", "y", steps=8)
+    assert abs(local - dist) < 1e-12
