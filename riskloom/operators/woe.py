@@ -222,7 +222,9 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
     counts = counts.withColumn("n", F.col("n").cast("bigint")).withColumn(
         "n_pos", F.col("n_pos").cast("bigint"))
     table = _woe_columns(counts, convention)
-    rows = table.select("feature", "type", "bin", "level", "woe", "iv_part").collect()
+    # the fitted table is small (features x bins): collected once, kept local
+    rows = table.select("feature", "type", "bin", "level", "lo", "hi", "n", "n_pos", "n_neg",
+                        "woe", "iv_part").collect()
     if vc_unpersist is not None:
         vc_unpersist.unpersist()
     by_f: dict[str, list] = {}
@@ -235,11 +237,10 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
         rs = sorted(by_f.get(f, []), key=lambda r: r["bin"])
         fb.woe = [r["woe"] for r in rs]
         fb.iv = float(sum(r["iv_part"] for r in rs)) if rs else 0.0
-    # cache-free small table: rebuild from collected rows so later use is free
-    small = spark.createDataFrame(
-        [(r["feature"], r["type"], r["bin"], r["level"], r["woe"], r["iv_part"]) for r in rows],
-        "feature string, type string, bin int, level string, woe double, iv_part double")
-    full = table.drop("woe", "iv_part").join(small.drop("type", "level"), ["feature", "bin"])
+    full = spark.createDataFrame(
+        [tuple(r) for r in rows],
+        "feature string, type string, bin int, level string, lo double, hi double, n bigint, "
+        "n_pos bigint, n_neg bigint, woe double, iv_part double")
     return Encoder(bins, full, convention, closed)
 
 
