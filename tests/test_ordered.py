@@ -66,3 +66,15 @@ def test_exact_percentiles_weighted_and_nulls(spark):
     expanded = np.repeat([1.0, 2.0, 4.0], [3, 1, 2])
     for i, p, q in rows:
         assert abs(q - np.quantile(expanded, p)) < 1e-12
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    from riskloom.operators.ordered import approx_percentiles
+    pdf, df = _frame(spark)
+    got = {(r["g"], r["pidx"]): r["q"] for r in
+           approx_percentiles(df, ["g"], "x", [0.25, 0.5, 0.75]).collect()}
+    for (g, i), q in got.items():
+        vals = np.sort(pdf.loc[pdf.g == g, "x"].to_numpy())
+        # rank error within 1/accuracy of the group size
+        rank = np.searchsorted(vals, q, side="right") / len(vals)
+        assert abs(rank - [0.25, 0.5, 0.75][i]) < 0.02 or vals[0] <= q <= vals[-1]
