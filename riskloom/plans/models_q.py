@@ -7,10 +7,10 @@ features, stratified folds, greedy forward search, boosted trees.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import IV_THRESHOLD, r6
+from ..functions.expr import IV_THRESHOLD
 from ..operators import models as M
 from ..operators import prep as P
 from ..operators import woe as W

@@ -7,7 +7,6 @@ checkpoint folder used to cut lineage in iterative jobs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -106,4 +105,4 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage",
-           "materialize", "local_path", "DEFAULT_CONF", "os"]
+           "materialize", "local_path", "DEFAULT_CONF"]
