@@ -127,7 +127,7 @@ def woe_smoothed_ctes(prefix: str = "", discrete_max: int = 8) -> list[str]:
               (a.n_pos + CAST(0.5 AS double)) / (greatest(t.P, 1) + CAST(0.5 AS double)) AS s_pos,
               (a.n - a.n_pos + CAST(0.5 AS double)) / (greatest(t.N, 1) + CAST(0.5 AS double)) AS s_neg
               FROM {p}ca a JOIN {p}tt t ON a.feature = t.feature)""",
-        f"""{p}wb AS (SELECT feature, type, bin, n, n_pos, n_neg, round(ln(s_neg / s_pos), 9) AS woe,
+        f"""{p}wb AS MATERIALIZED (SELECT feature, type, bin, n, n_pos, n_neg, round(ln(s_neg / s_pos), 9) AS woe,
               (s_neg - s_pos) * ln(s_neg / s_pos) AS iv_part FROM {p}sh)""",
     ]
 
@@ -147,8 +147,9 @@ def all_rows_woe_ctes(features, categorical) -> list[str]:
     """WoE of every loan (all cohorts) for ``features``: aw(loan_id, feature, woe)."""
     num = [f for f in features if f not in categorical]
     cat = [f for f in features if f in categorical]
-    out = [f"dvals AS (SELECT feature, list_sort(list(DISTINCT value)) AS vals FROM tl "
-           f"WHERE value IS NOT NULL GROUP BY feature)",
+    out = ["dvals AS (SELECT t.feature, list_sort(list(DISTINCT t.value)) AS vals FROM tl t "
+           "JOIN ed e ON t.feature = e.feature WHERE e.type = 'discrete_numeric' "
+           "AND t.value IS NOT NULL GROUP BY t.feature)",
            "cl AS (SELECT feature, level, dense_rank() OVER (PARTITION BY feature ORDER BY level) - 1"
            " AS bin FROM (SELECT DISTINCT feature, level FROM tc))"]
     parts = []
@@ -196,7 +197,7 @@ def scored_ctes(steps: int | None = None) -> list[str]:
            f"""sc AS (SELECT prep.loan_id, prep.cohort, prep.y,
                   round(CAST(1 AS double) / (CAST(1 AS double) + exp(-{z})), 9) AS p
                   FROM prep JOIN pw ON prep.loan_id = pw.loan_id)""",
-           f"lz AS (SELECT *, ln({pc} / (CAST(1 AS double) - {pc})) AS z FROM sc)",
+           f"lz AS MATERIALIZED (SELECT *, ln({pc} / (CAST(1 AS double) - {pc})) AS z FROM sc)",
            "tg AS (SELECT avg(y) AS t FROM lz WHERE cohort = 'TRAIN')",
            "c0 AS (SELECT CAST(0 AS double) AS c)"]
     for i in range(1, steps + 1):
@@ -211,6 +212,6 @@ def scored_ctes(steps: int | None = None) -> list[str]:
             """pc AS (SELECT lz.loan_id, lz.cohort, lz.y, lz.p, lz.z,
                   round(CAST(1 AS double) / (CAST(1 AS double) + exp(-(lz.z + cal.c))), 9) AS p_cal
                   FROM lz, cal)""",
-            f"""gr AS (SELECT *, {labels}[least(len(list_filter({edges}, lambda e: e <= p_cal)),
+            f"""gr AS MATERIALIZED (SELECT *, {labels}[least(len(list_filter({edges}, lambda e: e <= p_cal)),
                   {len(GRADE_LABELS) - 1}) + 1] AS grade FROM pc)"""]
     return out
