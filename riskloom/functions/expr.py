@@ -108,3 +108,10 @@ def psi_verdict(psi: Column) -> Column:
 
 def r6(c: Column) -> Column:
     return F.round(c, 6)
+
+
+def round_half_up(x: float, d: int) -> float:
+    """Driver-side twin of Spark's ``round`` on a double: HALF_UP applied to
+    the shortest decimal form, so collected values round as in SQL."""
+    from decimal import ROUND_HALF_UP, Decimal
+    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-d), rounding=ROUND_HALF_UP))

@@ -11,8 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import dbl
-from .ordered import percentiles
+from ..functions.expr import dbl, round_half_up
+from .ordered import approx_percentiles, exact_percentile_rows
 
 INLINE_GROUPS_MAX = 10_000
 
@@ -46,47 +46,60 @@ def impute_constant(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
                            for c, v in values.items()})
 
 
-def _medians(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str],
-             exact: bool) -> DataFrame:
+def _median_table(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str],
+                  exact: bool) -> dict:
+    """{group key tuple: {column: median}} for all columns in one job set.
+
+    Medians are rounded to 6 places: values live on a decimal grid, this only
+    removes last-bit noise of the interpolation so engines agree.  The result
+    has one entry per group (collected; the group count is checked upstream).
+    """
     long = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         list(group_cols), list(cols), "_feature", "_value")
-    med = percentiles(long, [*group_cols, "_feature"], "_value", [0.5], exact=exact)
-    # round to 6 places: values live on a decimal grid, this only removes
-    # last-bit noise of the interpolation so engines agree.
-    return med.groupBy(*group_cols).pivot("_feature", list(cols)).agg(
-        F.first(F.round("q", 6)))
+    keys = [*group_cols, "_feature"]
+    if exact:
+        rows = [tuple(r) for r in exact_percentile_rows(long, keys, "_value", [0.5])]
+    else:
+        rows = [tuple(r[k] for k in keys) + (r["pidx"], r["prob"], r["q"])
+                for r in approx_percentiles(long, keys, "_value", [0.5]).collect()]
+    out: dict = {}
+    ng = len(group_cols)
+    for r in rows:
+        q = r[-1]
+        out.setdefault(tuple(r[:ng]), {})[r[ng]] = None if q is None else round_half_up(q, 6)
+    return out
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
                   exact: bool = True) -> DataFrame:
     """Fill NULLs with the median of the column, per group (or overall).
 
-    The medians form a table with one row per group, joined back (AQE turns it
-    into a broadcast from its measured size).  A group whose values are all NULL
-    keeps NULLs, like ``fillna(NaN)``.
+    Medians are collected (one row per group, checked against a bound) and
+    looked up from a literal map: no join, one pass.  Beyond the bound they
+    are joined back as a table.  A group whose values are all NULL keeps
+    NULLs, like ``fillna(NaN)``.
     """
-    med = _medians(df, cols, group_cols, exact)
+    spark = df.sparkSession
+    med = _median_table(df, cols, group_cols, exact)
     if not group_cols:
-        # one value per column: collect and inline as literals
-        row = med.first()
-        vals = {c: (row[c] if row is not None else None) for c in cols}
+        vals = med.get((), {})
         return df.withColumns({c: F.coalesce(F.col(c).cast("double"),
-                                             F.lit(vals[c]).cast("double")) for c in cols})
-    if len(group_cols) == 1:
-        # few groups (periods, segments): collect the medians, checked against
-        # a bound, and look them up from a literal map - no join, one pass.
-        rows = med.limit(INLINE_GROUPS_MAX + 1).collect()
-        if len(rows) <= INLINE_GROUPS_MAX:
-            g = group_cols[0]
-            out = {}
-            for c in cols:
-                pairs = [x for r in rows if r[g] is not None and r[c] is not None
-                         for x in (F.lit(r[g]), F.lit(float(r[c])))]
-                look = F.create_map(*pairs)[F.col(g)] if pairs else F.lit(None)
-                out[c] = F.coalesce(F.col(c).cast("double"), look.cast("double"))
-            return df.withColumns(out)
-    med = med.select(*group_cols, *[F.col(c).alias(f"_med_{c}") for c in cols])
-    joined = df.join(med, on=list(group_cols), how="left")
+                                             F.lit(vals.get(c)).cast("double")) for c in cols})
+    if len(group_cols) == 1 and len(med) <= INLINE_GROUPS_MAX:
+        g = group_cols[0]
+        out = {}
+        for c in cols:
+            pairs = [x for key, m in med.items() if key[0] is not None and m.get(c) is not None
+                     for x in (F.lit(key[0]), F.lit(float(m[c])))]
+            look = F.create_map(*pairs)[F.col(g)] if pairs else F.lit(None)
+            out[c] = F.coalesce(F.col(c).cast("double"), look.cast("double"))
+        return df.withColumns(out)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join(f"`{g}` {types[g]}" for g in group_cols) + ", " + ", ".join(
+        f"`_med_{c}` double" for c in cols)
+    table = spark.createDataFrame(
+        [(*key, *[m.get(c) for c in cols]) for key, m in med.items()], schema)
+    joined = df.join(table, on=list(group_cols), how="left")
     out = joined.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}"))
                               for c in cols})
     return out.drop(*[f"_med_{c}" for c in cols])

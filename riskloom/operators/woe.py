@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.expr import count_le, count_lt, dbl
+from ..functions.expr import count_le, count_lt, dbl, round_half_up
 from .ordered import exact_percentile_rows
 
 DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
@@ -104,16 +104,10 @@ def inner_edges(quantiles: DataFrame, vc: DataFrame,
         q = r["q"]
         if q is None or mn is None or not (mn < q < mx):
             continue
-        out.setdefault(r["feature"], set()).add(_round_half_up(q, EDGE_DECIMALS))
+        out.setdefault(r["feature"], set()).add(round_half_up(q, EDGE_DECIMALS))
     return {k: sorted(v) for k, v in out.items()}
 
 
-def _round_half_up(x: float, d: int) -> float:
-    """Spark's ``round`` on a double: HALF_UP on the shortest decimal form."""
-    from decimal import ROUND_HALF_UP, Decimal
-    return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-d), rounding=ROUND_HALF_UP))
-
-
 def _woe_columns(counts: DataFrame, convention: str) -> DataFrame:
     """Add n_neg, woe and iv_part to a (feature, bin, n, n_pos) table (small)."""
     w = Window.partitionBy("feature")
