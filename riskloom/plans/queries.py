@@ -750,26 +750,44 @@ def q_write_read_table(spark, sf):
                    ["acctbal"])
 
 
-METRICS_SCHEMA = ("cohort string, metrics struct<auc: double, gini: double, ks: double, "
-                  "log_loss: double, brier: double, ap: double>")
+METRICS_SCHEMA = ("cohort string, calib_offset double, metrics struct<auc: double, "
+                  "gini: double, ks: double, log_loss: double, brier: double, ap: double, "
+                  "base_rate: double, psi_vs_train: double>")
+METRIC_FIELDS = ["auc", "gini", "ks", "log_loss", "brier", "ap", "base_rate", "psi_vs_train"]
 
 
-@register("metrics_json", lambda: O.base(*O.scored_ctes(), *RANK_CTES, LOSS_CTE) + """
-SELECT rs.cohort, round(auc, 6) AS auc, round(2 * auc - 1, 6) AS gini, round(ks, 6) AS ks,
-       round(log_loss, 6) AS log_loss, round(brier, 6) AS brier, round(ap, 6) AS ap
-FROM rs JOIN ls ON rs.cohort = ls.cohort""")
+@register("metrics_json", lambda: O.base(*O.scored_ctes(), *RANK_CTES, LOSS_CTE, """
+gsh AS (SELECT cohort, grade, count(*) / sum(count(*)) OVER (PARTITION BY cohort) AS share
+       FROM gr GROUP BY cohort, grade)""", """
+gp AS (SELECT a.cohort AS actual_split, sum((a.share - e.share) * ln(a.share / e.share)) AS psi
+       FROM gsh e JOIN gsh a ON e.grade = a.grade
+       WHERE e.cohort = 'TRAIN' AND a.cohort IN ('VAL', 'OOT') GROUP BY a.cohort)""") + """
+SELECT rs.cohort, round(cal.c, 6) AS calib_offset, round(auc, 6) AS auc,
+       round(2 * auc - 1, 6) AS gini, round(ks, 6) AS ks, round(log_loss, 6) AS log_loss,
+       round(brier, 6) AS brier, round(ap, 6) AS ap, round(ls.base_rate, 6) AS base_rate,
+       round(gp.psi, 6) AS psi_vs_train
+FROM rs JOIN ls ON rs.cohort = ls.cohort LEFT JOIN gp ON gp.actual_split = rs.cohort, cal""")
 def q_metrics_json(spark, sf):
-    """Nested metrics per split written as JSON and read back with its schema."""
+    """Nested metrics per split (discrimination, losses, base rate, grade PSI
+    against TRAIN) and the calibration offset, written as JSON and read back
+    with its schema."""
+    from ..functions.expr import dbl
     from ..operators.calibration import prob_losses
     from ..operators.rank_metrics import cumulative, rank_summary
+    from ..operators.stability import psi_grades
     from ..session import scratch_path
     from ..sources.files import read_json, write_json
-    cal = _cal(spark, sf)
+    prep, enc, scored, offset = S.fitted(spark, sf)
+    cal = S.graded(S.calibrated(scored, offset))
     rk = rank_summary(cumulative(cal, ["cohort"], "p_cal", "y"), ["cohort"])
     ls = prob_losses(cal, ["cohort"], "p_cal", "y")
-    nested = rk.join(ls, "cohort").select("cohort", F.struct(
-        "auc", "gini", "ks", "log_loss", "brier", "ap").alias("metrics"))
+    ps = psi_grades(cal, "cohort", "grade", "TRAIN", ["VAL", "OOT"]).select(
+        F.col("actual_split").alias("cohort"), F.col("psi").alias("psi_vs_train"))
+    nested = rk.join(ls, "cohort").join(ps, "cohort", "left").select(
+        "cohort", dbl(offset).alias("calib_offset"),
+        F.struct(*METRIC_FIELDS).alias("metrics"))
     path = write_json(nested, scratch_path(spark, "metrics_json"))
     back = read_json(spark, path, METRICS_SCHEMA)
-    m = ["auc", "gini", "ks", "log_loss", "brier", "ap"]
-    return rounded(back.select("cohort", *[F.col(f"metrics.{c}").alias(c) for c in m]), m)
+    return rounded(back.select("cohort", "calib_offset",
+                               *[F.col(f"metrics.{c}").alias(c) for c in METRIC_FIELDS]),
+                   ["calib_offset", *METRIC_FIELDS])
