@@ -93,9 +93,11 @@ def combined_criterion(scored: DataFrame, group_cols: Sequence[str], p: str = "p
 # Batched forward selection for L2 logistic models
 # ---------------------------------------------------------------------------
 
-def _design(pdf: pd.DataFrame, pool: list[str], cols: list[str]) -> np.ndarray:
-    x = pdf[cols].to_numpy(dtype=float) if cols else np.empty((len(pdf), 0))
-    return np.column_stack([np.ones(len(pdf)), x])
+def _design(xall: np.ndarray, rows: np.ndarray, pool: list[str], cols: list[str]) -> np.ndarray:
+    """[1, x_cols] for the selected rows of a batch already converted to numpy."""
+    idx = [pool.index(c) for c in cols]
+    x = xall[rows][:, idx] if idx else np.empty((int(rows.sum()), 0))
+    return np.column_stack([np.ones(len(x)), x])
 
 
 def _newton_pass(data: DataFrame, pool: list[str], models: dict, n_folds: int) -> dict:
@@ -106,12 +108,13 @@ def _newton_pass(data: DataFrame, pool: list[str], models: dict, n_folds: int) -
         for pdf in it:
             y = pdf["y"].to_numpy(dtype=float)
             fold = pdf["fold"].to_numpy()
+            xall = pdf[pool].to_numpy(dtype=float)
             rows = []
             for (cand, f), (cols, w) in spec.items():
                 m = fold != f
                 if not m.any():
                     continue
-                x = _design(pdf[m], pool, cols)
+                x = _design(xall, m, pool, cols)
                 p = 1.0 / (1.0 + np.exp(-(x @ np.asarray(w))))
                 g = x.T @ (p - y[m])
                 h = (x * (p * (1 - p))[:, None]).T @ x
@@ -170,12 +173,13 @@ def _cv_scores(data: DataFrame, pool: list[str], models: dict, alpha: float) ->
     def held_out(it):
         for pdf in it:
             fold = pdf["fold"].to_numpy()
+            xall = pdf[pool].to_numpy(dtype=float)
             out = []
             for (cand, f), (cols, w) in spec.items():
                 m = fold == f
                 if not m.any():
                     continue
-                x = _design(pdf[m], pool, cols)
+                x = _design(xall, m, pool, cols)
                 p = 1.0 / (1.0 + np.exp(-(x @ np.asarray(w))))
                 out.append(pd.DataFrame({"cand": cand, "fold": f, "p": p,
                                          "y": pdf["y"].to_numpy()[m].astype(np.int64)}))
