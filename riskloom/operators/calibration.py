@@ -14,6 +14,7 @@ from ..session import cut_lineage
 from .ordered import exact_percentiles
 
 LOCAL_DISTINCT_MAX = 1_000_000
+CASE_GROUPS_MAX = 1_000  # beyond this, edges are joined instead of inlined
 
 
 def newton_offset(scored: DataFrame, p_col: str, y_col: str, steps: int = 8,
@@ -107,6 +108,17 @@ def calibration_curve(df: DataFrame, group_cols: Sequence[str], p: str, y: str,
     edges = q.groupBy(*keys).agg(F.array_sort(F.collect_list(
         F.struct(F.col("pidx"), F.round("q", 12).alias("e")))).alias("_es"))
     rows = {tuple(r[k] for k in keys): [s["e"] for s in r["_es"]] for r in edges.collect()}
+    if len(rows) > CASE_GROUPS_MAX:
+        # many groups: the edge arrays go in a small table joined on the keys
+        types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
+        schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", _edges array<double>"
+        et = base.sparkSession.createDataFrame([(*k, v) for k, v in rows.items()], schema)
+        binned = base.join(et, keys, "left").withColumn(
+            "bin", F.size(F.filter("_edges", lambda e: e < F.col(p))))
+        out = binned.groupBy(*keys, "bin").agg(
+            F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_pred"),
+            F.avg(F.col(y).cast("double")).alias("frac_pos"))
+        return out if group_cols else out.drop("_rl_g")
     # edges: at most n_bins - 1 per group, collected; bin index as literals
     bin_expr = None
     for key, es in rows.items():

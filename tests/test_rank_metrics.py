@@ -95,3 +95,15 @@ def test_threshold_sweep_matches_loop(spark):
     assert (got["tp"].to_numpy() == tp).all() and (got["fp"].to_numpy() == fp).all()
     best = np.argmax(tp / y.sum() - fp / (1 - y).sum())
     assert got.loc[got.is_ks_best, "k"].tolist() == [best]
+
+
+def test_calibration_curve_join_path_matches_inline(spark, monkeypatch):
+    from riskloom.operators import calibration as C
+    pdf, df = _scores(spark)
+    a = C.calibration_curve(df, ["grp"], "p", "y").toPandas()
+    monkeypatch.setattr(C, "CASE_GROUPS_MAX", 0)
+    b = C.calibration_curve(df, ["grp"], "p", "y").toPandas()
+    key = ["grp", "bin"]
+    a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
+    assert a[key + ["n"]].equals(b[key + ["n"]])
+    assert np.allclose(a.mean_pred, b.mean_pred) and np.allclose(a.frac_pos, b.frac_pos)
