@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash
+from . import mixing, packing, simhash
 from .common import read
 
 
+def op2_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return got.select("doc_id", simhash.digest(F.col("fp")).alias("fingerprint"), "component_id")
@@ -20,6 +24,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
+    op2_hilbert_packing,
     op6_simhash_near_dedup,
     op8_mix_sources,
 )}
