@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, simhash
+from . import langid, mixing, packing, simhash, toxicity
 from .common import read
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
+    got = langid.predict(docs, model)
+    return got.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op2_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
@@ -23,10 +30,19 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
+    got = toxicity.predict(docs, model)
+    return got.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES = {f.__name__: f for f in (
+    op1_language_id,
     op2_hilbert_packing,
     op6_simhash_near_dedup,
     op8_mix_sources,
+    op9_toxicity,
 )}
 ORACLES = {
     "op8_mix_sources": mixing.ORACLE_SQL,
