@@ -138,7 +138,7 @@ def neighbours(df: DataFrame, order: list[Column], rows: Callable, schema: str,
     near = (got.filter("slot is not null").join(where, ["pid", "slot"])
             .select("grp", "place", *[F.col(f"in_{c}").alias(f"in_{c}") for c in names]))
 
-    def edges(key, batch: pa.Table) -> pa.Table:
+    def edges(key, batch):
         cells = {r[0]: tuple(r[1:]) for r in zip(*(batch.column(c).to_pylist()
                  for c in ["place", *[f"in_{x}" for x in names]]))}
         run3 = [cells.get(0), cells[1], cells.get(2)]

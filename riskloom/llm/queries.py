@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, simhash, toxicity
+from . import langid, licences, mixing, packing, piecewise, simhash, toxicity
 from .common import read
 
 
@@ -20,6 +20,10 @@ def op2_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"))
 
 
+def op3_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise.fingerprints_with_next(read(spark, sf_dir, "documents"))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return got.select("doc_id", simhash.digest(F.col("fp")).alias("fingerprint"), "component_id")
@@ -37,15 +41,24 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    index = licences.Index(*licences.frequencies(docs, licences.vocabulary()))
+    return licences.scan(docs, index).drop("spans")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id,
     op2_hilbert_packing,
+    op3_piecewise_fingerprints,
     op6_simhash_near_dedup,
     op8_mix_sources,
     op9_toxicity,
+    op10_licence_scan,
 )}
 ORACLES = {
     "op8_mix_sources": mixing.ORACLE_SQL,
+    # base counts only need words and phrases, but labels of the method's own need its index: no SQL for op10
 }
 
 __all__ = ["ORACLES", "QUERIES"]
