@@ -148,11 +148,16 @@ def mix_copies(docs: DataFrame, **how) -> DataFrame:
            .agg(F.min("copies").alias("m_least"), F.sum("copies").alias("m_sum"), F.count("*").alias("m_rows"))
            .select(F.col("doc_id").alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("m_size"),
                    "m_least", (F.col("m_sum") - F.col("m_least") * F.col("m_rows")).alias("m_more")))
-    joined = docs.join(per, F.col("doc_id").eqNullSafe(F.col("m_id"))
-                       & F.col("source").eqNullSafe(F.col("m_source")) & (size == F.col("m_size")))
+    per = save(per, "mix-copies")
+
+    def joined(side: DataFrame) -> DataFrame:
+        return docs.join(side, F.col("doc_id").eqNullSafe(F.col("m_id"))
+                         & F.col("source").eqNullSafe(F.col("m_source")) & (size == F.col("m_size")))
+
+    single = joined(per.filter("m_more = 0")).withColumn("n", F.col("m_least"))
+    # at most one such group a source
     nth = Window.partitionBy("m_id", "m_source", "m_size").orderBy("text")
-    single = joined.filter("m_more = 0").withColumn("n", F.col("m_least"))
-    more = (joined.filter("m_more > 0").withColumn("k", F.row_number().over(nth))
+    more = (joined(F.broadcast(per.filter("m_more > 0"))).withColumn("k", F.row_number().over(nth))
             .withColumn("n", F.col("m_least") + F.when(F.col("k") <= F.col("m_more"), 1).otherwise(0)).drop("k"))
     rows = single.unionByName(more).filter(F.col("n") > 0)
     return (rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))

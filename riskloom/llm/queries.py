@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licences, mixing, packing, piecewise, simhash, toxicity
-from .common import read
+from . import fixity, html_text, langid, licences, mixing, packing, piecewise, simhash, topk, toxicity
+from .common import read, save
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,11 +24,26 @@ def op3_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecewise.fingerprints_with_next(read(spark, sf_dir, "documents"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = save(topk.whole_vectors(read(spark, sf_dir, "embeddings")), "topk-vectors")
+    return topk.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0))
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return got.select("doc_id", simhash.digest(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first = save(fixity.page_archives(read(spark, sf_dir, "pages")), "fixity-records")
+    return fixity.audit(fixity.leaves(fixity.as_records(first)),
+                        fixity.leaves(fixity.as_records(fixity.damaged(first))))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mixing.mix_sources(read(spark, sf_dir, "documents"))
     return got.select("doc_id", "size", "source_size", "target", "taken")
@@ -51,12 +66,17 @@ QUERIES = {f.__name__: f for f in (
     op1_language_id,
     op2_hilbert_packing,
     op3_piecewise_fingerprints,
+    op4_html_text,
+    op5_exact_top_k,
     op6_simhash_near_dedup,
+    op7_merkle_fixity,
     op8_mix_sources,
     op9_toxicity,
     op10_licence_scan,
 )}
 ORACLES = {
+    "op5_exact_top_k": topk.ORACLE_SQL,
+    "op7_merkle_fixity": fixity.ORACLE_SQL,
     "op8_mix_sources": mixing.ORACLE_SQL,
     # base counts only need words and phrases, but labels of the method's own need its index: no SQL for op10
 }

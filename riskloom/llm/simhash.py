@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import save
+from .common import save, temp
 from .components import components
 
 WORDS, DISTANCE, SEGMENTS = 4, 4, 3
@@ -171,10 +171,26 @@ def group(prints: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS)
     return prints.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
+def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, segments: int = SEGMENTS) -> DataFrame:
+    """The rows of ``docs``, all columns, with the smallest document number of each component.
+
+    Of several rows with that number (repeated rows) one stays; a component
+    without any number keeps one row.
+    """
+    fp = temp("fp")
+    prints = save(with_fingerprints(docs.select("doc_id", "text"), words).select("doc_id", "fp"), "simhash-fp")
+    kept = group(prints, distance, segments)
+    kept = (kept.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
+            .agg(F.min("fp").alias("k_fp"), F.min("doc_id").alias("k_id")).drop("root"))
+    marked = with_fingerprints(docs, words, fp)
+    same = (F.col(fp) == F.col("k_fp")) & F.col("doc_id").eqNullSafe(F.col("k_id"))
+    return marked.join(kept, same).dropDuplicates(["k_fp", "k_id"]).select(*docs.columns)
+
+
 def digest(fp: F.Column) -> F.Column:
     """16 lowercase hexadecimal digits."""
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-__all__ = ["DISTANCE", "SEGMENTS", "WORDS", "digest", "fingerprint", "group", "link", "near_duplicates",
+__all__ = ["DISTANCE", "SEGMENTS", "WORDS", "digest", "fingerprint", "group", "keep_one", "link", "near_duplicates",
            "with_fingerprints"]
