@@ -137,12 +137,13 @@ def link(fps: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS) ->
     labelled = save(start.drop("label").join(first.select(F.col("node").alias("fp"), F.col("root").alias("r")),
                                              "fp", "left")
                     .select("fp", F.coalesce("r", "fp").alias("label"), "few"), "simhash-labels")
-    # 2. between components, in the entries that hold several
+    # 2. between components, in the entries that hold several; an entry of one fingerprint
+    # was compared with all its askers above
     index = _index(labelled, distance, segments)
     mixed = (index.groupBy("key").agg(
         F.min(F.when(~F.col("asks"), F.struct("few", "fp", "label"))).alias("c"),
-        F.min("label").alias("lo"), F.max("label").alias("hi"))
-        .filter("lo <> hi and c is not null").select("key", F.col("c.label").alias("main")))
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count_if(~F.col("asks")).alias("held"))
+        .filter("lo <> hi and held > 1").select("key", F.col("c.label").alias("main")))
     rows = save(index.join(mixed, "key").select("key", "asks", "fp", "label", "main"), "simhash-mixed")
     other = rows.filter("label <> main").select(
         "key", F.col("asks").alias("asks2"), F.col("fp").alias("fp2"), F.col("label").alias("label2"))
