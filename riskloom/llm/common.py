@@ -57,7 +57,21 @@ def by_batch(df: DataFrame, schema: str | T.StructType,
     return df.mapInArrow(run, out)
 
 
-def neighbours(df: DataFrame, order: list[Column], rows: Callable, schema: str,
+def worker_cache() -> dict:
+    """A dictionary that a Python worker keeps between its tasks.
+
+    Task functions are sent by value, so globals of this package start anew in
+    each task; what is dear to build (a tokenizer) is kept with the process.
+    """
+    import sys
+    import types
+    name = "_riskloom_worker_cache"
+    if name not in sys.modules:
+        sys.modules[name] = types.ModuleType(name)
+    return sys.modules[name].__dict__.setdefault("kept", {})
+
+
+def neighbours(df: DataFrame, deal: list[Column], order: list[Column], rows: Callable, schema: str,
                name: str, partitions: int, wrap: bool = False) -> DataFrame:
     """Apply ``rows`` to runs of a globally sorted table.
 
@@ -66,7 +80,9 @@ def neighbours(df: DataFrame, order: list[Column], rows: Callable, schema: str,
     rows around those are there only as context (one on either side, or None
     at the ends of the whole table; with ``wrap`` the table is a ring).
 
-    The table is dealt out by range, so no task holds more than its share.
+    The table is dealt out by range of ``deal``, the first columns of ``order``
+    (short ones: samples of them reach the driver), so no task holds more than
+    its share; ``order`` also holds what makes the order complete.
     The first and last row of a partition lack a neighbour; they and the rows
     beside them (four a partition) are written with the results and meet in
     groups of at most three rows in a second pass.  Only partition numbers
@@ -111,7 +127,7 @@ def neighbours(df: DataFrame, order: list[Column], rows: Callable, schema: str,
         elif held:
             yield table([edge("before", held[0]), edge("last", held[1])])
 
-    got = save(df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    got = save(df.repartitionByRange(partitions, *deal).sortWithinPartitions(*order)
                .mapInArrow(run, both), name)
     slots: dict[int, set] = {}
     for r in got.filter("slot is not null").select("pid", "slot").collect():
@@ -155,4 +171,4 @@ def parts(df: DataFrame, least: int = 1) -> int:
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-__all__ = ["by_batch", "neighbours", "parts", "read", "remainder", "save", "temp"]
+__all__ = ["by_batch", "neighbours", "parts", "read", "remainder", "save", "temp", "worker_cache"]

@@ -222,7 +222,7 @@ def extract(pages: DataFrame, partitions: int | None = None) -> DataFrame:
     rest = F.regexp_replace(url, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
     keyed = pages.select("page_id", "url", "html", F.lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)).alias("host"),
                          F.regexp_replace(rest, r"^[^/?#]*", "").alias("path"))
-    order = [F.col("host"), F.col("path"), F.col("page_id"), F.xxhash64("html"), F.col("html")]
+    deal = [F.col("host"), F.col("path"), F.col("page_id"), F.xxhash64("html")]
 
     def rows(cells: list, first: int, last: int) -> Iterator[tuple]:
         cut = {i: lines(cells[i][2]) for i in (first - 1, first) if cells[i]}
@@ -236,7 +236,7 @@ def extract(pages: DataFrame, partitions: int | None = None) -> DataFrame:
             cut.pop(i - 1, None)
             yield me[0], me[1], text, len(text)
 
-    return neighbours(keyed, order, rows, f"page_id {kind}, url string, text string, n_chars long", "html",
+    return neighbours(keyed, deal, [*deal, F.col("html")], rows, f"page_id {kind}, url string, text string, n_chars long", "html",
                       partitions or parts(pages))
 
 

@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts, save
+from .common import parts, save, worker_cache
 
 LENGTH, END_ID = 1024, 0
 BUCKETS, DIMS, BITS, SEED = 1024, 3, 10, 7
-MEMO = 400_000  # pieces of text whose ids a task keeps; further ones are encoded again
+MEMO = 1_000_000  # pieces of text whose ids a worker keeps
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -42,8 +42,9 @@ class Encoder:
     """Ids of whole texts as bytes of little-endian unsigned 16-bit numbers.
 
     The vocabulary's pattern never lets a token cross from a character that is
-    not white space to a space, so a text may be cut there and the pieces'
-    ids are kept for the next text.
+    not white space to a space or line end, so a text may be cut there and the
+    pieces' ids are kept for the next text.  A word before a lone comma or
+    full stop is a token run of its own.
     """
 
     def __init__(self, path: str):
@@ -55,34 +56,58 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids must fit in 16 bits")
-        self.cut = re.compile(r"(?<=\S)(?= )")
-        self.kept: dict[str, bytes] = {}
+        self.double = re.compile(r"\s\s")
+        self.cut = re.compile(r"(?<=\S)(?=[ \n])")
+        self.marks = self._new([".", ","], literal=True)
+        self.kept, self.old = dict(self.marks), {}
+
+    @staticmethod
+    def _text(piece: str) -> str:
+        return piece[1:] if piece[:1] == "\t" else piece if piece[:1] == "\n" else " " + piece
 
     def pieces(self, text: str) -> list[str]:
-        if "  " in text:
-            return self.cut.split(text)
-        first, *rest = text.split(" ")
-        return ([first] if first else []) + [" " + x for x in rest]
+        """The text's pieces: a word stands for itself after a space, one after a line end
+        begins with it, and any other begins with a tab that is not part of it."""
+        if self.double.search(text):
+            return ["\t" + x for x in self.cut.split(text) if x]
+        out: list[str] = []
+        for k, line in enumerate(text.split("\n")):
+            first, *rest = line.split(" ")
+            if k:
+                out.append("\n" + first)
+            elif first:
+                out.append("\t" + first)
+            out += rest
+        return out
+
+    def _new(self, pieces: list[str], literal: bool = False) -> dict[str, bytes]:
+        import numpy as np
+        made: dict[str, bytes] = {}
+        for a in range(0, len(pieces), 1000):
+            some = pieces[a:a + 1000]
+            e = self.tokenizer.encode(some if literal else [self._text(x) for x in some], is_pretokenized=True,
+                                      add_special_tokens=False)
+            ids = np.array(e.ids, "<u2").tobytes()
+            ends = (np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(some) + 1)) * 2).tolist()
+            made.update(zip(["\r" + x for x in some] if literal else some,
+                            (ids[x:y] for x, y in zip(ends, ends[1:]))))
+        return made
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        import numpy as np
-        for a in range(0, len(texts), 64):
-            cut = [self.pieces(t) for t in texts[a:a + 64]]
-            new = list(set().union(*cut) - self.kept.keys())
-            made: dict[str, bytes] = {}
-            for b in range(0, len(new), 1000):
-                some = new[b:b + 1000]
-                e = self.tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-                ids = np.array(e.ids, "<u2").tobytes()
-                ends = np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(some) + 1)) * 2
-                made.update(zip(some, (ids[x:y] for x, y in zip(ends.tolist(), ends[1:].tolist()))))
-            if len(self.kept) + len(made) <= MEMO:
-                self.kept.update(made)
-                look = self.kept
-            else:
-                look = made | {p: self.kept[p] for c in cut for p in c if p in self.kept}
+        for a in range(0, len(texts), 128):
+            cut = [self.pieces(t) for t in texts[a:a + 128]]
+            if len(self.kept) > MEMO // 2:  # what was not used since the last time goes
+                self.old, self.kept = self.kept, dict(self.marks)
+            new = set().union(*cut) - self.kept.keys()
+            again = new & self.old.keys()
+            self.kept.update((x, self.old[x]) for x in again)
+            new -= again
+            # a Latin word and the mark after it
+            marked = {x for x in new if x[-1:] in (".", ",") and x[:-1].isalpha() and max(x) < "\u0250"}
+            self.kept.update(self._new(list((new - marked) | ({x[:-1] for x in marked} - self.kept.keys()))))
+            self.kept.update((x, self.kept[x[:-1]] + self.marks["\r" + x[-1]]) for x in marked)
             for c in cut:
-                yield b"".join(map(look.__getitem__, c))
+                yield b"".join(map(self.kept.__getitem__, c))
 
 
 def hilbert(points, bits: int = BITS):
@@ -123,7 +148,8 @@ def tokenized(docs: DataFrame, path: str, buckets: int = BUCKETS, dims: int = DI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import math
         import numpy as np
-        encoder = Encoder(path)
+        encoder = worker_cache().setdefault(("encoder", path), None) or Encoder(path)
+        worker_cache()[("encoder", path)] = encoder
         rng = np.random.default_rng(SEED)
         bucket = rng.integers(0, buckets, 1 << 16)
         project = rng.standard_normal((buckets, dims))
@@ -146,8 +172,8 @@ def tokenized(docs: DataFrame, path: str, buckets: int = BUCKETS, dims: int = DI
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, place long")
 
 
-def pack(rows: DataFrame, order: list[Column], length: int = LENGTH, partitions: int | None = None) -> DataFrame:
-    """Cut documents (doc_id, ids) in ``order`` into sequences; a row a piece."""
+def pack(rows: DataFrame, deal: list[Column], order: list[Column], length: int = LENGTH, partitions: int | None = None) -> DataFrame:
+    """Cut documents (doc_id, ids), dealt out by range of ``deal`` and in ``order``, into sequences; a row a piece."""
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
@@ -206,7 +232,7 @@ def pack(rows: DataFrame, order: list[Column], length: int = LENGTH, partitions:
             sequence, filled = sequence + 1, filled - size
 
     n = partitions or parts(rows)
-    dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    dealt = rows.repartitionByRange(n, *deal).sortWithinPartitions(*order)
     return dealt.select("doc_id", "ids").mapInArrow(run, schema)
 
 
@@ -214,8 +240,8 @@ def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGT
                    partitions: int | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
     rows = save(tokenized(docs, path or tokenizer_path()), "packing-ids")  # texts are encoded once
-    order = [F.col("place"), F.xxhash64("doc_id"), F.col("doc_id"), F.col("ids")]
-    return pack(rows, order, length, partitions)
+    deal = [F.col("place"), F.xxhash64("doc_id")]
+    return pack(rows, deal, [*deal, F.col("doc_id"), F.col("ids")], length, partitions)
 
 
 __all__ = ["Encoder", "hilbert", "pack", "pack_documents", "tokenized", "tokenizer_path"]

@@ -116,7 +116,7 @@ def likeness(x: str, y: str) -> float:
 def fingerprints_with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     """Each document's fingerprint, its edited text's, and the likenesses; in one pass by order."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
+    deal = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
 
     def rows(cells: list[tuple], first: int, last: int) -> Iterator[tuple]:
         import hashlib
@@ -131,7 +131,7 @@ def fingerprints_with_next(docs: DataFrame, partitions: int | None = None) -> Da
             yield cells[i][0], n, sha, mine, own, likeness(mine, own), likeness(mine, theirs)
             mine = theirs
 
-    return neighbours(docs.select("doc_id", "text"), order, rows,
+    return neighbours(docs.select("doc_id", "text"), deal, [*deal, F.col("text")], rows,
                       f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
                       "edited_fingerprint string, near_edited double, near_next double",
                       "piecewise", partitions or parts(docs), wrap=True)
