@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,7 +72,7 @@ def worker_cache() -> dict:
 
 
 def neighbours(df: DataFrame, deal: list[Column], order: list[Column], rows: Callable, schema: str,
-               name: str, partitions: int, wrap: bool = False) -> DataFrame:
+               partitions: int, wrap: bool = False) -> DataFrame:
     """Apply ``rows`` to runs of a globally sorted table.
 
     ``rows(cells, first, last)`` gets consecutive rows as a list of tuples and
@@ -82,88 +82,82 @@ def neighbours(df: DataFrame, deal: list[Column], order: list[Column], rows: Cal
 
     The table is dealt out by range of ``deal``, the first columns of ``order``
     (short ones: samples of them reach the driver), so no task holds more than
-    its share; ``order`` also holds what makes the order complete.
-    The first and last row of a partition lack a neighbour; they and the rows
-    beside them (four a partition) are written with the results and meet in
-    groups of at most three rows in a second pass.  Only partition numbers
-    reach the driver.
+    its share; ``order`` also holds what makes the order complete.  The first
+    and last row of a partition lack a neighbour: they and the rows beside them
+    (four a partition) are read from the same exchange and meet in groups of
+    three.  The window over partition numbers has one row a partition.
     """
-    spark = df.sparkSession
-    names = df.columns
-    out = T.StructType.fromDDL(schema)
-    both = T.StructType([T.StructField("pid", T.IntegerType()), T.StructField("slot", T.StringType())]
-                        + [T.StructField(f"in_{f.name}", f.dataType) for f in df.schema]
-                        + [T.StructField(f"out_{f.name}", f.dataType) for f in out])
     from pyspark.sql.pandas.types import to_arrow_schema
-    arrow = to_arrow_schema(both)
-    n_in, n_out = len(names), len(out)
-
-    def table(cells: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*cells)) if cells else [[]] * len(arrow)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), f.type) for c, f in zip(cols, arrow)], schema=arrow)
+    out = T.StructType.fromDDL(schema)
+    target = to_arrow_schema(out)
+    names = df.columns
+    dealt = df.repartitionByRange(partitions, *deal).sortWithinPartitions(*order)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []  # a row of context and the row that waits for its successor
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                held += zip(*(c.to_pylist() for c in b.slice(at, 1000).columns))
+                if len(held) > 2:
+                    cols = list(zip(*rows(held, 1, len(held) - 1)))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(c), f.type) for c, f in zip(cols, target)], schema=target)
+                    held = held[-2:]
+
+    edge_type = T.StructType([T.StructField("pid", T.IntegerType()), T.StructField("slot", T.StringType()),
+                              *[T.StructField(f"in_{f.name}", f.dataType) for f in df.schema]])
+    edge_schema = to_arrow_schema(edge_type)
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        held: list[tuple] = []  # context and the row that waits for its successor
-        lead: list[tuple] = []  # the partition's first two rows
-        edge = lambda slot, row: (pid, slot, *row, *([None] * n_out))
+        lead, tail = None, None  # the first and the last two rows
         for b in batches:
-            cells = list(zip(*(c.to_pylist() for c in b.columns)))
-            made: list[tuple] = []
-            if cells and len(lead) < 2:
-                lead += cells[:2 - len(lead)]
-                if len(lead) == 2:
-                    made += [edge("first", lead[0]), edge("second", lead[1])]
-            held += cells
-            if len(held) > 2:
-                made += [(pid, None, *([None] * n_in), *x) for x in rows(held, 1, len(held) - 1)]
-                held = held[-2:]
-            for a in range(0, len(made), 2000):
-                yield table(made[a:a + 2000])
-        if len(held) == 1:
-            yield table([edge("only", held[0])])
-        elif held:
-            yield table([edge("before", held[0]), edge("last", held[1])])
-
-    got = save(df.repartitionByRange(partitions, *deal).sortWithinPartitions(*order)
-               .mapInArrow(run, both), name)
-    slots: dict[int, set] = {}
-    for r in got.filter("slot is not null").select("pid", "slot").collect():
-        slots.setdefault(r.pid, set()).add(r.slot)
-    pids = sorted(slots)
-    plan = []  # (partition, slot, group, place in the group)
-    for i, p in enumerate(pids):
-        before = pids[i - 1] if i or wrap else None
-        after = pids[(i + 1) % len(pids)] if i + 1 < len(pids) or wrap else None
-        ends = lambda q, a: (q, "only" if "only" in slots[q] else a)
-        tail = [ends(before, "last")] if before is not None else []
-        head = [ends(after, "first")] if after is not None else []
-        if "only" in slots[p]:
-            groups = [(tail, (p, "only"), head)]
+            if b.num_rows:
+                lead = b.slice(0, 2) if lead is None else lead if lead.num_rows > 1 else _two(lead, b, True)
+                tail = b.slice(max(0, b.num_rows - 2)) if tail is None or b.num_rows > 1 else _two(tail, b, False)
+        if lead is None:
+            return
+        if lead.num_rows == 1:
+            wanted = [("first", lead, 0), ("only", lead, 0), ("last", lead, 0)]
         else:
-            groups = [(tail, (p, "first"), [(p, "second")]), ([(p, "before")], (p, "last"), head)]
-        for g, (x, me, y) in enumerate(groups):
-            for place, at in ((0, x), (1, [me]), (2, y)):
-                plan += [(q, s, 2 * p + g, place) for q, s in at]
-    inner = got.filter("slot is null").select(*[F.col(f"out_{c}").alias(c) for c in out.names])
-    if not plan:
-        return inner
-    where = spark.createDataFrame(plan, "pid int, slot string, grp long, place int")
-    near = (got.filter("slot is not null").join(where, ["pid", "slot"])
-            .select("grp", "place", *[F.col(f"in_{c}").alias(f"in_{c}") for c in names]))
-
-    def edges(key, batch):
+            wanted = [("first", lead, 0), ("second", lead, 1), ("before", tail, 0), ("last", tail, 1)]
+        for slot, b, at in wanted:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([pid], pa.int32()), pa.array([slot]), *[c.slice(at, 1) for c in b.columns]],
+                names=edge_schema.names)
+
+    def _two(x: pa.RecordBatch, y: pa.RecordBatch, first: bool) -> pa.RecordBatch:
+        both = pa.Table.from_batches([x, y]).combine_chunks()
+        return (both.slice(0, 2) if first else both.slice(max(0, both.num_rows - 2))).to_batches()[0]
+
+    edge = dealt.mapInArrow(ends, edge_type)
+    by = Window.orderBy("pid")
+    last, first = ((F.max("pid").over(Window.partitionBy()), F.min("pid").over(Window.partitionBy())) if wrap
+                   else (F.lit(None), F.lit(None)))
+    where = (edge.groupBy("pid").agg(F.max(F.col("slot") == "only").alias("single"))
+             .select("pid", "single", F.coalesce(F.lag("pid").over(by), last).alias("p"),
+                     F.coalesce(F.lead("pid").over(by), first).alias("q")))
+    me, twice = F.col("pid"), (F.col("pid") * 2).cast("long")
+
+    def place(group: Column, at: int, pid: Column, slot: str) -> Column:
+        return F.struct(group.alias("grp"), F.lit(at).alias("place"), pid.alias("from_pid"), F.lit(slot).alias("from_slot"))
+
+    alone = F.array(place(twice, 0, F.col("p"), "last"), place(twice, 1, me, "only"), place(twice, 2, F.col("q"), "first"))
+    ends2 = F.array(place(twice, 0, F.col("p"), "last"), place(twice, 1, me, "first"), place(twice, 2, me, "second"),
+                    place(twice + 1, 0, me, "before"), place(twice + 1, 1, me, "last"),
+                    place(twice + 1, 2, F.col("q"), "first"))
+    where = where.select(F.explode(F.when(F.col("single"), alone).otherwise(ends2)).alias("x")).select("x.*")
+    near = edge.join(where, (F.col("pid") == F.col("from_pid")) & (F.col("slot") == F.col("from_slot")))
+
+    def at_edge(key, batch):
         cells = {r[0]: tuple(r[1:]) for r in zip(*(batch.column(c).to_pylist()
                  for c in ["place", *[f"in_{x}" for x in names]]))}
-        run3 = [cells.get(0), cells[1], cells.get(2)]
-        made = list(rows(run3, 1, 2))
-        target = to_arrow_schema(out)
-        return pa.table([pa.array([m[i] for m in made], f.type) for i, f in enumerate(target)],
-                        schema=target)
+        cols = list(zip(*rows([cells.get(0), cells[1], cells.get(2)], 1, 2)))
+        return pa.table([pa.array(list(c), f.type) for c, f in zip(cols, target)], schema=target)
 
-    return inner.unionByName(near.groupBy("grp").applyInArrow(edges, out))
+    near = near.select("grp", "place", *[f"in_{c}" for c in names])
+    return dealt.mapInArrow(inner, out).unionByName(near.groupBy("grp").applyInArrow(at_edge, out))
 
 
 def parts(df: DataFrame, least: int = 1) -> int:

@@ -236,8 +236,7 @@ def extract(pages: DataFrame, partitions: int | None = None) -> DataFrame:
             cut.pop(i - 1, None)
             yield me[0], me[1], text, len(text)
 
-    return neighbours(keyed, deal, [*deal, F.col("html")], rows, f"page_id {kind}, url string, text string, n_chars long", "html",
-                      partitions or parts(pages))
+    return neighbours(keyed, deal, [*deal, F.col("html")], rows, f"page_id {kind}, url string, text string, n_chars long", partitions or parts(pages))
 
 
 __all__ = ["common_places", "extract", "lines", "main_text"]

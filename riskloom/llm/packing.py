@@ -98,13 +98,13 @@ class Encoder:
             cut = [self.pieces(t) for t in texts[a:a + 128]]
             if len(self.kept) > MEMO // 2:  # what was not used since the last time goes
                 self.old, self.kept = self.kept, dict(self.marks)
-            new = set().union(*cut) - self.kept.keys()
-            again = new & self.old.keys()
+            new = {x for x in set().union(*cut) if x not in self.kept}
+            again = {x for x in new if x in self.old}
             self.kept.update((x, self.old[x]) for x in again)
             new -= again
             # a Latin word and the mark after it
             marked = {x for x in new if x[-1:] in (".", ",") and x[:-1].isalpha() and max(x) < "\u0250"}
-            self.kept.update(self._new(list((new - marked) | ({x[:-1] for x in marked} - self.kept.keys()))))
+            self.kept.update(self._new(list((new - marked) | {x[:-1] for x in marked if x[:-1] not in self.kept})))
             self.kept.update((x, self.kept[x[:-1]] + self.marks["\r" + x[-1]]) for x in marked)
             for c in cut:
                 yield b"".join(map(self.kept.__getitem__, c))

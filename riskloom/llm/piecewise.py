@@ -134,7 +134,7 @@ def fingerprints_with_next(docs: DataFrame, partitions: int | None = None) -> Da
     return neighbours(docs.select("doc_id", "text"), deal, [*deal, F.col("text")], rows,
                       f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, "
                       "edited_fingerprint string, near_edited double, near_next double",
-                      "piecewise", partitions or parts(docs), wrap=True)
+                      partitions or parts(docs), wrap=True)
 
 
 __all__ = ["fingerprint", "fingerprints_with_next", "likeness"]

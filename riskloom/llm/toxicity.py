@@ -235,7 +235,7 @@ def _scorer(model: dict | None):
         out = []
         for a in range(0, len(texts), 64):
             cut = [split(t or "") for t in texts[a:a + 64]]
-            new = list(set().union(*cut) - kept.keys())
+            new = [x for x in set().union(*cut) if x not in kept]
             if len(kept) + len(new) > MEMO:
                 kept.clear()
                 new = list(set().union(*cut))
