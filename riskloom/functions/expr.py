@@ -115,3 +115,14 @@ def round_half_up(x: float, d: int) -> float:
     the shortest decimal form, so collected values round as in SQL."""
     from decimal import ROUND_HALF_UP, Decimal
     return float(Decimal(repr(x)).quantize(Decimal(1).scaleb(-d), rounding=ROUND_HALF_UP))
+
+
+def join_null_safe(left, right, keys, how: str = "inner"):
+    """Equality join on ``keys`` in which NULL keys meet; the left side's keys stay."""
+    right = right.select(*[F.col(k).alias(f"_ns_{k}") for k in keys],
+                         *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(right[f"_ns_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(right, cond, how).drop(*[f"_ns_{k}" for k in keys])

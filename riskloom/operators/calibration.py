@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,50 +12,51 @@ from ..functions.expr import (GRADE_LABELS, PROB_EPS, clip_prob, count_lt, dbl,
 from ..session import cut_lineage
 from .ordered import exact_percentiles
 
-LOCAL_DISTINCT_MAX = 1_000_000
 CASE_GROUPS_MAX = 1_000  # beyond this, edges are joined instead of inlined
 
 
-def newton_offset(scored: DataFrame, p_col: str, y_col: str, steps: int = 8,
-                  target: float | None = None, bound: float = 10.0) -> float:
+def newton_offset(scored: DataFrame, p_col: str, y_col: str, steps: int = 100,
+                  target: float | None = None, bound: float = 10.0, tol: float = 1e-15) -> float:
     """Offset c with mean(sigmoid(logit(p) + c)) = target (default: mean of y).
 
-    Rows are first collapsed to distinct logits with weights (a scorecard has
-    few distinct scores).  Up to LOCAL_DISTINCT_MAX of them are collected and
-    the steps run on the driver; beyond that the table is checkpointed and
-    each Newton step is one small aggregate: f = mean(s) - target, f' = mean(s (1 - s)).  A fixed number of
-    steps keeps the result reproducible; c is clamped to [-bound, bound].
+    Rows are collapsed once to distinct logits with weights; each step is one
+    small aggregate of that table: f = mean(s) - target, f' = mean(s (1 - s)).
+    The root is kept in a bracket inside [-bound, bound]; a Newton step that
+    leaves the bracket is replaced by its middle, so the search converges from
+    any start.  It stops when |f|, the step or the bracket is below ``tol``,
+    returns the nearer bound if the target lies beyond it, and raises if
+    ``steps`` (100 at least) do not do.
     """
-    dist = scored.select(logit(F.col(p_col)).alias("_z"), F.col(y_col).cast("bigint").alias("_y")) \
-        .groupBy("_z").agg(F.count(F.lit(1)).alias("_w"), F.sum("_y").alias("_yp"))
-    small = dist.limit(LOCAL_DISTINCT_MAX + 1).collect()
-    if len(small) <= LOCAL_DISTINCT_MAX:
-        # few distinct scores (checked): the steps run on the collected table
-        z = np.array([r["_z"] for r in small], dtype=float)
-        w = np.array([r["_w"] for r in small], dtype=float)
-        if target is None:
-            target = float(sum(r["_yp"] for r in small) / w.sum()) if w.sum() else 0.0
-        c = 0.0
-        for _ in range(steps):
-            s_ = 1.0 / (1.0 + np.exp(-(z + c)))
-            m, d = float((w * s_).sum() / w.sum()), float((w * s_ * (1 - s_)).sum() / w.sum())
-            if d == 0:
-                break
-            c = max(-bound, min(bound, c - (m - target) / d))
-        return c
-    dist = cut_lineage(dist)
+    dist = cut_lineage(
+        scored.select(logit(F.col(p_col)).alias("_z"), F.col(y_col).cast("bigint").alias("_y"))
+        .groupBy("_z").agg(F.count(F.lit(1)).alias("_w"), F.sum("_y").alias("_yp")))
+    r = dist.agg(F.sum("_yp").alias("a"), F.sum("_w").alias("b")).first()
+    if not r["b"]:
+        return 0.0
     if target is None:
-        r = dist.agg(F.sum("_yp").alias("a"), F.sum("_w").alias("b")).first()
-        target = (r["a"] / r["b"]) if r["b"] else 0.0
-    c = 0.0
-    for _ in range(steps):
+        target = r["a"] / r["b"]
+
+    def at(c: float) -> tuple[float, float]:
         s = sigmoid(F.col("_z") + dbl(c))
         r = dist.agg((F.sum(F.col("_w") * s) / F.sum("_w")).alias("m"),
                      (F.sum(F.col("_w") * s * (dbl(1) - s)) / F.sum("_w")).alias("d")).first()
-        if r["d"] is None or r["d"] == 0:
-            break
-        c = max(-bound, min(bound, c - (r["m"] - target) / r["d"]))
-    return c
+        return r["m"] - target, r["d"]
+
+    low, high, c = -bound, bound, 0.0
+    steps = max(steps, 100)
+    for _ in range(steps):
+        f, d = at(c)
+        if abs(f) <= tol:
+            return c
+        low, high = (low, c) if f > 0 else (c, high)
+        step = c - f / d if d else low
+        step = step if low < step < high else (low + high) / 2
+        if abs(step - c) <= tol * max(1.0, abs(c)) or high - low <= tol:
+            return step
+        if bound - abs(step) <= 1e-9:  # the target lies beyond a bound
+            return bound if step > 0 else -bound
+        c = step
+    raise RuntimeError(f"no offset found in {steps} steps")
 
 
 def shift_logit(p, offset: float):

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.expr import dbl
+from ..functions.expr import dbl, join_null_safe
 
 BUCKET = "_rl_bucket"
 ROWS_PER_BUCKET = 2_000_000  # rows one window task handles comfortably
@@ -119,7 +119,7 @@ def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
         Window.unboundedPreceding, Window.currentRow)
     inner = bucketed.select("*", *[F.sum(c).over(w_in).alias(f"_i_{c}") for c in sums])
     # offsets: one row per (group, bucket), bounded by the bucket count
-    out = inner.join(F.broadcast(offsets) if not part else offsets, on=[*part, BUCKET])
+    out = join_null_safe(inner, offsets, [*part, BUCKET])  # a NULL group is a group
     return out.select(*df.columns, *[
         (F.col(f"_o_{c}") + F.col(f"_i_{c}")).alias(f"{prefix}{c}") for c in sums])
 

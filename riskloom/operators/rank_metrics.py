@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import dbl
+from ..functions.expr import dbl, join_null_safe
 from .ordered import row_positions, running_totals
 
 
@@ -47,7 +47,7 @@ def cumulative(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> Data
     n_rows = sum((r["P"] or 0) + (r["N"] or 0) for r in tot.collect())
     cum = running_totals(sc, ["-score"], ["pos", "neg"], keys, n_rows=n_rows)
     cum = cum.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
-    out = cum.join(F.broadcast(tot), keys)
+    out = join_null_safe(cum, tot, keys)
     return out if group_cols else out.drop("_rl_g")
 
 
@@ -95,7 +95,7 @@ def decile_table(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key:
     sizes = group_totals(base, keys, [F.count(F.lit(1)).alias("_n")])
     n_rows = sum(r["_n"] for r in sizes.collect())
     pos = row_positions(base.select(*keys, p, y, key), [f"-{p}", key], keys, n_rows=n_rows)
-    pos = pos.join(F.broadcast(sizes), keys)
+    pos = join_null_safe(pos, sizes, keys)
     r0 = F.col("rn") - 1
     nm1 = F.col("_n") - 1
     dec = F.when(r0 == 0, F.lit(1)).otherwise(
@@ -122,11 +122,12 @@ def cap_curve(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key: str
     n_rows = sum(r["_n"] for r in tot.collect())
     cum = running_totals(one.withColumn("_one", F.lit(1).cast("bigint")),
                          [f"-{p}", key], ["_one", "_y"], keys, n_rows=n_rows)
-    cum = cum.join(F.broadcast(tot), keys)
+    cum = join_null_safe(cum, tot, keys)
     pop = F.col("cum__one") / F.col("_n")
     return cum.select(*group_cols, key, F.col("cum__one").alias("rn"), pop.alias("cum_pop"),
                       _ratio(F.col("cum__y"), F.col("_b")).alias("cum_capture"),
-                      F.least(dbl(1), pop * F.col("_n") / F.col("_b")).alias("perfect"),
+                      F.when(F.col("_b") > 0, F.least(dbl(1), pop * F.col("_n") / F.col("_b")))
+                      .alias("perfect"),
                       pop.alias("random_line"))
 
 
@@ -159,7 +160,7 @@ def threshold_sweep(df: DataFrame, group_cols: Sequence[str], p: str, y: str,
     seq = F.explode(F.sequence(F.lit(0), F.lit(n_points - 1))).alias("k")
     spine = (b.select(*group_cols).distinct().select(*group_cols, seq) if group_cols
              else spark.range(1).select(seq))
-    t = spine.join(b, [*group_cols, "k"], "left").fillna(0, ["_pos", "_neg"])
+    t = join_null_safe(spine, b, [*group_cols, "k"], "left").fillna(0, ["_pos", "_neg"])
     w = Window.partitionBy(*group_cols).orderBy(F.col("k").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     wt = Window.partitionBy(*group_cols)
@@ -201,11 +202,11 @@ def score_histogram(df: DataFrame, group_cols: Sequence[str], p: str, y: str,
     i1 = F.when(F.col("_p") < edge(i0), i0 - 1).otherwise(i0)
     i2 = F.when((i1 != n_bins - 1) & (F.col("_p") >= edge(i1 + 1)), i1 + 1).otherwise(i1)
     bin_ = F.when(span == 0, F.lit(0)).otherwise(i2).cast("int")
-    c = d.join(rng, keys).groupBy(*keys, bin_.alias("bin")).agg(
+    c = join_null_safe(d, rng, keys).groupBy(*keys, bin_.alias("bin")).agg(
         F.count(F.lit(1)).alias("count"))
     spine = rng.select(*keys, "lo", "hi", "_n",
                        F.explode(F.sequence(F.lit(0), F.lit(n_bins - 1))).alias("bin"))
-    full = spine.join(c, [*keys, "bin"], "left")
+    full = join_null_safe(spine, c, [*keys, "bin"], "left")
     w = F.when(span == 0, dbl(1)).otherwise(step)
     return full.select(*keys, "bin", (F.col("bin").cast("double") * w + F.col("lo")).alias("bin_lo"),
                        F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),

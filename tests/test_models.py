@@ -90,11 +90,21 @@ def test_forward_gbt_small_fixture(spark):
     assert len({s[1] for s in steps}) == 2
 
 
-def test_newton_offset_distributed_path_agrees(spark, monkeypatch):
-    from riskloom.operators import calibration as C
-    pdf, df = _data(spark)
-    scored = df.selectExpr("1 / (1 + exp(-(x1 - 1))) AS p", "y")
-    local = newton_offset(scored, "p", "y", steps=8)
-    monkeypatch.setattr(C, "LOCAL_DISTINCT_MAX", 0)
-    dist = C.newton_offset(scored, "p", "y", steps=8)
-    assert abs(local - dist) < 1e-12
+def test_newton_offset_far_targets(spark):
+    for p, target in ((0.018, 0.5), (0.98, 0.1), (0.5, 0.999)):
+        df = spark.createDataFrame([(p, 0), (p, 1)], "p double, y int")
+        c = newton_offset(df, "p", "y", target=target)
+        want = np.log(target / (1 - target)) - np.log(p / (1 - p))
+        assert abs(c - want) < 1e-9
+    df = spark.createDataFrame([(0.5, 0)], "p double, y int")
+    assert newton_offset(df, "p", "y", target=1 - 1e-9) == 10.0
+
+
+def test_vif_drops_the_last_dependent_column(spark):
+    rng = np.random.default_rng(3)
+    z, a = rng.normal(size=(2, 200))
+    rows = [(float(x), float(y), float(y), 1.0) for x, y in zip(z, a)]
+    df = spark.createDataFrame(rows, "z double, a double, b double, flat double")
+    assert vif_elimination(df, ["z", "a", "b", "flat"])[0] == ["z", "a", "flat"]
+    v = vif_from_corr(correlation_matrix(df, ["z", "a", "b", "flat"]))
+    assert np.isinf(v[2]) and np.isfinite(v[[0, 1, 3]]).all() and v[3] == 1

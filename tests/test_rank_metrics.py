@@ -107,3 +107,20 @@ def test_calibration_curve_join_path_matches_inline(spark, monkeypatch):
     a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
     assert a[key + ["n"]].equals(b[key + ["n"]])
     assert np.allclose(a.mean_pred, b.mean_pred) and np.allclose(a.frac_pos, b.frac_pos)
+
+
+def test_null_group_and_group_without_bads_are_kept(spark):
+    from riskloom.operators import rank_metrics as R
+    rows = [(g, k / 10, int(g != "b" and k % 3 == 0), k + 10 * i)
+            for i, g in enumerate(("a", None, "b")) for k in range(10)]
+    df = spark.createDataFrame(rows, "g string, p double, y int, id long")
+    groups = {"a", None, "b"}
+    got = R.rank_summary(R.cumulative(df, ["g"], "p", "y"), ["g"]).collect()
+    assert {r.g for r in got} == groups
+    assert {r.g: r.auc for r in got}["a"] == {r.g: r.auc for r in got}[None]
+    cap = R.cap_curve(df, ["g"], "p", "y", "id").collect()
+    assert len(cap) == 30 and all(r.perfect is None for r in cap if r.g == "b")
+    assert {r.g for r in R.decile_table(df, ["g"], "p", "y", "id").collect()} == groups
+    sweep = R.threshold_sweep(df, ["g"], "p", "y", 11)
+    by = {g: sorted(str(r.asDict() | {"g": 0}) for r in sweep.collect() if r.g == g) for g in groups}
+    assert by["a"] == by[None]
