@@ -7,13 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.expr import (GRADE_LABELS, PROB_EPS, clip_prob, count_lt, dbl, logit,
+from ..functions.expr import (GRADE_LABELS, PROB_EPS, clip_prob, dbl, join_null_safe, logit,
                               sigmoid)
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize
 from .ordered import exact_percentiles
 
-CASE_GROUPS_MAX = 1_000  # beyond this, edges are joined instead of inlined
-
 
 def newton_offset(scored: DataFrame, p_col: str, y_col: str, steps: int = 100,
                   target: float | None = None, bound: float = 10.0, tol: float = 1e-15) -> float:
@@ -104,33 +102,13 @@ def calibration_curve(df: DataFrame, group_cols: Sequence[str], p: str, y: str,
     probs = [i / n_bins for i in range(1, n_bins)]
     keys = list(group_cols) or ["_rl_g"]
     base = df if group_cols else df.withColumn("_rl_g", F.lit(0))
-    q = exact_percentiles(base, keys, p, probs)
-    edges = q.groupBy(*keys).agg(F.array_sort(F.collect_list(
-        F.struct(F.col("pidx"), F.round("q", 12).alias("e")))).alias("_es"))
-    rows = {tuple(r[k] for k in keys): [s["e"] for s in r["_es"]] for r in edges.collect()}
-    if len(rows) > CASE_GROUPS_MAX:
-        # many groups: the edge arrays go in a small table joined on the keys
-        types = {f.name: f.dataType.simpleString() for f in base.schema.fields}
-        schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", _edges array<double>"
-        et = base.sparkSession.createDataFrame([(*k, v) for k, v in rows.items()], schema)
-        binned = base.join(et, keys, "left").withColumn(
-            "bin", F.size(F.filter("_edges", lambda e: e < F.col(p))))
-        out = binned.groupBy(*keys, "bin").agg(
-            F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_pred"),
-            F.avg(F.col(y).cast("double")).alias("frac_pos"))
-        return out if group_cols else out.drop("_rl_g")
-    # edges: at most n_bins - 1 per group, collected; bin index as literals
-    bin_expr = None
-    for key, es in rows.items():
-        cond = None
-        for k, v in zip(keys, key):
-            c = F.col(k) == F.lit(v)
-            cond = c if cond is None else cond & c
-        e = count_lt(F.col(p), es)
-        bin_expr = F.when(cond, e) if bin_expr is None else bin_expr.when(cond, e)
-    if bin_expr is None:
-        bin_expr = F.lit(0)
-    out = base.withColumn("bin", bin_expr).groupBy(*keys, "bin").agg(
+    edges = exact_percentiles(base, keys, p, probs).groupBy(*keys).agg(
+        F.collect_list(F.round("q", 12)).alias("_es"))
+    # written, so that its size is known when the join is planned
+    binned = join_null_safe(base, materialize(edges, "edges"), keys, "left")
+    binned = binned.withColumn("bin", F.when(
+        F.col(p).isNotNull(), F.size(F.filter("_es", lambda e: e < F.col(p)))))
+    out = binned.groupBy(*keys, "bin").agg(
         F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_pred"),
         F.avg(F.col(y).cast("double")).alias("frac_pos"))
     return out if group_cols else out.drop("_rl_g")

@@ -2,42 +2,34 @@
 
 ``Window.orderBy`` with no partition key moves a whole table into one task.
 Every order-dependent quantity in the scorecard (running counts for ROC, KS,
-AP, CAP, decile positions, exact quantiles) is instead computed in two levels:
+AP, CAP, decile positions, exact quantiles) is instead computed in two levels,
+at every size alike:
 
-1. bucket the rows by the order key: B-1 bounds are taken once on the driver
-   from a bounded sample of the key (as Spark's range partitioner does for a
-   distributed ``orderBy``) and each row gets its bucket from a balanced tree
-   of literal comparisons, so the buckets are the same in every consumer and
-   on every retry of a stage;
-2. running sums inside each bucket with a window partitioned by bucket, and
-   bucket totals (one row per bucket) turned into offsets by a window on the
-   small totals table; the offsets are joined back.
+1. the rows are dealt out by range of (group, order key) with Spark's own
+   range partitioner and written once in the shared folder together with the
+   number of their partition, so that a retried stage cannot move rows;
+2. running sums inside each partition, and partition totals (one row per group
+   and partition) turned into offsets by a window on that small table; the
+   offsets are joined back.
 
 A hot order value (one score held by a third of the rows) is no problem when
-callers aggregate to distinct values first, which they do.  The number of
-buckets defaults to ``spark.sql.shuffle.partitions``: the knob a cluster
-operator already sizes so that a partition fits in executor memory.
+callers aggregate to distinct values first or add a unique tie-breaker, which
+they do.  The number of partitions is ``spark.sql.shuffle.partitions`` (fewer
+if adaptive execution finds small ones): the knob a cluster operator already
+sizes so that a partition fits in executor memory.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.expr import dbl, join_null_safe
+from ..session import materialize
 
 BUCKET = "_rl_bucket"
-ROWS_PER_BUCKET = 2_000_000  # rows one window task handles comfortably
-MAX_BUCKETS = 100_000
-SAMPLE_MAX = 1_000_000  # keys collected to pick the bucket bounds
-
-
-def bucket_count(n_rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
-    """Buckets grow with the data: ~rows_per_bucket rows each, at most MAX_BUCKETS."""
-    return int(max(1, min(MAX_BUCKETS, -(-int(n_rows) // rows_per_bucket))))
 
 
 def _key_columns(order_by: Sequence[str]) -> list[Column]:
@@ -48,127 +40,71 @@ def _key_columns(order_by: Sequence[str]) -> list[Column]:
     return out
 
 
-def _search(key: Column, bounds: list, lo: int, hi: int, types: list) -> Column:
-    """Number of bounds[lo:hi] <= key, as a balanced tree of comparisons."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    b = bounds[mid]
-    lit = F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
-    return F.when(key >= lit, _search(key, bounds, mid + 1, hi, types)).otherwise(
-        _search(key, bounds, lo, mid, types))
-
-
-def bucket_bounds(keyed: DataFrame, n_buckets: int, n_rows: int | None = None) -> list[tuple]:
-    """B-1 ascending bounds of the struct key ``_rl_key``, from a bounded sample.
-
-    Computed once on the driver (at most SAMPLE_MAX keys are collected), so every consumer of the bucketed rows sees the same buckets,
-    also when a stage is recomputed after an executor loss.
-    """
-    if n_buckets <= 1:
-        return []
-    n = keyed.count() if n_rows is None else n_rows
-    want = min(SAMPLE_MAX, max(10, SAMPLE_MAX // n_buckets) * n_buckets)
-    sample = keyed if n <= want else keyed.sample(False, min(1.0, 1.2 * want / n), seed=17)
-    keys = sorted(tuple(r[0]) for r in sample.select("_rl_key").collect()
-                  if all(v is not None for v in r[0]))
-    if not keys:
-        return []
-    bounds = []
-    for i in range(1, n_buckets):
-        b = keys[min(len(keys) - 1, (i * len(keys)) // n_buckets)]
-        if not bounds or b > bounds[-1]:
-            bounds.append(b)
-    return bounds
-
-
 def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
                    partition_by: Sequence[str] = (), buckets: int | None = None,
-                   prefix: str = "cum_", n_rows: int | None = None) -> DataFrame:
+                   prefix: str = "cum_", totals: Mapping[str, str] | None = None) -> DataFrame:
     """Inclusive running sums of ``sums`` in ``order_by`` order per ``partition_by``.
 
     ``order_by`` lists column names, "-name" for descending.  It must be a
     total order within each partition group (aggregate to distinct values or
-    add a unique tie-breaker), as for a ROWS window.  ``n_rows`` (an upper
-    bound of the row count, when the caller knows it) saves a counting job.
+    add a unique tie-breaker), as for a ROWS window.  A NULL group is a group.
+    ``totals`` maps columns of ``sums`` to names under which their sum over
+    the whole group is added.  ``buckets`` fixes the number of partitions.
     """
     part = list(partition_by)
-    if buckets is None:
-        n_rows = df.count() if n_rows is None else n_rows
-        buckets = bucket_count(n_rows)
-    nb = buckets
     keys = _key_columns(order_by)
-    if nb <= 1:
-        # everything fits one bucket (<= ROWS_PER_BUCKET rows): plain window
-        w = Window.partitionBy(*part).orderBy(*keys).rowsBetween(
-            Window.unboundedPreceding, Window.currentRow)
-        return df.select(*df.columns, *[F.sum(c).over(w).alias(f"{prefix}{c}") for c in sums])
-    fields = [F.col(c) for c in part] + keys
-    keyed = df.withColumn("_rl_key", F.struct(*[c.alias(f"k{i}") for i, c in enumerate(fields)]))
-    types = [f.dataType for f in keyed.schema["_rl_key"].dataType.fields]
-    bounds = bucket_bounds(keyed, nb, n_rows)
-    bucketed = keyed.withColumn(BUCKET, _search(F.col("_rl_key"), bounds, 0, len(bounds), types))
-
-    totals = bucketed.groupBy(*part, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    w_off = Window.partitionBy(*part).orderBy(BUCKET).rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = totals.select(*part, BUCKET, *[
-        F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sums])
-
-    w_in = Window.partitionBy(BUCKET, *part).orderBy(*keys).rowsBetween(
+    by = [F.col(c) for c in part] + keys
+    dealt = df.repartitionByRange(buckets, *by) if buckets else df.repartitionByRange(*by)
+    rows = materialize(dealt.withColumn(BUCKET, F.spark_partition_id()), "ordered")
+
+    group = Window.partitionBy(*part)
+    before = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy(*part, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    # written, so that its size is known when the join is planned
+    offsets = materialize(sizes.select(
+        *part, BUCKET,
+        *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
+        *[F.sum(f"_t_{c}").over(group).alias(t) for c, t in (totals or {}).items()]), "offsets")
+
+    inside = Window.partitionBy(BUCKET, *part).orderBy(*keys).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    inner = bucketed.select("*", *[F.sum(c).over(w_in).alias(f"_i_{c}") for c in sums])
-    # offsets: one row per (group, bucket), bounded by the bucket count
-    out = join_null_safe(inner, offsets, [*part, BUCKET])  # a NULL group is a group
+    inner = rows.select("*", *[F.sum(c).over(inside).alias(f"_i_{c}") for c in sums])
+    out = join_null_safe(inner, offsets, [*part, BUCKET])
     return out.select(*df.columns, *[
-        (F.col(f"_o_{c}") + F.col(f"_i_{c}")).alias(f"{prefix}{c}") for c in sums])
+        (F.col(f"_o_{c}") + F.col(f"_i_{c}")).alias(f"{prefix}{c}") for c in sums],
+        *(totals or {}).values())
 
 
 def row_positions(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
                   name: str = "rn", buckets: int | None = None,
-                  n_rows: int | None = None) -> DataFrame:
-    """1-based row number in ``order_by`` order per group, computed in two levels."""
+                  count_as: str | None = None) -> DataFrame:
+    """1-based row number in ``order_by`` order per group, computed in two levels.
+
+    ``count_as`` names a further column with the rows of the group.
+    """
     one = df.withColumn("_rl_one", F.lit(1).cast("bigint"))
     out = running_totals(one, order_by, ["_rl_one"], partition_by, buckets, prefix="_rl_cum",
-                         n_rows=n_rows)
+                         totals={"_rl_one": count_as} if count_as else None)
     return out.withColumnRenamed("_rl_cum_rl_one", name).drop("_rl_one")
 
 
-GROUPS_MAX = 100_000
-
-
-def _targets(spark, keyed: Sequence[str], sizes: list, probs: Sequence[float]):
-    """Order-statistic targets per group from collected sizes (small)."""
-    rows = []
-    for r in sizes:
-        n = r["_n"]
-        for i, p in enumerate(probs):
-            h = (n - 1) * float(p)
-            lo = int(h // 1)
-            hi = lo if h == lo else lo + 1
-            rows.append((*[r[c] for c in keyed], i, float(p), float(h), lo, hi))
-    return rows
-
-
-def exact_percentile_rows(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                          probs: Sequence[float], buckets: int | None = None,
-                          weight_col: str | None = None, distinct: bool = False) -> list:
-    """Exact linear-interpolated percentiles per group, distributed; collected.
+def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                      probs: Sequence[float], buckets: int | None = None,
+                      weight_col: str | None = None, distinct: bool = False) -> DataFrame:
+    """Exact linear-interpolated percentiles per group: group_cols, pidx, prob, q.
 
     Same definition as numpy ``quantile`` / DuckDB ``quantile_cont`` / Spark
     ``percentile``: with n non-null values sorted, h = (n - 1) * p and the
     result is v[floor h] + (v[ceil h] - v[floor h]) * (h - floor h).
 
     Values are first collapsed to (group, value, count) (``weight_col`` when
-    the input is already such a table), so a value repeated in a third of the
-    rows is a single row; the order statistics are then found from two-level
-    running counts (``distinct=True``: the input already has one row per
-    (group, value) with its count in ``weight_col``).  Unlike ``percentile``
-    nothing keeps a whole group's value map in one task.  The result has one
-    row per (group, prob): group_cols,
-    pidx, prob, q.  The number of groups is checked against ``GROUPS_MAX``.
+    the input is already such a table; ``distinct=True``: it has one row per
+    group and value), so a value repeated in a third of the rows is a single
+    row.  The order statistics are the values whose running counts enclose the
+    wanted positions; they are picked by one aggregate with map-side combine.
+    Unlike ``percentile`` nothing keeps a whole group's value map in one task,
+    and nothing is collected, however many groups there are.
     """
-    spark = df.sparkSession
     groups = list(group_cols)
     keyed = groups or ["_rl_g"]
     base = df if groups else df.withColumn("_rl_g", F.lit(0))
@@ -177,54 +113,31 @@ def exact_percentile_rows(df: DataFrame, group_cols: Sequence[str], value_col: s
                      *([weight_col] if weight_col else []))
          .where(F.col("_v").isNotNull()))
     if distinct and weight_col:
-        # already one row per (group, value): no second aggregation
         v = v.select(*keyed, "_v", F.col(weight_col).cast("bigint").alias("_c"))
     else:
         v = v.groupBy(*keyed, "_v").agg(cnt.cast("bigint").alias("_c"))
-    v = v.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sizes = v.groupBy(*keyed).agg(F.sum("_c").alias("_n"),
-                                      F.count(F.lit(1)).alias("_d")).limit(GROUPS_MAX + 1).collect()
-        if len(sizes) > GROUPS_MAX:
-            raise ValueError(f"more than {GROUPS_MAX} groups for exact percentiles")
-        if not sizes:
-            return []
-        n_distinct = sum(r["_d"] for r in sizes)
-        rt = running_totals(v, ["_v"], ["_c"], keyed, buckets, n_rows=n_distinct)
-        types = {f.name: f.dataType.simpleString() for f in v.schema.fields}
-        schema = ", ".join(f"`{c}` {types[c]}" for c in keyed) + \
-            ", pidx int, prob double, _h double, _klo bigint, _khi bigint"
-        targets = _targets(spark, keyed, sizes, probs)
-        t = spark.createDataFrame(targets, schema)
-        ks = t.select(*[F.col(c).alias(f"_kk_{c}") for c in keyed],
-                      F.explode(F.array("_klo", "_khi")).alias("_k")).distinct()
-        cond = [F.col(c).eqNullSafe(F.col(f"_kk_{c}")) for c in keyed] + [
-            (F.col("cum__c") - F.col("_c")) <= F.col("_k"), F.col("_k") < F.col("cum__c")]
-        # targets: (groups x probs x 2) rows, bounded by GROUPS_MAX above; the
-        # hits are as many, collected and interpolated on the driver
-        hits = rt.join(F.broadcast(ks), cond, "inner").select(*keyed, "_k", "_v").collect()
-        at = {(tuple(r[c] for c in keyed), r["_k"]): r["_v"] for r in hits}
-        out = []
-        for tr in targets:
-            g = tuple(tr[:len(keyed)])
-            i, p, h, klo, khi = tr[len(keyed):]
-            lo, hi = at.get((g, klo)), at.get((g, khi))
-            q = None if lo is None or hi is None else lo + (hi - lo) * (h - klo)
-            out.append((*(g if groups else ()), i, p, q))
-        return out
-    finally:
-        v.unpersist()
+    rt = running_totals(v, ["_v"], ["_c"], keyed, buckets, totals={"_c": "_n"})
 
+    def at(k: Column) -> Column:  # the value at position k (from 0)
+        return F.max(F.when((F.col("cum__c") - F.col("_c") <= k) & (k < F.col("cum__c")), F.col("_v")))
 
-def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                      probs: Sequence[float], buckets: int | None = None) -> DataFrame:
-    """``exact_percentile_rows`` as a small DataFrame (group_cols, pidx, prob, q)."""
-    spark = df.sparkSession
-    rows = exact_percentile_rows(df, group_cols, value_col, probs, buckets)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c]}" for c in group_cols) + \
-        (", " if group_cols else "") + "pidx int, prob double, q double"
-    return spark.createDataFrame(rows, schema)
+    place = [(F.col("_n") - 1).cast("double") * dbl(p) for p in probs]
+    picked = rt.groupBy(*keyed).agg(
+        F.max("_n").alias("_n"),
+        *[at(F.floor(h)).alias(f"_lo{i}") for i, h in enumerate(place)],
+        *[at(F.ceil(h)).alias(f"_hi{i}") for i, h in enumerate(place)])
+    found = [F.struct(F.lit(i).alias("pidx"), dbl(p).alias("prob"), (
+        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (h - F.floor(h))).alias("q"))
+        for i, (p, h) in enumerate(zip(probs, place))]
+    return picked.select(*groups, F.explode(F.array(*found)).alias("_f")).select(*groups, "_f.*")
+
+
+def exact_percentile_rows(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                          probs: Sequence[float], buckets: int | None = None,
+                          weight_col: str | None = None, distinct: bool = False) -> list:
+    """``exact_percentiles`` collected as tuples; for groups that are features of a fit."""
+    return [tuple(r) for r in exact_percentiles(df, group_cols, value_col, probs, buckets,
+                                                weight_col, distinct).collect()]
 
 
 def approx_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,

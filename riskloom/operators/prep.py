@@ -11,10 +11,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import dbl, round_half_up
-from .ordered import approx_percentiles, exact_percentile_rows
-
-INLINE_GROUPS_MAX = 10_000
+from ..functions.expr import dbl
+from ..session import materialize
+from .ordered import percentiles
 
 
 def cohort_column(vintage: Column, train: Sequence[str], val: Sequence[str],
@@ -46,63 +45,40 @@ def impute_constant(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
                            for c, v in values.items()})
 
 
-def _median_table(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str],
-                  exact: bool) -> dict:
-    """{group key tuple: {column: median}} for all columns in one job set.
+def _medians(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str],
+             exact: bool) -> DataFrame:
+    """group_cols and a column ``_med_<column>`` per column; one row per group.
 
     Medians are rounded to 6 places: values live on a decimal grid, this only
-    removes last-bit noise of the interpolation so engines agree.  The result
-    has one entry per group (collected; the group count is checked upstream).
+    removes last-bit noise of the interpolation so engines agree.
     """
     long = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         list(group_cols), list(cols), "_feature", "_value")
-    keys = [*group_cols, "_feature"]
-    if exact:
-        rows = [tuple(r) for r in exact_percentile_rows(long, keys, "_value", [0.5])]
-    else:
-        rows = [tuple(r[k] for k in keys) + (r["pidx"], r["prob"], r["q"])
-                for r in approx_percentiles(long, keys, "_value", [0.5]).collect()]
-    out: dict = {}
-    ng = len(group_cols)
-    for r in rows:
-        q = r[-1]
-        out.setdefault(tuple(r[:ng]), {})[r[ng]] = None if q is None else round_half_up(q, 6)
-    return out
+    q = percentiles(long, [*group_cols, "_feature"], "_value", [0.5], exact)
+    return q.groupBy(*group_cols).agg(*[
+        F.max(F.when(F.col("_feature") == c, F.round("q", 6))).alias(f"_med_{c}") for c in cols])
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
                   exact: bool = True) -> DataFrame:
     """Fill NULLs with the median of the column, per group (or overall).
 
-    Medians are collected (one row per group, checked against a bound) and
-    looked up from a literal map: no join, one pass.  Beyond the bound they
-    are joined back as a table.  A group whose values are all NULL keeps
-    NULLs, like ``fillna(NaN)``.
+    Overall medians are one row and become literals.  Group medians stay a
+    table, however many groups there are; it is written first, so that Spark
+    knows its size when it plans the join.  A group whose values are all NULL
+    keeps NULLs, like ``fillna(NaN)``, and so do rows without a group.
     """
-    spark = df.sparkSession
-    med = _median_table(df, cols, group_cols, exact)
+    med = _medians(df, cols, group_cols, exact)
     if not group_cols:
-        vals = med.get((), {})
-        return df.withColumns({c: F.coalesce(F.col(c).cast("double"),
-                                             F.lit(vals.get(c)).cast("double")) for c in cols})
-    if len(group_cols) == 1 and len(med) <= INLINE_GROUPS_MAX:
-        g = group_cols[0]
-        out = {}
-        for c in cols:
-            pairs = [x for key, m in med.items() if key[0] is not None and m.get(c) is not None
-                     for x in (F.lit(key[0]), F.lit(float(m[c])))]
-            look = F.create_map(*pairs)[F.col(g)] if pairs else F.lit(None)
-            out[c] = F.coalesce(F.col(c).cast("double"), look.cast("double"))
-        return df.withColumns(out)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join(f"`{g}` {types[g]}" for g in group_cols) + ", " + ", ".join(
-        f"`_med_{c}` double" for c in cols)
-    table = spark.createDataFrame(
-        [(*key, *[m.get(c) for c in cols]) for key, m in med.items()], schema)
-    joined = df.join(table, on=list(group_cols), how="left")
-    out = joined.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}"))
-                              for c in cols})
-    return out.drop(*[f"_med_{c}" for c in cols])
+        vals = med.first()
+        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(
+            vals[f"_med_{c}"]).cast("double")) for c in cols})
+    med = materialize(med.select(*[F.col(g).alias(f"_med_by_{g}") for g in group_cols],
+                                 *[f"_med_{c}" for c in cols]), "medians")
+    met = [df[g] == med[f"_med_by_{g}"] for g in group_cols]
+    out = df.join(med, met, "left").withColumns(
+        {c: F.coalesce(F.col(c).cast("double"), F.col(f"_med_{c}")) for c in cols})
+    return out.select(*df.columns)
 
 
 def _stats_row(df: DataFrame, cols: Sequence[str], sd_fn) -> dict:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import dbl, join_null_safe
+from ..session import materialize
 from .ordered import row_positions, running_totals
 
 
@@ -24,30 +25,14 @@ def score_counts(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> Da
         F.sum(yy).alias("pos"), F.sum(F.lit(1) - yy).alias("neg"))
 
 
-GROUPS_MAX = 100_000
-
-
-def group_totals(df: DataFrame, group_cols: Sequence[str], aggs) -> DataFrame:
-    """Collect a per-group aggregate (checked bound) back as a small DataFrame."""
-    t = df.groupBy(*group_cols).agg(*aggs)
-    rows = t.limit(GROUPS_MAX + 1).collect()
-    if len(rows) > GROUPS_MAX:
-        raise ValueError(f"more than {GROUPS_MAX} groups")
-    return df.sparkSession.createDataFrame([tuple(r) for r in rows], t.schema)
-
-
 def cumulative(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> DataFrame:
     """Per distinct score (descending): pos, neg, tp, fp (inclusive), P, N."""
     sc = score_counts(df, group_cols, p, y)
     keys = list(group_cols) or ["_rl_g"]
     if not group_cols:
         sc = sc.withColumn("_rl_g", F.lit(0))
-    tot = group_totals(sc, keys, [F.sum("pos").cast("bigint").alias("P"),
-                                  F.sum("neg").cast("bigint").alias("N")])
-    n_rows = sum((r["P"] or 0) + (r["N"] or 0) for r in tot.collect())
-    cum = running_totals(sc, ["-score"], ["pos", "neg"], keys, n_rows=n_rows)
-    cum = cum.withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp")
-    out = join_null_safe(cum, tot, keys)
+    out = (running_totals(sc, ["-score"], ["pos", "neg"], keys, totals={"pos": "P", "neg": "N"})
+           .withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp"))
     return out if group_cols else out.drop("_rl_g")
 
 
@@ -92,10 +77,7 @@ def decile_table(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key:
     """
     keys = list(group_cols) or ["_rl_g"]
     base = df if group_cols else df.withColumn("_rl_g", F.lit(0))
-    sizes = group_totals(base, keys, [F.count(F.lit(1)).alias("_n")])
-    n_rows = sum(r["_n"] for r in sizes.collect())
-    pos = row_positions(base.select(*keys, p, y, key), [f"-{p}", key], keys, n_rows=n_rows)
-    pos = join_null_safe(pos, sizes, keys)
+    pos = row_positions(base.select(*keys, p, y, key), [f"-{p}", key], keys, count_as="_n")
     r0 = F.col("rn") - 1
     nm1 = F.col("_n") - 1
     dec = F.when(r0 == 0, F.lit(1)).otherwise(
@@ -118,11 +100,8 @@ def cap_curve(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key: str
     keys = list(group_cols) or ["_rl_g"]
     base = df if group_cols else df.withColumn("_rl_g", F.lit(0))
     one = base.select(*keys, p, key, F.col(y).cast("bigint").alias("_y"))
-    tot = group_totals(one, keys, [F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_b")])
-    n_rows = sum(r["_n"] for r in tot.collect())
     cum = running_totals(one.withColumn("_one", F.lit(1).cast("bigint")),
-                         [f"-{p}", key], ["_one", "_y"], keys, n_rows=n_rows)
-    cum = join_null_safe(cum, tot, keys)
+                         [f"-{p}", key], ["_one", "_y"], keys, totals={"_one": "_n", "_y": "_b"})
     pop = F.col("cum__one") / F.col("_n")
     return cum.select(*group_cols, key, F.col("cum__one").alias("rn"), pop.alias("cum_pop"),
                       _ratio(F.col("cum__y"), F.col("_b")).alias("cum_capture"),
@@ -192,6 +171,7 @@ def score_histogram(df: DataFrame, group_cols: Sequence[str], p: str, y: str,
     d = df.select(*group_cols, F.col(y).cast("int").alias("cls"), F.col(p).alias("_p"))
     rng = d.groupBy(*keys).agg(F.min("_p").alias("lo"), F.max("_p").alias("hi"),
                                F.count(F.lit(1)).alias("_n"))
+    rng = materialize(rng, "ranges")  # its size is then known when the join is planned
     span = F.col("hi") - F.col("lo")
     step = span / dbl(n_bins)
 

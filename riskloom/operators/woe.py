@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.expr import count_le, count_lt, dbl, round_half_up
-from .ordered import exact_percentile_rows
+from .ordered import exact_percentiles
 
 DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 EDGE_DECIMALS = 9
@@ -84,9 +84,8 @@ def level_counts(df: DataFrame, features: Sequence[str], target: str) -> DataFra
 
 def weighted_percentiles(vc: DataFrame, probs: Sequence[float]) -> DataFrame:
     """Exact percentiles per feature from a (feature, value, n) table."""
-    rows = exact_percentile_rows(vc.select("feature", "value", "n"), ["feature"], "value",
-                                 probs, weight_col="n", distinct=True)
-    return vc.sparkSession.createDataFrame(rows, "feature string, pidx int, prob double, q double")
+    return exact_percentiles(vc.select("feature", "value", "n"), ["feature"], "value",
+                             probs, weight_col="n", distinct=True)
 
 
 def inner_edges(quantiles: DataFrame, vc: DataFrame,
@@ -134,7 +133,11 @@ def _woe_columns(counts: DataFrame, convention: str) -> DataFrame:
 def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                 target: str = "y", n_bins: int = 10, discrete_max: int = 8,
                 convention: str = "smoothed", closed: str = "left") -> Encoder:
-    """Fit bins + WoE on the training rows for every feature in one pass."""
+    """Fit bins + WoE on the training rows for every feature in one pass.
+
+    A NULL of a feature with few values has no bin of its own: it takes no
+    part in the fit and is encoded as bin 0, like a value not seen in the fit.
+    """
     spark = train.sparkSession
     probs = [i / n_bins for i in range(1, n_bins)]
     numeric, categorical = list(numeric), list(categorical)
@@ -151,8 +154,8 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
         cont = [f for f in numeric if f not in discrete]
         if discrete:
             vals: dict[str, list] = {}
-            for r in vc.where(F.col("feature").isin(discrete)).select(
-                    "feature", "value").collect():
+            known = vc.where(F.col("feature").isin(discrete) & F.col("value").isNotNull())
+            for r in known.select("feature", "value").collect():
                 vals.setdefault(r["feature"], []).append(r["value"])
             for f in discrete:
                 bins[f] = FeatureBins(f, "discrete_numeric", values=sorted(vals[f]))
@@ -161,8 +164,7 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
                 e = F.when(F.col("feature") == f, count_lt(F.col("value"), bins[f].values))
                 disc_bin = e if disc_bin is None else disc_bin.when(
                     F.col("feature") == f, count_lt(F.col("value"), bins[f].values))
-            dcounts = (vc.where(F.col("feature").isin(discrete))
-                       .select("feature", disc_bin.alias("bin"), F.col("value").alias("lo"),
+            dcounts = (known.select("feature", disc_bin.alias("bin"), F.col("value").alias("lo"),
                                F.col("value").alias("hi"), F.col("value").cast("string")
                                .alias("level"), "n", "n_pos")
                        .withColumn("type", F.lit("discrete_numeric")))

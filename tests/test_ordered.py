@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.ordered import (exact_percentile_rows, row_positions,
+from riskloom.operators.ordered import (exact_percentile_rows, exact_percentiles, row_positions,
                                         running_totals)
 
 
@@ -78,3 +78,20 @@ def test_approx_percentiles_close_to_exact(spark):
         # rank error within 1/accuracy of the group size
         rank = np.searchsorted(vals, q, side="right") / len(vals)
         assert abs(rank - [0.25, 0.5, 0.75][i]) < 0.02 or vals[0] <= q <= vals[-1]
+
+
+@pytest.mark.parametrize("buckets", [None, 1, 4])
+def test_null_group_is_a_group(spark, buckets):
+    rows = [(g, k) for g in ("g", None) for k in range(50)]
+    df = spark.createDataFrame(rows, "g string, k long").withColumn("w", F.lit(2).cast("long"))
+    got = running_totals(df, ["k"], ["w"], ["g"], buckets, totals={"w": "all"}).collect()
+    assert len(got) == 100
+    assert all(r.cum_w == 2 * (r.k + 1) and r["all"] == 100 for r in got)
+
+
+def test_many_groups_and_partitions(spark):
+    df = spark.range(200_000).select(F.col("id").alias("g"), F.lit(1.5).alias("x"))
+    got = exact_percentiles(df, ["g"], "x", [0.5])
+    assert got.where("q = 1.5").count() == 200_000
+    wide = running_totals(spark.range(3000).withColumn("w", F.lit(1)), ["id"], ["w"], buckets=3000)
+    assert wide.where("cum_w = id + 1").count() == 3000

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from riskloom.functions.expr import GRADE_EDGES, GRADE_LABELS, annuity, grade_label
 from riskloom.operators import prep as P
@@ -73,3 +74,13 @@ def test_grade_is_searchsorted_right(spark):
     got = [r.g for r in df.select(grade_label(df.p).alias("g")).collect()]
     exp = [GRADE_LABELS[min(int(np.searchsorted(GRADE_EDGES, p, side="right")), 8)] for p in ps]
     assert got == exp
+
+
+def test_group_median_of_many_groups(spark):
+    df = spark.range(60_000).select(
+        (F.col("id") % 20_000).alias("g"),
+        F.when(F.col("id") >= 20_000, F.col("id").cast("double")).alias("x"))
+    got = P.impute_median(df, ["x"], ["g"])
+    assert got.columns == ["g", "x"] and got.count() == 60_000
+    first = got.where("x = g + 30000").count()
+    assert first == 20_000

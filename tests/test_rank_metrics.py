@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators.rank_metrics import (cap_curve, cumulative, decile_table,
                                              rank_summary, threshold_sweep)
@@ -97,16 +98,20 @@ def test_threshold_sweep_matches_loop(spark):
     assert got.loc[got.is_ks_best, "k"].tolist() == [best]
 
 
-def test_calibration_curve_join_path_matches_inline(spark, monkeypatch):
+def test_calibration_curve_per_group_and_null_group(spark):
     from riskloom.operators import calibration as C
     pdf, df = _scores(spark)
-    a = C.calibration_curve(df, ["grp"], "p", "y").toPandas()
-    monkeypatch.setattr(C, "CASE_GROUPS_MAX", 0)
-    b = C.calibration_curve(df, ["grp"], "p", "y").toPandas()
-    key = ["grp", "bin"]
-    a, b = a.sort_values(key).reset_index(drop=True), b.sort_values(key).reset_index(drop=True)
-    assert a[key + ["n"]].equals(b[key + ["n"]])
-    assert np.allclose(a.mean_pred, b.mean_pred) and np.allclose(a.frac_pos, b.frac_pos)
+    df = df.withColumn("grp", F.when(F.col("grp") != pdf.grp.iloc[0], F.col("grp")))
+    got = C.calibration_curve(df, ["grp"], "p", "y").toPandas()
+    pdf = pdf.assign(grp=pdf.grp.where(pdf.grp != pdf.grp.iloc[0], None))
+    for g, rows in pdf.groupby("grp", dropna=False):
+        edges = np.round(np.quantile(rows.p, np.arange(1, 10) / 10), 12)
+        bins = (edges[None, :] < rows.p.to_numpy()[:, None]).sum(1)
+        part = got[got.grp.isna() if pd.isna(g) else got.grp == g].set_index("bin")
+        for b in set(bins):
+            assert part.n[b] == (bins == b).sum()
+            assert np.isclose(part.mean_pred[b], rows.p[bins == b].mean())
+            assert np.isclose(part.frac_pos[b], rows.y[bins == b].mean())
 
 
 def test_null_group_and_group_without_bads_are_kept(spark):

@@ -84,3 +84,14 @@ def test_floor_convention_right_closed(spark):
             iv += (de - dn) * np.log(de / dn)
         assert abs(fb.woe[k] - round(np.log(de / dn), 9)) < 1e-9
     assert abs(fb.iv - iv) < 1e-9
+
+
+def test_null_of_a_feature_with_few_values_is_bin_zero(spark):
+    from riskloom.operators import woe as W
+    rows = [(float(k % 3) if k % 4 else None, int(k % 5 == 0)) for k in range(120)]
+    df = spark.createDataFrame(rows, "x double, y int")
+    enc = W.fit_encoder(df, ["x"], [], "y")
+    assert enc.bins["x"].values == [0.0, 1.0, 2.0]
+    got = W.transform(df, enc, ["x"], keep=["x"]).distinct().collect()
+    by = {r.x: r.woe_x for r in got}
+    assert by[None] == by[0.0] and len(by) == 4
