@@ -7,7 +7,7 @@ number of features.  The fitted encoder is small (at most ``len(probs)+1``
 bins per numeric feature, ``discrete_max`` values per discrete one) and is
 applied as literal expressions: no join, stays in whole-stage codegen.
 Categorical levels are the only part whose size depends on the data; their
-table is applied with a map literal when small, else a (size-checked) join.
+table is joined, with a broadcast hint behind a check of its size.
 
 Two conventions (parameters, defaults = first pipeline):
 - ``smoothed``: WoE = ln(share_good / share_bad) with (n + 0.5) / (N + 0.5),
@@ -32,7 +32,7 @@ from .ordered import exact_percentiles
 DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
 EDGE_DECIMALS = 9
 WOE_DECIMALS = 9
-MAP_LEVELS_MAX = 10_000  # categorical levels inlined as a map literal
+BROADCAST_LEVELS_MAX = 100_000  # a larger table of levels is joined without a broadcast hint
 SHARE_FLOOR = 1e-6
 
 
@@ -255,15 +255,28 @@ def bin_column(fb: FeatureBins, x: Column, closed: str = "left") -> Column:
 def woe_column(fb: FeatureBins, x: Column, closed: str = "left") -> Column:
     if not fb.woe:
         return dbl(0.0)
-    if fb.kind == "categorical" and len(fb.values) > MAP_LEVELS_MAX:
-        raise ValueError(f"{fb.feature}: {len(fb.values)} levels; use transform_join")
     arr = F.array(*[dbl(w) for w in fb.woe])
     return F.element_at(arr, bin_column(fb, x, closed) + 1)
 
 
 def transform(df: DataFrame, enc: Encoder, features: Sequence[str], prefix: str = "woe_",
               keep: Sequence[str] = ()) -> DataFrame:
-    """Replace features by their WoE (literal lookups, no join)."""
-    cols = [F.col(c) for c in keep] + [
-        woe_column(enc.bins[f], F.col(f), enc.closed).alias(prefix + f) for f in features]
+    """Replace features by their WoE: literal lookups, and a join per categorical feature.
+
+    A level not seen in the fit takes the WoE of bin 0; a NULL that was seen
+    is a level of its own.
+    """
+    cols = [F.col(c) for c in keep]
+    for i, f in enumerate(features):
+        fb = enc.bins[f]
+        if fb.kind != "categorical" or not fb.woe:
+            cols.append(woe_column(fb, F.col(f), enc.closed).alias(prefix + f))
+            continue
+        level, woe = f"_rl_level{i}", f"_rl_woe{i}"
+        table = enc.table.where(F.col("feature") == f).select(
+            F.col("level").alias(level), F.col("woe").alias(woe))
+        if len(fb.values) <= BROADCAST_LEVELS_MAX:
+            table = F.broadcast(table)
+        df = df.join(table, F.col(f).cast("string").eqNullSafe(F.col(level)), "left")
+        cols.append(F.coalesce(woe, dbl(fb.woe[0])).alias(prefix + f))
     return df.select(*cols)

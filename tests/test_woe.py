@@ -95,3 +95,16 @@ def test_null_of_a_feature_with_few_values_is_bin_zero(spark):
     got = W.transform(df, enc, ["x"], keep=["x"]).distinct().collect()
     by = {r.x: r.woe_x for r in got}
     assert by[None] == by[0.0] and len(by) == 4
+
+
+def test_many_levels_and_a_null_level(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(40_000).select(
+        F.when(F.col("id") % 20_000 > 0, F.concat(F.lit("l"), F.col("id") % 20_000)).alias("c"),
+        (F.col("id") % 3 == 0).cast("int").alias("y"))
+    enc = W.fit_encoder(df, [], ["c"], "y")
+    got = W.transform(df.union(spark.createDataFrame([("new", 0)], "c string, y int")), enc, ["c"], keep=["c"])
+    by = {r.c: r.woe_c for r in got.distinct().collect()}
+    fb = enc.bins["c"]
+    assert len(fb.values) == 20_000 and len(by) == 20_001
+    assert all(by[v] == w for v, w in zip(fb.values, fb.woe)) and by["new"] == fb.woe[0]
