@@ -55,11 +55,12 @@ def annuity(amount: Column, rate_pct: Column, n_months: Column) -> Column:
     """Monthly annuity payment a*r/(1-(1+r)^-n), r = rate_pct/1200.
 
     A zero rate is 0/0 in the closed form; the limit a/n is returned instead.
+    A term of 0 has no payment: NULL.
     """
     r = rate_pct.cast("double") / dbl(100.0) / dbl(12.0)
     n = n_months.cast("double")
-    closed = amount * r / (dbl(1.0) - F.pow(dbl(1.0) + r, -n))
-    return F.when(r == 0, amount / n).otherwise(closed)
+    closed = F.try_divide(amount * r, dbl(1.0) - F.pow(dbl(1.0) + r, -n))
+    return F.when(r == 0, F.try_divide(amount, n)).otherwise(closed)
 
 
 def count_le(x: Column, edges: Sequence[float]) -> Column:

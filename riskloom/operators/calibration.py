@@ -96,14 +96,15 @@ def grade_table(spark: SparkSession, df: DataFrame, split_col: str, grade_col: s
 
 
 def calibration_curve(df: DataFrame, group_cols: Sequence[str], p: str, y: str,
-                      n_bins: int = 10) -> DataFrame:
+                      n_bins: int = 10, edge_decimals: int | None = None) -> DataFrame:
     """Quantile reliability curve: edges = percentiles of p (not de-duplicated),
-    bin = number of inner edges < p (right-closed), empty bins dropped."""
+    bin = number of inner edges < p (right-closed), empty bins dropped.
+    ``edge_decimals`` rounds the edges; by default they are not rounded."""
     probs = [i / n_bins for i in range(1, n_bins)]
     keys = list(group_cols) or ["_rl_g"]
     base = df if group_cols else df.withColumn("_rl_g", F.lit(0))
-    edges = exact_percentiles(base, keys, p, probs).groupBy(*keys).agg(
-        F.collect_list(F.round("q", 12)).alias("_es"))
+    q = F.col("q") if edge_decimals is None else F.round("q", edge_decimals)
+    edges = exact_percentiles(base, keys, p, probs).groupBy(*keys).agg(F.collect_list(q).alias("_es"))
     # written, so that its size is known when the join is planned
     binned = join_null_safe(base, materialize(edges, "edges"), keys, "left")
     binned = binned.withColumn("bin", F.when(

@@ -46,29 +46,29 @@ def impute_constant(df: DataFrame, values: Mapping[str, float]) -> DataFrame:
 
 
 def _medians(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str],
-             exact: bool) -> DataFrame:
-    """group_cols and a column ``_med_<column>`` per column; one row per group.
-
-    Medians are rounded to 6 places: values live on a decimal grid, this only
-    removes last-bit noise of the interpolation so engines agree.
-    """
+             exact: bool, decimals: int | None) -> DataFrame:
+    """group_cols and a column ``_med_<column>`` per column; one row per group."""
     long = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         list(group_cols), list(cols), "_feature", "_value")
     q = percentiles(long, [*group_cols, "_feature"], "_value", [0.5], exact)
+    value = F.col("q") if decimals is None else F.round("q", decimals)
     return q.groupBy(*group_cols).agg(*[
-        F.max(F.when(F.col("_feature") == c, F.round("q", 6))).alias(f"_med_{c}") for c in cols])
+        F.max(F.when(F.col("_feature") == c, value)).alias(f"_med_{c}") for c in cols])
 
 
 def impute_median(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = (),
-                  exact: bool = True) -> DataFrame:
+                  exact: bool = True, decimals: int | None = None) -> DataFrame:
     """Fill NULLs with the median of the column, per group (or overall).
 
+    ``decimals`` rounds the medians, e.g. to compare two engines whose
+    interpolation differs in the last bit; by default they are not rounded.
+
     Overall medians are one row and become literals.  Group medians stay a
     table, however many groups there are; it is written first, so that Spark
     knows its size when it plans the join.  A group whose values are all NULL
     keeps NULLs, like ``fillna(NaN)``, and so do rows without a group.
     """
-    med = _medians(df, cols, group_cols, exact)
+    med = _medians(df, cols, group_cols, exact, decimals)
     if not group_cols:
         vals = med.first()
         return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(

@@ -46,22 +46,23 @@ def psi_grades(df: DataFrame, split_col: str, grade_col: str, base: str,
 
 
 def psi_features(df: DataFrame, features: Sequence[str], split_col: str, base: str,
-                 others: Sequence[str], n_bins: int = 10, out_of_range: str = "drop") -> DataFrame:
+                 others: Sequence[str], n_bins: int = 10, out_of_range: str = "drop",
+                 edge_decimals: int | None = None) -> DataFrame:
     """PSI per feature on the base split's decile edges (right-closed).
 
     Edges are the distinct deciles with min and max; the outer edges are
     widened by 1e-9 (so, as in the reference, nothing changes for values near
     1e8 and the lowest base row falls out).  Rows outside the edges are dropped
     (``drop``) or put in the edge bins (``clip``); shares are over kept rows;
-    zero shares are floored at 1e-6.
+    zero shares are floored at 1e-6.  ``edge_decimals`` rounds the deciles.
     """
     probs = [i / n_bins for i in range(1, n_bins)]
     base_rows = df.where(F.col(split_col) == base)
     vc = W.value_counts(base_rows.withColumn("_z", F.lit(0)), features, "_z").where(
         F.col("value").isNotNull())
-    inner = W.inner_edges(W.weighted_percentiles(vc, probs), vc)
     rng = {r["feature"]: (r["mn"], r["mx"]) for r in vc.groupBy("feature").agg(
         F.min("value").alias("mn"), F.max("value").alias("mx")).collect()}
+    inner = W.inner_edges(W.weighted_percentiles(vc, probs), vc, rng, edge_decimals)
     sel = df.where(F.col(split_col).isin([base, *others])).select(
         F.col(split_col).alias("_split"), *[F.col(f).cast("double").alias(f) for f in features])
     long = sel.unpivot(["_split"], list(features), "feature", "value")

@@ -22,26 +22,27 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.expr import count_le, count_lt, dbl, round_half_up
-from .ordered import exact_percentiles
+from ..session import materialize
+from .ordered import exact_percentiles, row_positions
 
-DECILES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
-EDGE_DECIMALS = 9
-WOE_DECIMALS = 9
 BROADCAST_LEVELS_MAX = 100_000  # a larger table of levels is joined without a broadcast hint
 SHARE_FLOOR = 1e-6
+TABLE_SCHEMA = ("feature string, type string, bin int, level string, lo double, hi double, n bigint, "
+                "n_pos bigint, n_neg bigint, woe double, iv_part double")
+TABLE_COLUMNS = [c.split()[0] for c in TABLE_SCHEMA.split(", ")]
 
 
 @dataclass
 class FeatureBins:
     feature: str
-    kind: str  # numeric | discrete_numeric | categorical
+    kind: str  # numeric | discrete_numeric
     edges: list[float] = field(default_factory=list)  # inner edges, numeric
-    values: list = field(default_factory=list)  # sorted levels, discrete/categorical
+    values: list = field(default_factory=list)  # sorted values, discrete
     woe: list[float] = field(default_factory=list)  # by bin index
     iv: float = 0.0
 
@@ -52,9 +53,34 @@ class FeatureBins:
         return len(self.values)
 
 
+@dataclass
+class CategoryBins:
+    """A categorical feature: its levels stay a table, whose size depends on the data."""
+
+    feature: str
+    table: DataFrame  # rows of ``Encoder.table``
+    n_bins: int
+    first: float  # WoE of bin 0, for levels not seen
+    iv: float = 0.0
+    kind: str = "categorical"
+
+    def _ordered(self, column: str) -> list:
+        return [r[0] for r in sorted(self.table.select(column, "bin").collect(), key=lambda r: r[1])]
+
+    @property
+    def values(self) -> list:
+        """Levels in order of bin; read to the driver, to look at features of few levels."""
+        return self._ordered("level")
+
+    @property
+    def woe(self) -> list[float]:
+        """WoE in order of bin; as ``values``."""
+        return self._ordered("woe")
+
+
 @dataclass
 class Encoder:
-    bins: dict[str, FeatureBins]
+    bins: dict[str, FeatureBins | CategoryBins]
     table: DataFrame  # feature, type, bin, level, lo, hi, n, n_pos, n_neg, woe, iv_part
     convention: str
     closed: str
@@ -88,11 +114,12 @@ def weighted_percentiles(vc: DataFrame, probs: Sequence[float]) -> DataFrame:
                              probs, weight_col="n", distinct=True)
 
 
-def inner_edges(quantiles: DataFrame, vc: DataFrame,
-                rng: dict | None = None) -> dict[str, list[float]]:
-    """Distinct quantiles strictly inside (min, max), rounded; collected (bounded).
+def inner_edges(quantiles: DataFrame, vc: DataFrame, rng: dict | None = None,
+                decimals: int | None = None) -> dict[str, list[float]]:
+    """Distinct quantiles strictly inside (min, max); collected (bounded).
 
-    ``rng`` maps feature -> (min, max) when the caller already has it.
+    ``rng`` maps feature -> (min, max) when the caller already has it;
+    ``decimals`` rounds the edges (half up), e.g. to compare two engines.
     """
     if rng is None:
         rng = {r["feature"]: (r["mn"], r["mx"]) for r in vc.groupBy("feature").agg(
@@ -103,160 +130,175 @@ def inner_edges(quantiles: DataFrame, vc: DataFrame,
         q = r["q"]
         if q is None or mn is None or not (mn < q < mx):
             continue
-        out.setdefault(r["feature"], set()).add(round_half_up(q, EDGE_DECIMALS))
+        out.setdefault(r["feature"], set()).add(q if decimals is None else round_half_up(q, decimals))
     return {k: sorted(v) for k, v in out.items()}
 
 
-def _woe_columns(counts: DataFrame, convention: str) -> DataFrame:
-    """Add n_neg, woe and iv_part to a (feature, bin, n, n_pos) table (small)."""
-    w = Window.partitionBy("feature")
+def _woe_columns(counts: DataFrame, totals: DataFrame, convention: str, floored: str,
+                 decimals: int | None) -> DataFrame:
+    """Add n_neg, woe and iv_part to a (feature, bin, n, n_pos) table.
+
+    ``totals`` has one row for each feature of the caller's list, and so a
+    size that is known.
+    """
     c = (counts.withColumn("n_neg", F.col("n") - F.col("n_pos"))
-         .withColumn("_P", F.sum("n_pos").over(w)).withColumn("_N", F.sum("n_neg").over(w)))
+         .join(F.broadcast(totals), "feature"))
     if convention == "smoothed":
         sp = (F.col("n_pos") + dbl(0.5)) / (F.greatest(F.col("_P"), F.lit(1)) + dbl(0.5))
         sn = (F.col("n_neg") + dbl(0.5)) / (F.greatest(F.col("_N"), F.lit(1)) + dbl(0.5))
         woe = F.ln(sn / sp)
         part = (sn - sp) * woe
     elif convention == "floor":
-        sp = F.greatest(F.when(F.col("_P") > 0, F.col("n_pos") / F.col("_P")), dbl(SHARE_FLOOR))
-        sn = F.greatest(F.when(F.col("_N") > 0, F.col("n_neg") / F.col("_N")), dbl(SHARE_FLOOR))
+        def share(n: str, total: str) -> Column:
+            got = F.when(F.col(total) > 0, F.col(n) / F.col(total))
+            if floored == "zeros":
+                return F.when(F.col(n) > 0, got).otherwise(dbl(SHARE_FLOOR))
+            return F.greatest(got, dbl(SHARE_FLOOR))
+
+        sp, sn = share("n_pos", "_P"), share("n_neg", "_N")
         woe = F.ln(sp / sn)
         one_class = (F.col("_P") == 0) | (F.col("_N") == 0)
         woe = F.when(one_class, dbl(0)).otherwise(woe)
         part = F.when(one_class | (F.col("n") == 0), dbl(0)).otherwise((sp - sn) * woe)
     else:
         raise ValueError(convention)
-    return c.withColumn("woe", F.round(woe, WOE_DECIMALS)).withColumn(
-        "iv_part", part).drop("_P", "_N")
+    return c.withColumn("woe", woe if decimals is None else F.round(woe, decimals)).withColumn(
+        "iv_part", part).select(*TABLE_COLUMNS)
+
+
+def _class_totals(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("feature").agg(F.sum("n_pos").alias("_P"),
+                                         F.sum(F.col("n") - F.col("n_pos")).alias("_N"))
+
+
+def _by_feature(cases: dict[str, Column]) -> Column:
+    """The expression of the row's feature."""
+    out = None
+    for f, e in cases.items():
+        out = (F if out is None else out).when(F.col("feature") == f, e)
+    return out
+
+
+def _numeric_counts(vc: DataFrame, numeric: Sequence[str], probs: Sequence[float], discrete_max: int,
+                    closed: str, edge_decimals: int | None) -> tuple[dict, DataFrame]:
+    """Bins of the numeric features and their counts, from (feature, value, n, n_pos)."""
+    spark = vc.sparkSession
+    present = vc.where(F.col("value").isNotNull())
+    stats = {r["feature"]: r for r in present.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("k"), F.min("value").alias("mn"), F.max("value").alias("mx")).collect()}
+    nd = {f: r["k"] for f, r in stats.items()}
+    discrete = [f for f in numeric if 0 < nd.get(f, 0) <= discrete_max]
+    cont = [f for f in numeric if f not in discrete]
+    bins: dict[str, FeatureBins] = {}
+    parts = []
+    if discrete:
+        vals: dict[str, list] = {}
+        known = present.where(F.col("feature").isin(discrete))
+        for r in known.select("feature", "value").collect():
+            vals.setdefault(r["feature"], []).append(r["value"])
+        for f in discrete:
+            bins[f] = FeatureBins(f, "discrete_numeric", values=sorted(vals[f]))
+        place = _by_feature({f: count_lt(F.col("value"), bins[f].values) for f in discrete})
+        parts.append(known.select(
+            "feature", F.lit("discrete_numeric").alias("type"), place.alias("bin"),
+            F.col("value").cast("string").alias("level"), F.col("value").alias("lo"),
+            F.col("value").alias("hi"), "n", "n_pos"))
+    if cont:
+        inside = present.where(F.col("feature").isin(cont))
+        edges = inner_edges(weighted_percentiles(inside, probs), inside,
+                            {f: (r["mn"], r["mx"]) for f, r in stats.items()}, edge_decimals)
+        for f in cont:
+            bins[f] = FeatureBins(f, "numeric", edges=edges.get(f, []))
+        cmp = count_le if closed == "left" else count_lt
+        place = _by_feature({f: F.when(F.col("value").isNull(), F.lit(len(bins[f].edges))).otherwise(
+            cmp(F.col("value"), bins[f].edges)) for f in cont})
+        got = (vc.where(F.col("feature").isin(cont)).select("feature", place.alias("bin"), "n", "n_pos")
+               .groupBy("feature", "bin").agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos")))
+        spine_rows = []
+        for f in cont:
+            e = [-math.inf, *bins[f].edges, math.inf]
+            spine_rows += [(f, b, float(e[b]), float(e[b + 1])) for b in range(len(e) - 1)]
+        spine = spark.createDataFrame(spine_rows, "feature string, bin int, lo double, hi double")
+        parts.append(spine.join(got, ["feature", "bin"], "left").select(
+            "feature", F.lit("numeric").alias("type"), "bin", F.lit(None).cast("string").alias("level"),
+            "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_pos", F.lit(0)).alias("n_pos")))
+    counts = parts[0]
+    for p in parts[1:]:
+        counts = counts.unionByName(p)
+    return bins, counts.withColumns({c: F.col(c).cast("bigint") for c in ("n", "n_pos")})
 
 
 def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
                 target: str = "y", n_bins: int = 10, discrete_max: int = 8,
-                convention: str = "smoothed", closed: str = "left") -> Encoder:
+                convention: str = "smoothed", closed: str = "left", floored: str = "all",
+                edge_decimals: int | None = None, woe_decimals: int | None = None) -> Encoder:
     """Fit bins + WoE on the training rows for every feature in one pass.
 
     A NULL of a feature with few values has no bin of its own: it takes no
     part in the fit and is encoded as bin 0, like a value not seen in the fit.
+    ``floored`` (``floor`` convention): ``all`` raises every share to the
+    floor, ``zeros`` only replaces shares that are zero.  ``edge_decimals``
+    and ``woe_decimals`` round edges and WoE; by default nothing is rounded.
     """
     spark = train.sparkSession
     probs = [i / n_bins for i in range(1, n_bins)]
     numeric, categorical = list(numeric), list(categorical)
-    bins: dict[str, FeatureBins] = {}
-    parts = []
+    bins: dict = {}
+    full = None
     if numeric:
         vc = value_counts(train, numeric, target).persist(StorageLevel.MEMORY_AND_DISK)
-        stats = {r["feature"]: r for r in vc.where(F.col("value").isNotNull())
-                 .groupBy("feature").agg(F.count(F.lit(1)).alias("k"),
-                                         F.min("value").alias("mn"),
-                                         F.max("value").alias("mx")).collect()}
-        nd = {f: r["k"] for f, r in stats.items()}
-        discrete = [f for f in numeric if 0 < nd.get(f, 0) <= discrete_max]
-        cont = [f for f in numeric if f not in discrete]
-        if discrete:
-            vals: dict[str, list] = {}
-            known = vc.where(F.col("feature").isin(discrete) & F.col("value").isNotNull())
-            for r in known.select("feature", "value").collect():
-                vals.setdefault(r["feature"], []).append(r["value"])
-            for f in discrete:
-                bins[f] = FeatureBins(f, "discrete_numeric", values=sorted(vals[f]))
-            disc_bin = None
-            for f in discrete:
-                e = F.when(F.col("feature") == f, count_lt(F.col("value"), bins[f].values))
-                disc_bin = e if disc_bin is None else disc_bin.when(
-                    F.col("feature") == f, count_lt(F.col("value"), bins[f].values))
-            dcounts = (known.select("feature", disc_bin.alias("bin"), F.col("value").alias("lo"),
-                               F.col("value").alias("hi"), F.col("value").cast("string")
-                               .alias("level"), "n", "n_pos")
-                       .withColumn("type", F.lit("discrete_numeric")))
-            parts.append(dcounts)
-        if cont:
-            vcc = vc.where(F.col("feature").isin(cont) & F.col("value").isNotNull())
-            edges = inner_edges(weighted_percentiles(vcc, probs), vcc,
-                                {f: (r["mn"], r["mx"]) for f, r in stats.items()})
-            for f in cont:
-                bins[f] = FeatureBins(f, "numeric", edges=edges.get(f, []))
-            bin_expr = None
-            for f in cont:
-                cmp = count_le if closed == "left" else count_lt
-                be = F.when(F.col("value").isNull(), F.lit(len(bins[f].edges))).otherwise(
-                    cmp(F.col("value"), bins[f].edges))
-                bin_expr = (F.when(F.col("feature") == f, be) if bin_expr is None
-                            else bin_expr.when(F.col("feature") == f, be))
-            ncounts = (vc.where(F.col("feature").isin(cont)).select("feature", bin_expr.alias("bin"),
-                                                                    "n", "n_pos")
-                       .groupBy("feature", "bin").agg(F.sum("n").alias("n"),
-                                                      F.sum("n_pos").alias("n_pos")))
-            spine_rows = []
-            for f in cont:
-                e = bins[f].edges
-                for b in range(len(e) + 1):
-                    lo = -math.inf if b == 0 else e[b - 1]
-                    hi = math.inf if b == len(e) else e[b]
-                    spine_rows.append((f, b, float(lo), float(hi)))
-            spine = spark.createDataFrame(spine_rows, "feature string, bin int, lo double, hi double")
-            ncounts = (spine.join(ncounts, ["feature", "bin"], "left")
-                       .select("feature", "bin", "lo", "hi", F.lit(None).cast("string").alias("level"),
-                               F.coalesce("n", F.lit(0)).cast("bigint").alias("n"),
-                               F.coalesce("n_pos", F.lit(0)).cast("bigint").alias("n_pos"))
-                       .withColumn("type", F.lit("numeric")))
-            parts.append(ncounts)
-        vc_unpersist = vc
-    else:
-        vc_unpersist = None
+        try:
+            bins, counts = _numeric_counts(vc, numeric, probs, discrete_max, closed, edge_decimals)
+            # features x bins, both bounded by parameters: collected once, kept local
+            known = counts.collect()
+        finally:
+            vc.unpersist()
+        local = spark.createDataFrame([tuple(r) for r in known], counts.schema)
+        rows = _woe_columns(local, _class_totals(local), convention, floored, woe_decimals).collect()
+        by_f: dict[str, list] = {}
+        for r in sorted(rows, key=lambda r: (r["feature"], r["bin"])):
+            by_f.setdefault(r["feature"], []).append(r)
+        for f, fb in bins.items():
+            fb.woe = [r["woe"] for r in by_f.get(f, [])]
+            fb.iv = float(sum(r["iv_part"] for r in by_f.get(f, [])))
+        full = spark.createDataFrame([tuple(r) for r in rows], TABLE_SCHEMA)
     if categorical:
-        lc = level_counts(train, categorical, target)
-        w = Window.partitionBy("feature").orderBy("level")
-        ccounts = lc.select("feature", (F.dense_rank().over(w) - 1).alias("bin"),
-                            F.lit(None).cast("double").alias("lo"),
-                            F.lit(None).cast("double").alias("hi"), "level", "n", "n_pos") \
-            .withColumn("type", F.lit("categorical"))
-        parts.append(ccounts)
-    cols = ["feature", "type", "bin", "level", "lo", "hi", "n", "n_pos"]
-    counts = parts[0].select(*cols)
-    for p in parts[1:]:
-        counts = counts.unionByName(p.select(*cols))
-    counts = counts.withColumn("n", F.col("n").cast("bigint")).withColumn(
-        "n_pos", F.col("n_pos").cast("bigint"))
-    table = _woe_columns(counts, convention)
-    # the fitted table is small (features x bins): collected once, kept local
-    rows = table.select("feature", "type", "bin", "level", "lo", "hi", "n", "n_pos", "n_neg",
-                        "woe", "iv_part").collect()
-    if vc_unpersist is not None:
-        vc_unpersist.unpersist()
-    by_f: dict[str, list] = {}
-    for r in rows:
-        by_f.setdefault(r["feature"], []).append(r)
-    for f in categorical:
-        rs = sorted(by_f.get(f, []), key=lambda r: r["bin"])
-        bins[f] = FeatureBins(f, "categorical", values=[r["level"] for r in rs])
-    for f, fb in bins.items():
-        rs = sorted(by_f.get(f, []), key=lambda r: r["bin"])
-        fb.woe = [r["woe"] for r in rs]
-        fb.iv = float(sum(r["iv_part"] for r in rs)) if rs else 0.0
-    full = spark.createDataFrame(
-        [tuple(r) for r in rows],
-        "feature string, type string, bin int, level string, lo double, hi double, n bigint, "
-        "n_pos bigint, n_neg bigint, woe double, iv_part double")
+        # levels grow with the data: ranked in two levels, written, never collected
+        ranked = row_positions(level_counts(train, categorical, target), ["level"], ["feature"])
+        counts = materialize(ranked.select(
+            "feature", F.lit("categorical").alias("type"), (F.col("rn") - 1).cast("int").alias("bin"), "level",
+            F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
+            F.col("n").cast("bigint").alias("n"), F.col("n_pos").cast("bigint").alias("n_pos")), "levels")
+        table = materialize(_woe_columns(counts, _class_totals(counts), convention, floored, woe_decimals),
+                            "encoder")
+        seen = {r["feature"]: r for r in table.groupBy("feature").agg(
+            F.count(F.lit(1)).alias("k"), F.sum("iv_part").alias("iv"),
+            F.max(F.when(F.col("bin") == 0, F.col("woe"))).alias("first")).collect()}
+        for f in categorical:
+            r = seen.get(f)
+            bins[f] = CategoryBins(f, table.where(F.col("feature") == f), r["k"] if r else 0,
+                                   r["first"] if r else 0.0, float(r["iv"]) if r else 0.0)
+        full = table if full is None else full.unionByName(table)
     return Encoder(bins, full, convention, closed)
 
 
 def bin_column(fb: FeatureBins, x: Column, closed: str = "left") -> Column:
-    """Bin index of ``x`` under a fitted feature (unseen levels -> bin 0)."""
+    """Bin index of ``x`` under a fitted numeric feature (unseen values -> bin 0)."""
     if fb.kind == "numeric":
         if closed == "left":
             return F.when(x.isNull(), F.lit(len(fb.edges))).otherwise(count_le(x, fb.edges))
         return F.least(count_lt(x, fb.edges), F.lit(max(fb.n_bins - 1, 0)))
     if fb.kind == "discrete_numeric":
         return F.when(x.isin(fb.values), count_lt(x, fb.values)).otherwise(F.lit(0))
-    m = F.create_map(*[a for i, v in enumerate(fb.values) for a in (F.lit(v), F.lit(i))])
-    return F.coalesce(m[x.cast("string")], F.lit(0))
+    raise ValueError(f"{fb.feature}: levels are a table; use transform")
 
 
 def woe_column(fb: FeatureBins, x: Column, closed: str = "left") -> Column:
+    """WoE of a numeric feature as one expression."""
+    place = bin_column(fb, x, closed)
     if not fb.woe:
         return dbl(0.0)
-    arr = F.array(*[dbl(w) for w in fb.woe])
-    return F.element_at(arr, bin_column(fb, x, closed) + 1)
+    return F.element_at(F.array(*[dbl(w) for w in fb.woe]), place + 1)
 
 
 def transform(df: DataFrame, enc: Encoder, features: Sequence[str], prefix: str = "woe_",
@@ -269,14 +311,13 @@ def transform(df: DataFrame, enc: Encoder, features: Sequence[str], prefix: str
     cols = [F.col(c) for c in keep]
     for i, f in enumerate(features):
         fb = enc.bins[f]
-        if fb.kind != "categorical" or not fb.woe:
+        if fb.kind != "categorical":
             cols.append(woe_column(fb, F.col(f), enc.closed).alias(prefix + f))
             continue
         level, woe = f"_rl_level{i}", f"_rl_woe{i}"
-        table = enc.table.where(F.col("feature") == f).select(
-            F.col("level").alias(level), F.col("woe").alias(woe))
-        if len(fb.values) <= BROADCAST_LEVELS_MAX:
+        table = fb.table.select(F.col("level").alias(level), F.col("woe").alias(woe))
+        if fb.n_bins <= BROADCAST_LEVELS_MAX:
             table = F.broadcast(table)
         df = df.join(table, F.col(f).cast("string").eqNullSafe(F.col(level)), "left")
-        cols.append(F.coalesce(woe, dbl(fb.woe[0])).alias(prefix + f))
+        cols.append(F.coalesce(woe, dbl(fb.first)).alias(prefix + f))
     return df.select(*cols)

@@ -103,7 +103,7 @@ def second_pipeline_pool(spark: SparkSession, sf: str):
     prep = S.prepared_loans(spark, sf)
     train = S.train_rows(prep)
     enc = S.fit_scorecard_encoder(prep, convention="floor", closed="right", numeric=S.NUMERIC,
-                                  categorical=[], discrete_max=0)
+                                  categorical=[], discrete_max=0, floored="zeros")
     ranked = sorted(enc.bins.values(), key=lambda fb: (-fb.iv, fb.feature))
     selected = [fb.feature for fb in ranked if fb.iv >= IV_THRESHOLD]
     kept, removed = vif_elimination(train, selected, VIF_THRESHOLD)

@@ -255,7 +255,8 @@ def q_iv_table(spark, sf):
 SELECT loan_id, vintage, round(acctbal, 6) AS acctbal, round(avg_qty, 6) AS avg_qty,
        round(avg_tax, 6) AS avg_tax FROM prep""")
 def q_impute_group_median(spark, sf):
-    df = P.impute_median(loan_view(spark, sf), S.MEDIAN_IMPUTED, ["vintage"])
+    df = P.impute_median(loan_view(spark, sf), S.MEDIAN_IMPUTED, ["vintage"],
+                         decimals=S.MEDIAN_DECIMALS)
     return rounded(df.select("loan_id", "vintage", *S.MEDIAN_IMPUTED), S.MEDIAN_IMPUTED)
 
 
@@ -271,7 +272,7 @@ def q_impute_global_median(spark, sf):
     """Second pipeline: one median per column over all rows, before the split."""
     loan = loan_view(spark, sf)
     cols = [c for c in GLOBAL_IMPUTED]
-    df = P.impute_median(loan, cols)
+    df = P.impute_median(loan, cols, decimals=S.MEDIAN_DECIMALS)
     return rounded(df.select("loan_id", *cols), cols)
 
 
@@ -465,7 +466,8 @@ GROUP BY sp.actual_split, sp.feature"""
 def q_psi_features(spark, sf):
     from ..operators.stability import psi_features
     prep = S.prepared_loans(spark, sf)
-    t = psi_features(prep, S.CONTINUOUS, "cohort", "TRAIN", ["VAL", "OOT"])
+    t = psi_features(prep, S.CONTINUOUS, "cohort", "TRAIN", ["VAL", "OOT"],
+                     edge_decimals=S.EDGE_DECIMALS)
     return rounded(t, ["psi"])
 
 
@@ -565,7 +567,7 @@ SELECT gr.cohort, CAST(len(list_filter(qe.qs, lambda e: e < gr.p_cal)) AS INTEGE
 FROM gr JOIN qe ON gr.cohort = qe.cohort GROUP BY 1, 2""")
 def q_calibration_curve(spark, sf):
     from ..operators.calibration import calibration_curve
-    t = calibration_curve(_cal(spark, sf), ["cohort"], "p_cal", "y")
+    t = calibration_curve(_cal(spark, sf), ["cohort"], "p_cal", "y", edge_decimals=12)
     return rounded(t.withColumn("bin", F.col("bin").cast("int")), ["mean_pred", "frac_pos"])
 
 

@@ -39,6 +39,8 @@ SCORE_INTERCEPT = -1.75
 SCORE_WEIGHTS = {"n_returns": -0.9, "acctbal": -0.8, "n_lines": -0.6, "max_disc": -0.7,
                  "loan_amount": -0.6, "priority": -0.5, "segment": -0.4}
 SCORE_DECIMALS = 9
+EDGE_DECIMALS = WOE_DECIMALS = 9
+MEDIAN_DECIMALS = 6
 CALIBRATION_STEPS = 8
 BAD_PERIOD = 1996
 
@@ -79,7 +81,7 @@ def prepared_loans(spark: SparkSession, sf_dir: str, exact: bool = True,
         loan = materialize(loan, "loan")
     df = with_cohort(loan)
     df = missing_flags(df, FLAGS)
-    df = impute_median(df, MEDIAN_IMPUTED, ["vintage"], exact=exact)
+    df = impute_median(df, MEDIAN_IMPUTED, ["vintage"], exact=exact, decimals=MEDIAN_DECIMALS)
     df = impute_constant(df, CONSTANT_IMPUTED)
     return derive(df)
 
@@ -91,18 +93,20 @@ def train_rows(prepared: DataFrame) -> DataFrame:
 
 def fit_scorecard_encoder(prepared: DataFrame, convention: str = "smoothed",
                           closed: str = "left", numeric=None, categorical=None,
-                          discrete_max: int = 8) -> W.Encoder:
+                          discrete_max: int = 8, floored: str = "all") -> W.Encoder:
     return W.fit_encoder(train_rows(prepared), numeric or NUMERIC,
                          CATEGORICAL if categorical is None else categorical, "y",
-                         convention=convention, closed=closed, discrete_max=discrete_max)
+                         convention=convention, closed=closed, discrete_max=discrete_max, floored=floored,
+                         edge_decimals=EDGE_DECIMALS, woe_decimals=WOE_DECIMALS)
 
 
 def fixed_score(prepared: DataFrame, enc: W.Encoder, keep=("loan_id", "cohort", "y")) -> DataFrame:
     """p = sigmoid(b0 + sum w_j * woe_j) with literal weights, 9 decimals."""
+    wide = W.transform(prepared, enc, list(SCORE_WEIGHTS), "_rl_woe_", keep)
     z = dbl(SCORE_INTERCEPT)
     for f, w in SCORE_WEIGHTS.items():
-        z = z + dbl(w) * W.woe_column(enc.bins[f], F.col(f), enc.closed)
-    return prepared.select(*keep, F.round(sigmoid(z), SCORE_DECIMALS).alias("p"))
+        z = z + dbl(w) * F.col(f"_rl_woe_{f}")
+    return wide.select(*keep, F.round(sigmoid(z), SCORE_DECIMALS).alias("p"))
 
 
 def calibrated(scored: DataFrame, offset: float) -> DataFrame:

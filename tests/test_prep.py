@@ -84,3 +84,22 @@ def test_group_median_of_many_groups(spark):
     assert got.columns == ["g", "x"] and got.count() == 60_000
     first = got.where("x = g + 30000").count()
     assert first == 20_000
+
+
+def test_median_of_tiny_values_is_not_rounded(spark):
+    df = spark.createDataFrame([(1, 4e-8), (2, 5e-8), (3, None)], "k int, x double")
+    got = {r.k: r.x for r in P.impute_median(df, ["x"]).collect()}
+    assert abs(got[3] - 4.5e-8) < 1e-15
+
+
+def test_annuity_without_a_term_and_folds_of_large_keys(spark):
+    from pyspark.sql import functions as F
+    from riskloom.functions.expr import annuity
+    from riskloom.operators.selection import stratified_folds
+    df = spark.createDataFrame([(1, 100.0, 0.0, 0), (2, 100.0, 12.0, 0), (3, 100.0, 0.0, 10)],
+                               "k int, a double, r double, n int")
+    got = {r.k: r.p for r in df.select("k", annuity(F.col("a"), F.col("r"), F.col("n")).alias("p")).collect()}
+    assert got == {1: None, 2: None, 3: 10.0}
+    big = spark.range(2**62, 2**62 + 100).select(F.col("id").alias("key"), (F.col("id") % 2).alias("y"))
+    per = stratified_folds(big, "y", "key").groupBy("fold", "y").count().collect()
+    assert len(per) == 10 and all(r["count"] == 10 for r in per)

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators import woe as W
 
@@ -108,3 +109,26 @@ def test_many_levels_and_a_null_level(spark):
     fb = enc.bins["c"]
     assert len(fb.values) == 20_000 and len(by) == 20_001
     assert all(by[v] == w for v, w in zip(fb.values, fb.woe)) and by["new"] == fb.woe[0]
+
+
+def test_only_zero_shares_are_replaced(spark):
+    # one of 2,000,000 bads in a bin: below the floor, but not zero
+    counts = spark.createDataFrame([("x", "numeric", 0, None, 0.0, 1.0, 1_000_001, 1),
+                                    ("x", "numeric", 1, None, 1.0, 2.0, 2_999_999, 1_999_999),
+                                    ("x", "numeric", 2, None, 2.0, 3.0, 10, 0)],
+                                   W.TABLE_SCHEMA.split(", n_neg")[0])
+    def woe(floored):
+        got = W._woe_columns(counts, W._class_totals(counts), "floor", floored, None).collect()
+        return {r.bin: r.woe for r in got}
+    neg = 2_000_010
+    every, zeros = woe("all"), woe("zeros")
+    assert abs(zeros[0] - np.log(1 / 2_000_000 / (1_000_000 / neg))) < 1e-9
+    assert abs(every[0] - np.log(1e-6 / (1_000_000 / neg))) < 1e-9
+    assert every[2] == zeros[2] and every[1] == zeros[1]
+
+
+def test_tiny_values_keep_their_edges(spark):
+    df = spark.range(1000).select((F.col("id") * 1e-12).alias("x"), (F.col("id") % 3 == 0).cast("int").alias("y"))
+    enc = W.fit_encoder(df, ["x"], [], "y")
+    assert len(enc.bins["x"].edges) == 9
+    assert np.allclose(enc.bins["x"].edges, np.quantile(np.arange(1000) * 1e-12, np.arange(1, 10) / 10), rtol=1e-9, atol=0)
