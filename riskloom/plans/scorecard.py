@@ -16,8 +16,8 @@ from ..functions.expr import annuity, clip_lower, dbl, grade_label, logit, sigmo
 from ..operators import woe as W
 from ..operators.calibration import newton_offset
 from ..operators.prep import cohort_column, impute_constant, impute_median, missing_flags
-from ..session import materialize
-from ..sources.tables import loan_view
+from ..session import materialize_once
+from ..sources.tables import LOAN_TABLES, loan_view, table_path
 
 # Stand-in configuration (FIXTURES.md section 4).
 TRAIN_VINTAGES = ["1995H1", "1995H2", "1996H1", "1996H2", "1997H1", "1997H2", "1998H1",
@@ -72,13 +72,16 @@ def prepared_loans(spark: SparkSession, sf_dir: str, exact: bool = True,
                    materialized: bool = True) -> DataFrame:
     """Flags, per-vintage median imputation and derived features.
 
-    The loan table is written once to the shared folder (``materialized``) so
-    the median, edge, WoE and calibration actions that follow re-read it
-    instead of re-joining the source tables each time.
+    The loan table is written to the shared folder (``materialized``), once per
+    application and version of the source tables, so the median, edge, WoE and
+    calibration actions that follow re-read it instead of re-joining the source
+    tables each time.
     """
-    loan = loan_view(spark, sf_dir)
     if materialized:
-        loan = materialize(loan, "loan")
+        loan = materialize_once(spark, "loan", [table_path(sf_dir, t) for t in LOAN_TABLES],
+                                lambda: loan_view(spark, sf_dir))
+    else:
+        loan = loan_view(spark, sf_dir)
     df = with_cohort(loan)
     df = missing_flags(df, FLAGS)
     df = impute_median(df, MEDIAN_IMPUTED, ["vintage"], exact=exact, decimals=MEDIAN_DECIMALS)

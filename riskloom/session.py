@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -99,10 +100,60 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+_shared: dict[tuple, str] = {}  # tables written by ``materialize_once``
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop path and its file system: local, HDFS or an object store alike."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def source_version(spark: SparkSession, path: str) -> tuple:
+    """Path, bytes, files and last change of a file or folder.
+
+    A Spark write into a folder changes the folder's time of change, as it
+    makes and removes its working folder there.
+    """
+    p, fs = _file_system(spark, path)
+    s = fs.getContentSummary(p)
+    return path, s.getLength(), s.getFileCount(), fs.getFileStatus(p).getModificationTime()
+
+
+def materialize_once(spark: SparkSession, name: str, sources: Sequence[str],
+                     build: Callable[[], DataFrame]) -> DataFrame:
+    """``materialize`` that an application does once per version of its sources.
+
+    ``sources`` are all files or folders that ``build`` reads.  A changed
+    source, another application or a removed table makes a new table.
+    """
+    key = (spark.sparkContext.applicationId, ensure_checkpoint_dir(spark), name,
+           *[source_version(spark, s) for s in sources])
+    path = _shared.get(key)
+    if path is not None:
+        p, fs = _file_system(spark, path + "/_SUCCESS")
+        if fs.exists(p):
+            return spark.read.parquet(path)
+    path = scratch_path(spark, name)
+    build().write.parquet(path)
+    _shared[key] = path
+    return spark.read.parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove every table that this session wrote in the shared folder.
+
+    For the end of a job: frames that read such tables fail afterwards.
+    """
+    p, fs = _file_system(spark, ensure_checkpoint_dir(spark).rstrip("/") + "/riskloom-out")
+    fs.delete(p, True)
+    _shared.clear()
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so pandas/duckdb helpers in tests can read it."""
     return path[5:] if path.startswith("file:") else path
 
 
 __all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "cut_lineage",
-           "materialize", "local_path", "DEFAULT_CONF"]
+           "materialize", "materialize_once", "release_scratch", "source_version", "local_path", "DEFAULT_CONF"]

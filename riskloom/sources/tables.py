@@ -16,8 +16,15 @@ from pyspark.sql import functions as F
 from ..functions.expr import dbl
 
 
+LOAN_TABLES = ("orders", "customer", "lineitem")  # what ``loan_view`` reads
+
+
+def table_path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def line_summary(lineitem: DataFrame) -> DataFrame:

@@ -13,8 +13,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from riskloom.session import build_session
+    from riskloom.session import build_session, release_scratch
     s = build_session("local[4]", shuffle_partitions=4)
     s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-test-ckpt-"))
     yield s
+    release_scratch(s)
     s.stop()
