@@ -7,17 +7,24 @@ features, stratified folds, greedy forward search, boosted trees.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import IV_THRESHOLD
 from ..operators import models as M
 from ..operators import prep as P
+from ..operators import rank_metrics as RM
 from ..operators import woe as W
+from ..operators.calibration import calibration_curve, grade_table, newton_offset, prob_losses
 from ..operators.selection import stratified_folds, vif_elimination
+from ..operators.stability import psi_grades
+from ..session import materialize, scratch_path
+from ..sources.files import read_csv, read_json, write_csv, write_json
 from . import scorecard as S
-from .queries import N_FOLDS, FOLD_SEED, register, rounded
+from .queries import (FOLD_SEED, METRIC_FIELDS, METRICS_SCHEMA, N_FOLDS, iv_table_frame, register,
+                      rounded)
 
+# What the searches and fits must use for comparable results.
 L1_C = 0.1
 VIF_THRESHOLD = 10.0
 MAX_FEATURES = 10
@@ -48,9 +55,7 @@ def _fit(spark, sf, penalty="l2", C=1.0):
 
 
 def _coef_frame(spark, model, feats):
-    rows = [(f if f == "(intercept)" else f, c) for f, c in
-            M.coefficients(model, feats)]
-    return spark.createDataFrame(rows, "feature string, coef double")
+    return spark.createDataFrame(M.coefficients(model, feats), "feature string, coef double")
 
 
 @register("logit_l2")
@@ -83,15 +88,132 @@ def q_score_model(spark, sf):
     return rounded(out, ["p"])
 
 
-@register("coef_table")
-def q_coef_table(spark, sf):
-    """Model weights beside IV, ranked by IV (first pipeline's coefficient file)."""
-    model, wide, cols, feats, enc = _fit(spark, sf)
+def _coef_table(spark, model, feats, enc):
     coefs = _coef_frame(spark, model, feats).where(F.col("feature") != "(intercept)")
     iv = enc.iv_frame().select("feature", "iv")
+    w = Window.orderBy(F.abs("coef").desc(), "feature")  # one row a feature
     return rounded(coefs.join(iv, "feature").select(
-        "feature", F.col("coef").alias("coef_woe"), "iv",
-        F.abs("coef").alias("abs_coef")), ["coef_woe", "iv", "abs_coef"])
+        "feature", F.col("coef").alias("coef_woe"), "iv", F.abs("coef").alias("abs_coef"),
+        F.row_number().over(w).cast("bigint").alias("abs_rank")), ["coef_woe", "iv", "abs_coef"])
+
+
+@register("coef_table")
+def q_coef_table(spark, sf):
+    """Model weights beside IV, with their rank by absolute weight."""
+    model, wide, cols, feats, enc = _fit(spark, sf)
+    return _coef_table(spark, model, feats, enc)
+
+
+# ---------------------------------------------------------------------------
+# The fitted scorecard: logistic -> offset frozen on TRAIN -> grades -> tables
+# ---------------------------------------------------------------------------
+
+SPLITS = ["TRAIN", "VAL", "OOT"]
+TEST_SPLITS = SPLITS[1:]
+
+
+class FittedScorecard:
+    """Model, calibrated and graded loans (written once: every table below reads them)."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark = spark
+        self.model, wide, cols, self.kept, self.enc = _fit(spark, sf)
+        self.dropped = sorted(set(self.enc.bins) - set(self.kept))
+        scored = M.predict_proba(self.model, wide, cols, ["loan_id", "cohort", "y"])
+        scored = materialize(scored.withColumn("p", F.round("p", S.SCORE_DECIMALS)), "scored")
+        self.offset = round(newton_offset(scored.where(F.col("cohort") == "TRAIN"), "p", "y"), S.SCORE_DECIMALS)
+        self.loans = S.graded(S.calibrated(scored, self.offset))
+        self.test = self.loans.where(F.col("cohort").isin(TEST_SPLITS))
+
+    def grades(self):
+        t = grade_table(self.spark, self.loans, "cohort", "grade", "p_cal", "y", SPLITS)
+        return rounded(t.drop("grade_ix"), ["obs_dr", "pred_pd", "population_pct"])
+
+    def psi(self):
+        return psi_grades(self.loans, "cohort", "grade", "TRAIN", TEST_SPLITS)
+
+
+@register("model_grade_table")
+def q_model_grade_table(spark, sf):
+    """Grade table of the fitted, calibrated scorecard per split."""
+    return FittedScorecard(spark, sf).grades()
+
+
+@register("model_psi_grades")
+def q_model_psi_grades(spark, sf):
+    """PSI of the fitted scorecard's grades against TRAIN."""
+    return rounded(FittedScorecard(spark, sf).psi(), ["psi"])
+
+
+@register("model_metrics_json")
+def q_model_metrics_json(spark, sf):
+    """The fitted scorecard's record per split, as nested JSON written and read back.
+
+    Discrimination, losses, PSI against TRAIN, offset, and the kept and
+    dropped features with their counts.
+    """
+    fit = FittedScorecard(spark, sf)
+    rank = RM.rank_summary(RM.cumulative(fit.loans, ["cohort"], "p_cal", "y"), ["cohort"])
+    psi = fit.psi().select(F.col("actual_split").alias("cohort"), F.col("psi").alias("psi_vs_train"))
+    names = lambda xs: F.array(*[F.lit(x) for x in xs]).cast("array<string>")
+    nested = (rank.join(prob_losses(fit.loans, ["cohort"], "p_cal", "y"), "cohort").join(psi, "cohort", "left")
+              .select("cohort", F.lit(fit.offset).alias("calib_offset"), F.struct(*METRIC_FIELDS).alias("metrics"),
+                      F.struct(names(fit.kept).alias("kept"), names(fit.dropped).alias("dropped"),
+                               F.lit(len(fit.kept)).cast("bigint").alias("n_kept"),
+                               F.lit(len(fit.dropped)).cast("bigint").alias("n_dropped")).alias("features")))
+    path = write_json(nested, scratch_path(spark, "model_metrics_json"))
+    back = read_json(spark, path, METRICS_SCHEMA + ", features struct<kept: array<string>, "
+                     "dropped: array<string>, n_kept: bigint, n_dropped: bigint>")
+    return rounded(back.select("cohort", "calib_offset", "metrics.*", "features.*"), METRIC_FIELDS)
+
+
+@register("model_result_files")
+def q_model_result_files(spark, sf):
+    """IV, coefficient and grade files (';'-separated), written and read back: file, key, name, value."""
+    fit = FittedScorecard(spark, sf)
+    files = {"iv": (iv_table_frame(fit.enc), ["feature"]),
+             "coefficients": (_coef_table(spark, fit.model, fit.kept, fit.enc), ["feature"]),
+             "grades": (fit.grades(), ["split", "grade"])}
+    out = None
+    for name, (df, keys) in files.items():
+        path = write_csv(df, scratch_path(spark, f"result_{name}"))
+        back = read_csv(spark, path, df.schema)
+        values = [c for c in df.columns if c not in keys]
+        long = back.select(F.lit(name).alias("file"), F.concat_ws("/", *keys).alias("key"),
+                           *[F.col(c).cast("string").alias(c) for c in values]).unpivot(
+            ["file", "key"], values, "name", "value")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
+@register("model_decile_table")
+def q_model_decile_table(spark, sf):
+    """Gain table of the fitted scorecard on the test splits."""
+    t = RM.decile_table(FittedScorecard(spark, sf).test, ["cohort"], "p_cal", "y", "loan_id")
+    return rounded(t.withColumn("cum_defaults", F.col("cum_defaults").cast("bigint")),
+                   ["default_rate", "cum_capture_rate"])
+
+
+@register("model_cap_curve")
+def q_model_cap_curve(spark, sf):
+    """CAP of the fitted scorecard on the test splits."""
+    t = RM.cap_curve(FittedScorecard(spark, sf).test, ["cohort"], "p_cal", "y", "loan_id")
+    return rounded(t.withColumn("rn", F.col("rn").cast("bigint")),
+                   ["cum_pop", "cum_capture", "perfect", "random_line"])
+
+
+@register("model_calibration_curve")
+def q_model_calibration_curve(spark, sf):
+    """Reliability of the fitted scorecard on the test splits."""
+    t = calibration_curve(FittedScorecard(spark, sf).test, ["cohort"], "p_cal", "y")
+    return rounded(t.withColumn("bin", F.col("bin").cast("int")), ["mean_pred", "frac_pos"])
+
+
+@register("model_threshold_sweep")
+def q_model_threshold_sweep(spark, sf):
+    """Threshold sweep of the fitted scorecard on the test splits."""
+    t = RM.threshold_sweep(FittedScorecard(spark, sf).test, ["cohort"], "p_cal", "y")
+    return rounded(t.withColumn("k", F.col("k").cast("int")), ["threshold", "tpr", "fpr"])
 
 
 # ---------------------------------------------------------------------------
@@ -219,9 +341,9 @@ def q_model_comparison(spark, sf):
     wtr = woe_all.where(F.col("cohort") == "TRAIN")
     wte = woe_all.where(F.col("cohort") != "TRAIN")
     rows = []
-    fits = [("Logistic Regression (WoE)", lambda: M.logistic(wtr, wcols, "y", 1.0, "l2"), wcols,
+    fits = [("logit, L2, on WoE", lambda: M.logistic(wtr, wcols, "y", 1.0, "l2"), wcols,
              wtr, wte),
-            ("Logistic Regression (L1/WoE)", lambda: M.logistic(wtr, wcols, "y", L1_C, "l1"),
+            ("logit, L1, on WoE", lambda: M.logistic(wtr, wcols, "y", L1_C, "l1"),
              wcols, wtr, wte),
             ("Boosted trees A", lambda: M.gbt(tr, pool, **TREE_FINAL), pool, tr, test),
             ("Boosted trees B", lambda: M.gbt(tr, pool, **TREE_B), pool, tr, test)]

@@ -471,6 +471,17 @@ def q_psi_features(spark, sf):
     return rounded(t, ["psi"])
 
 
+@register("psi_rank", lambda: f"""
+SELECT actual_split, feature, psi, verdict,
+       row_number() OVER (PARTITION BY actual_split ORDER BY psi DESC, feature) AS psi_rank
+FROM ({_psi_feature_sql()})""")
+def q_psi_rank(spark, sf):
+    """Features by PSI per split, largest first (one row a feature and split)."""
+    w = Window.partitionBy("actual_split").orderBy(F.col("psi").desc(), "feature")
+    return q_psi_features(spark, sf).select("actual_split", "feature", "psi", "verdict",
+                                            F.row_number().over(w).cast("bigint").alias("psi_rank"))
+
+
 # ---------------------------------------------------------------------------
 # Step 5: rank metrics, losses, curves (on the calibrated score per cohort)
 # ---------------------------------------------------------------------------
@@ -719,6 +730,14 @@ def q_vif(spark, sf):
     return rounded(vif_table(tr, VIF_FEATURES), ["vif"])
 
 
+@register("vif_rank", lambda: f"""
+SELECT feature, vif, row_number() OVER (ORDER BY vif DESC, feature) AS vif_rank FROM ({_vif_sql()})""")
+def q_vif_rank(spark, sf):
+    """Features by variance inflation, largest first (one row a feature)."""
+    w = Window.orderBy(F.col("vif").desc(), "feature")
+    return q_vif(spark, sf).withColumn("vif_rank", F.row_number().over(w).cast("bigint"))
+
+
 # ---------------------------------------------------------------------------
 # Step 9: sinks and sources (round trips through the shared folder)
 # ---------------------------------------------------------------------------

@@ -108,3 +108,26 @@ def test_vif_drops_the_last_dependent_column(spark):
     assert vif_elimination(df, ["z", "a", "b", "flat"])[0] == ["z", "a", "flat"]
     v = vif_from_corr(correlation_matrix(df, ["z", "a", "b", "flat"]))
     assert np.isinf(v[2]) and np.isfinite(v[[0, 1, 3]]).all() and v[3] == 1
+
+
+def test_fitted_scorecard_end_to_end(spark):
+    from conftest import SF_SMALL
+    from pyspark.sql import functions as F
+    from riskloom.operators import woe as W
+    from riskloom.plans import models_q as MQ
+    from riskloom.plans import scorecard as S
+    fit = MQ.FittedScorecard(spark, SF_SMALL)
+    loans = fit.loans.toPandas()
+    train = loans[loans.cohort == "TRAIN"]
+    assert abs(train.p_cal.mean() - train.y.mean()) < 1e-7
+    # first-order conditions of the L2 fit over all TRAIN rows
+    prep = S.prepared_loans(spark, SF_SMALL)
+    wide = W.transform(prep, fit.enc, fit.kept, keep=["loan_id", "cohort", "y"]).where(
+        F.col("cohort") == "TRAIN").toPandas().merge(train[["loan_id", "p"]], on="loan_id")
+    x = wide[[f"woe_{f}" for f in fit.kept]].to_numpy()
+    slope = x.T @ (wide.p - wide.y).to_numpy() + fit.model.coefficients.toArray()
+    assert abs((wide.p - wide.y).sum()) < 0.05 and np.abs(slope).max() < 0.05
+    counts = loans.groupby(["cohort", "grade"]).size().to_dict()
+    for r in fit.grades().collect():
+        assert r.n == counts.get((r.split, r.grade), 0)
+    assert set(fit.kept) | set(fit.dropped) == set(fit.enc.bins)
