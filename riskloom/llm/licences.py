@@ -29,7 +29,7 @@ RARE = 3  # of a passage's words, the rarest that are looked up in a text
 
 # Phrases with their labels.
 PHRASES = {
-    "general public license": "gpl",
+    "gnu general public license": "gpl",
     "apache license": "apache",
     "cc by": "cc-by",
     "mit license": "mit",

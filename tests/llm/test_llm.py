@@ -374,3 +374,13 @@ def brute_groups(ids, docs):
             seen |= group
             out.append([(i, g) for g in group for i in fps[g]])
     return out
+
+
+def test_licence_phrases_stand_in_full():
+    """Expected places written out by hand, without the operator's own phrase table."""
+    index = licences.Index(10, {})
+    got = index.scan("The GNU General Public License, a general public license; Apache License. CC-BY and cc by, MIT license")
+    assert (got["n_words"], got["n_base"], got["first_word"], got["last_word"]) == (18, 5, 1, 16)
+    assert got["base"] == {"gpl", "apache", "cc-by", "mit"}
+    got = index.scan("a general public license and an apache licence")
+    assert (got["n_base"], got["first_word"], got["last_word"], got["labels"]) == (0, None, None, set())
