@@ -7,7 +7,9 @@ aligned by longest common subsequence, and shared lines are deleted, as they
 belong to the site and not to the page.  What says itself what it is needs no
 comparison: navigation, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments go by their elements, roles and class
-names.  Lines inside the page's article or main element stay even if the
+names (whole ones; a name hides neither the page's heading nor its only
+articles, and inside an article only names that no part of its text has).
+Lines inside the page's article or main element stay even if the
 neighbour has them too (copied articles and quoted passages do); outside of
 it, and in pages without one, a shared line goes.  A page all of whose lines
 are shared is a copy of its neighbour and keeps them.
@@ -40,12 +42,18 @@ ONCE = frozenset("p li dt dd tr td th option".split())  # ended by the next of t
 OUT = frozenset("nav footer aside form head menu dialog button select object audio video canvas search label".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar "
                   "toolbar status".split())
-NAMES = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|sidebar|sidenav|rail|footer|header|masthead|topbar|banner|ad|ads|adv|"
-    r"advert|adverts|advertisement|sponsor|sponsored|promo|promotion|cookie|cookies|consent|gdpr|notice|alert|popup|"
-    r"modal|overlay|newsletter|subscribe|subscription|signup|share|sharing|social|breadcrumb|breadcrumbs|pagination|"
-    r"pager|comment|comments|commentlist|disqus|respond|related|recommended|widget|toolbar|login|searchbox|"
-    r"searchform|copyright|disclaimer)(?:$|[\s_-])", re.I)
+NAMES = frozenset(
+    "nav navbar navigation menu sidebar sidenav rail footer header masthead topbar banner ad ads adv advert adverts "
+    "advertisement sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay "
+    "newsletter subscribe subscription signup share sharing social breadcrumb breadcrumbs pagination pager comment "
+    "comments commentlist disqus respond related recommended widget toolbar login searchbox searchform copyright "
+    "disclaimer".split())
+# words that may stand beside such a name within one class or id
+BESIDE = frozenset("site main page top bottom left right primary secondary global mobile box bar container wrapper "
+                   "slot unit block list links buttons icons area section posts".split())
+# inside an article these may name a part of its text
+IN_TEXT = frozenset("rail footer header masthead banner promo promotion notice alert overlay modal comment respond widget "
+                    "copyright disclaimer".split())
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
@@ -53,41 +61,57 @@ _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 _QUICK = re.compile(r"class|id|role|hidden|style", re.I)
 
 
-def _left_out(tag: str, attrs: str) -> bool:
-    """Whether an element says that it is not part of the article."""
+def _named(value: str, inside: bool) -> bool:
+    """Whether one whole class or id of the value, all its words, names something beside the article."""
+    for token in value.lower().split():
+        words = [x for x in re.split(r"[-_]+", token) if x]
+        names = NAMES.intersection(words)
+        if names and all(x in NAMES or x in BESIDE for x in words) and not (inside and names <= IN_TEXT):
+            return True
+    return False
+
+
+def _left_out(tag: str, attrs: str, inside: bool) -> str | None:
+    """How an element says that it is not part of the article: by "kind" or by a "name", which may mislead."""
     if tag in OUT:
-        return True
+        return "kind"
+    out = None
     if not attrs or not _QUICK.search(attrs):
-        return False
+        return out
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name in ("class", "id"):
-            if NAMES.search(value) and tag not in ("html", "body"):
-                return True
+            if tag not in ("html", "body") and _named(value, inside):
+                out = "name"
         elif name == "role":
             if value.lower() in ROLES:
-                return True
+                return "kind"
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return "kind"
         elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return "kind"
+    return out
 
 
 def lines(html: str | None) -> list[tuple[str, bool, bool]]:
     """(text, kept by its elements, inside article or main) of each block in page order."""
     html = html or ""
-    out: list[tuple[str, bool, bool]] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, left out here, in article
+    out: list[tuple[str, bool, frozenset, bool]] = []
+    # tag, left out here by kind, numbers of the doubtful elements around, in article
+    stack: list[tuple[str, bool, frozenset, bool]] = []
     held: list[str] = []
-    left, inside = False, False
+    left, doubt, inside, number = False, frozenset(), False, 0
+    texts: list[frozenset] = []  # doubtful elements around each article or main
+    headings: list[tuple[bool, frozenset]] = []  # of each h1: in article, doubtful elements around it
+    forms = frozenset()  # doubtful by their kind: nav, header, form
+    bars = frozenset()  # of those, nav and header
 
     def flush() -> None:
         if held:
             text = " ".join(unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((text, not left, inside))
+                out.append((text, left, doubt, inside))
 
     at, end = 0, len(html)
     while at < end:
@@ -107,11 +131,14 @@ def lines(html: str | None) -> list[tuple[str, bool, bool]]:
                 held.append(" ")
             continue
         if not close and tag in RAW:
+            drawn = tag in ("svg", "math")
+            if drawn and attrs.endswith("/"):  # an empty element
+                continue
             stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
             flush_at = tag == "title"
             if flush_at:
                 flush()
-            at = stop.end() if stop else end
+            at = stop.end() if stop else at if drawn else end
             continue
         block = tag in BLOCKS
         if block:
@@ -129,22 +156,37 @@ def lines(html: str | None) -> list[tuple[str, bool, bool]]:
                     stack.pop()
                 if stack and (stack[-1][0] == tag in ONCE or stack[-1][0] == "p"):
                     stack.pop()
-            omit = _left_out(tag, attrs)
+            hide, around, text = (stack[-1][1:] if stack else (False, frozenset(), False))
+            omit = _left_out(tag, attrs, text)
             main = tag in ("article", "main")
-            if tag == "header" and not inside:
-                omit = True
-            if main and not omit:
+            if tag == "header" and not text and not omit:
+                omit = "kind"
+            if omit == "name" or omit and tag in ("nav", "header", "form"):
+                number += 1
+                around = around | {number}
+                if omit == "kind":
+                    forms |= {number}
+                    if tag != "form":
+                        bars |= {number}
+            elif omit:
+                hide = True
+            if main and not hide:
                 # an unclosed menu, header or a form around the page does not hide its article
-                hidden = [s for s in stack if s[1] and s[0] not in ("nav", "header", "form")]
-                if not hidden and left:
-                    stack = [(t, False, i) for t, _, i in stack]
-                    left = False
+                around -= forms
+                stack = [(t, h, d - forms, i) for t, h, d, i in stack]
+                texts.append(around)
+            if tag == "h1" and not hide and not around & bars:
+                headings.append((text, around))
             if block or omit:
                 flush()
-                stack.append((tag, left or omit, inside or main and not omit))
-        left, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+                stack.append((tag, hide, around, text or main and not hide))
+        left, doubt, inside = stack[-1][1:] if stack else (False, frozenset(), False)
     flush()
-    return out
+    # a name does not hide the page's heading, nor its articles if none is outside of such elements
+    sure = next((d for i, d in headings if i), headings[0][1] if headings else frozenset())
+    if texts and all(texts):
+        sure = sure.union(*texts)
+    return [(t, not hide and d <= sure, i) for t, hide, d, i in out]
 
 
 def _row(a: list, b: list) -> int:

@@ -384,3 +384,19 @@ def test_licence_phrases_stand_in_full():
     assert got["base"] == {"gpl", "apache", "cc-by", "mit"}
     got = index.scan("a general public license and an apache licence")
     assert (got["n_base"], got["first_word"], got["last_word"], got["labels"]) == (0, None, None, set())
+
+
+def test_html_names_do_not_hide_articles():
+    text = lambda html: html_text.main_text(html_text.lines(html), None)
+    body = "<article><header class='entry-header'><h1>Title</h1></header><p>Words</article>"
+    for around in ("<div class='no-sidebar'>{}</div>", "<div id='content-with-comments'>{}</div>",
+                   "<div class='sidebar-right'><p class=ad>buy</p>{}</div>", "<form><div class=sidebar>{}</div></form>",
+                   "<nav><ul><li>Menu{}", "<div class=share>tell</div>{}<div class='related-posts'><article>Other</article></div>"):
+        assert text(around.format(body)) == "Title\n\nWords", around
+    assert text("<div class='page header'><h1>Title</h1><p>Words</div><div class=header>Site</div>") == "Title\n\nWords"
+    assert text("<form id=f><h1>Title</h1><p>Words</form>") == "Title\n\nWords"
+    kept = "<article><h1>T</h1><p class='market-share'>a</p><p class='legal-notice'>b</p><p class=notice>c</p>{}</article>"
+    assert text(kept.format("<div class='ad-slot'>buy</div><div class='share-buttons'>tell</div>")) == "T\n\na\n\nb\n\nc"
+    for tag in ("svg", "math"):
+        assert text(f"<article><p>a<{tag} width='1'/>b<p>c<{tag}/><p>d<{tag}><text>no</text></{tag}></article>") == "ab\n\nc\n\nd"
+        assert text(f"<article><p>a<{tag}><p>b</article>") == "a\n\nb"
