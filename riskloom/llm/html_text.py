@@ -9,10 +9,12 @@ comparison: navigation, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles and reader comments go by their elements, roles and class
 names (whole ones; a name hides neither the page's heading nor its only
 articles, and inside an article only names that no part of its text has).
-Lines inside the page's article or main element stay even if the
-neighbour has them too (copied articles and quoted passages do); outside of
-it, and in pages without one, a shared line goes.  A page all of whose lines
-are shared is a copy of its neighbour and keeps them.
+Shared lines go inside the page's article or main element as well, with
+three exceptions there: its h1 stays; all stay if the neighbour is a copy
+(every line is shared, or lines of at least ``LONG`` characters that are
+shared make half of the text); and a run of shared lines stays if it is a long
+passage (its lines of that length have ``PASSAGE`` characters together).  A page all
+of whose lines are shared is a copy of its neighbour and keeps them.
 
 Defined results: null html gives an empty text; a null URL has an empty host
 and path; repeated rows are neighbours, and each gives its text; a host's only
@@ -57,6 +59,7 @@ IN_TEXT = frozenset("rail footer header masthead banner promo promotion notice a
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+LONG, PASSAGE = 80, 240  # characters of a line of prose, and of a passage of them
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _QUICK = re.compile(r"class|id|role|hidden|style", re.I)
 
@@ -93,10 +96,10 @@ def _left_out(tag: str, attrs: str, inside: bool) -> str | None:
     return out
 
 
-def lines(html: str | None) -> list[tuple[str, bool, bool]]:
-    """(text, kept by its elements, inside article or main) of each block in page order."""
+def lines(html: str | None) -> list[tuple[str, bool, str]]:
+    """(text, kept by its elements, "text" or "h1" inside article or main, else "") of each block in page order."""
     html = html or ""
-    out: list[tuple[str, bool, frozenset, bool]] = []
+    out: list[tuple[str, bool, frozenset, str]] = []
     # tag, left out here by kind, numbers of the doubtful elements around, in article
     stack: list[tuple[str, bool, frozenset, bool]] = []
     held: list[str] = []
@@ -111,7 +114,7 @@ def lines(html: str | None) -> list[tuple[str, bool, bool]]:
             text = " ".join(unescape("".join(held)).split())
             held.clear()
             if text:
-                out.append((text, left, doubt, inside))
+                out.append((text, left, doubt, inside and ("h1" if any(x[0] == "h1" for x in stack) else "text")))
 
     at, end = 0, len(html)
     while at < end:
@@ -186,7 +189,7 @@ def lines(html: str | None) -> list[tuple[str, bool, bool]]:
     sure = next((d for i, d in headings if i), headings[0][1] if headings else frozenset())
     if texts and all(texts):
         sure = sure.union(*texts)
-    return [(t, not hide and d <= sure, i) for t, hide, d, i in out]
+    return [(t, not hide and d <= sure, i or "") for t, hide, d, i in out]
 
 
 def _row(a: list, b: list) -> int:
@@ -240,11 +243,29 @@ def common_places(a: list, b: list) -> list[int]:
     return head + sorted(mid) + tail
 
 
-def main_text(mine: list[tuple[str, bool, bool]], other: list[tuple[str, bool, bool]] | None) -> str:
+def _passages(kept: list[tuple[int, tuple]], shared: set[int]) -> set[int]:
+    """Of the shared lines of an article, those that stay: its h1, a copy's, and runs that are long passages."""
+    text = [(i, x[0], i in shared) for i, x in kept if x[2]]
+    long = sum(len(t) for _, t, on in text if on and len(t) >= LONG)
+    if all(on for *_, on in text) or 2 * long >= sum(len(t) for _, t, _ in text):
+        return {i for i, *_ in text}
+    stay, run = {i for i, x in kept if x[2] == "h1"}, []
+    for i, t, on in [*text, (-1, "", False)]:
+        if on:
+            run.append((i, t))
+            continue
+        if sum(len(t) for _, t in run if len(t) >= LONG) >= PASSAGE:
+            stay.update(i for i, _ in run)
+        run = []
+    return stay
+
+
+def main_text(mine: list[tuple[str, bool, str]], other: list[tuple[str, bool, str]] | None) -> str:
     """The lines left after comparison with the paired page's, joined by two line ends."""
     shared = set(common_places([x[0] for x in mine], [x[0] for x in other])) if other else set()
     kept = [(i, x) for i, x in enumerate(mine) if x[1]]
-    left = [x[0] for i, x in kept if x[2] or i not in shared]
+    stay = _passages(kept, shared) if shared else set()
+    left = [x[0] for i, x in kept if i not in shared or i in stay]
     return "\n\n".join(left or [x[0] for _, x in kept])
 
 

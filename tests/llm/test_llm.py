@@ -400,3 +400,17 @@ def test_html_names_do_not_hide_articles():
     for tag in ("svg", "math"):
         assert text(f"<article><p>a<{tag} width='1'/>b<p>c<{tag}/><p>d<{tag}><text>no</text></{tag}></article>") == "ab\n\nc\n\nd"
         assert text(f"<article><p>a<{tag}><p>b</article>") == "a\n\nb"
+
+
+def test_html_shared_lines_go_inside_articles():
+    cut = lambda *body: html_text.lines(f"<article><h1>Weekly</h1>{''.join(f'<p>{x}' for x in body)}</article>")
+    own = [f"{w} words that only one page has, and so many that no other text comes near their length at all" for w in "abcdefgh"]
+    passage = [f"{w} passage that both of the pages quote in full, with so many words that it is no line of the site" for w in "xyz"]
+    bar, more = "Tell your friends", "Read more of this series"
+    one, two = cut(bar, *own[:4], more), cut(bar, *own[4:], more)
+    assert html_text.main_text(one, two).split("\n\n") == ["Weekly", *own[:4]]
+    one, two = cut(*own[:4], *passage, own[4], more), cut(own[5], *passage, *own[6:], more)
+    assert html_text.main_text(one, two).split("\n\n") == ["Weekly", *own[:4], *passage, own[4]]
+    copy, edited = cut(bar, *own, more), cut(bar, *own[:6], "x", own[7], more)
+    assert html_text.main_text(copy, copy).split("\n\n") == ["Weekly", bar, *own, more]
+    assert html_text.main_text(edited, copy).split("\n\n") == ["Weekly", bar, *own[:6], "x", own[7], more]
