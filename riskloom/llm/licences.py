@@ -6,7 +6,9 @@ word on (by inverse document frequency over all documents); each hit proposes
 a start for every posting, and the start is kept if the template's other words
 stand at the same relative place.  Phrases must match in full; of a passage at
 least ``MATCH`` of its words must stand in place, and its key phrase must
-occur in the text.
+occur in the text.  Of a passage so many places are looked up, those of the
+rarest words, that every match has one of them in place: one more than a match
+may lack.
 
 Words are runs of letters, digits and characters beyond ASCII, with A-Z in
 lower case.
@@ -25,7 +27,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MATCH = 0.8  # share of a passage's words that must stand in place
-RARE = 3  # of a passage's words, the rarest that are looked up in a text
 
 # Phrases with their labels.
 PHRASES = {
@@ -98,8 +99,14 @@ class Index:
         self.rank = {w: i for i, w in enumerate(rank)}
         self.phrases = [(words(p), label) for p, label in phrases.items()]
         self.passages = [(words(p), words(key), label) for label, key, p in passages]
+        self.probes = [self.rarest_places(w) for w, _, _ in self.passages]
         self.rare = [min(w, key=self.rank.__getitem__) for w, _ in self.phrases]
 
+    def rarest_places(self, template: list[bytes]) -> list[int]:
+        """Places of a passage, rarest word first: one more than a match may lack."""
+        lacks = max(k for k in range(len(template) + 1) if (len(template) - k) / len(template) >= MATCH)
+        return sorted(range(len(template)), key=lambda j: (self.rank[template[j]], j))[:lacks + 1]
+
     def starts(self, at: dict[bytes, list[int]], template: list[bytes]) -> list[int]:
         """All starts at which every word of a phrase stands in place, rarest word first."""
         order = sorted(range(len(template)), key=lambda j: (self.rank[template[j]], j))
@@ -119,7 +126,8 @@ class Index:
         if not known:
             return out
         rarest = [r in known for r in self.rare]
-        wanted = [p for p in self.passages if sum(x in known for x in set(p[0])) >= MATCH * len(set(p[0]))]
+        wanted = [(*p, probe) for p, probe in zip(self.passages, self.probes)
+                  if sum(x in known for x in p[0]) / len(p[0]) >= MATCH]
         if not any(rarest) and not wanted:
             return out
         at: dict[bytes, list[int]] = {}
@@ -131,11 +139,10 @@ class Index:
                 out["n_base"] += 1
                 out["base"].add(label)
                 out["spans"].append((label, s, s + len(template)))
-        for template, key, label in wanted:
+        for template, key, label, probe in wanted:
             if not self.starts(at, key):
                 continue
-            high = sorted((x for x in set(template) if x in known), key=self.rank.__getitem__)[:RARE]
-            votes = {p - j for x in high for j, y in enumerate(template) if y == x for p in at[x]}
+            votes = {p - j for j in probe for p in at.get(template[j], ())}
             places = [set(at.get(y, ())) for y in template]
             for s in sorted(votes):
                 share = sum(s + j in here for j, here in enumerate(places)) / len(template)

@@ -414,3 +414,44 @@ def test_html_shared_lines_go_inside_articles():
     copy, edited = cut(bar, *own, more), cut(bar, *own[:6], "x", own[7], more)
     assert html_text.main_text(copy, copy).split("\n\n") == ["Weekly", bar, *own, more]
     assert html_text.main_text(edited, copy).split("\n\n") == ["Weekly", bar, *own[:6], "x", own[7], more]
+
+
+def test_licence_passages_against_brute_force():
+    """Altered passages, cut ones, and texts where the altered words occur elsewhere; every alignment tried."""
+    rng, index = random.Random(3), licences.Index(10, {})
+    holds = lambda w, key: any(w[i:i + len(key)] == key for i in range(len(w)))
+    found = 0
+    for k in range(600):
+        label, key, passage = licences.PASSAGES[k % len(licences.PASSAGES)]
+        w = passage.split()
+        n = len(w)
+        at = rng.sample(range(n), rng.randint(0, n // 4)) if k % 3 else sorted(
+            range(n), key=lambda j: (index.rank[w[j].encode()], j))[:rng.randint(0, n // 4)]
+        lost = [w[j] for j in at]
+        for j in at:
+            w[j] = "zz"
+        w = w[rng.choice([0, 0, 2]):]
+        text = ["yy"] * rng.choice([0, 3]) + w + ["yy"] + (lost if k % 2 else []) + ["yy", *key.split()]
+        spans, score = set(), 0.0
+        for name, phrase, whole in licences.PASSAGES:
+            t = whole.split()
+            for s in range(-len(t), len(text)) if holds(text, phrase.split()) else ():
+                share = sum(0 <= s + j < len(text) and text[s + j] == x for j, x in enumerate(t)) / len(t)
+                if share >= licences.MATCH:
+                    spans.add((name, max(s, 0), s + len(t)))
+                    score = max(score, share)
+        got = index.scan(" ".join(text))
+        assert {s for s in got["spans"] if s[0] in got["labels"]} == spans
+        assert got["labels"] == {s[0] for s in spans} and (got["n_base"] or got["score"] == score)
+        found += bool(spans)
+    assert 200 < found < 600
+
+
+def test_licence_altered_words_are_not_looked_up_first():
+    index = licences.Index(10, {})
+    for label, key, passage in licences.PASSAGES[:4]:
+        w = passage.split()
+        once = [j for j, x in enumerate(w) if w.count(x) == 1 and x not in key.split()]
+        for j in once[:len(w) // 5]:
+            w[j] = "zz"
+        assert index.scan(" ".join([*w, *key.split()]))["labels"] == {label}, label
