@@ -1,12 +1,20 @@
 """Language identification by nearest centroid (operator 1).
 
 A text becomes counts of its character 1-, 2- and 3-grams (lower-cased
-letters; everything else is a word boundary), hashed to ``BUCKETS``.  Counts
-are weighed, square root times inverse document frequency, and normalised.
+letters; everything else is a word boundary), hashed to ``BUCKETS`` with a
+sign, so that collisions cancel out and texts without common grams have a
+cosine near 0.  Counts are weighed, square root times inverse document
+frequency, and normalised.
 Each language has ``CLUSTERS`` centroids, found by spherical k-means; a text
 gets the language of the centroid with the largest cosine.  It is rejected if
-that cosine is below the limit for texts of its length: a share ``SLACK`` of
-the least that all but one in ``TAIL`` of the training texts reach.
+that cosine is below the limit for texts of its length.  Limits lie between
+the cosines of known and of unknown texts of that length, three quarters of
+the way up: the least that all but one in ``TAIL`` of the training texts reach
+with centroids of the other half of them, and the most that unknown texts do (training texts without the
+centroids of their language, all but one in ``FOREIGN``, and noise of their
+letters, all but one in 100).  Where these overlap, the limit is that of the
+known texts.  Besides whole texts, beginnings of them of all shorter lengths
+take part; a length class with few examples uses the classes around it.
 
 Document frequencies cover all training rows (labelled and not held out).
 The clustering and the limits are fitted on a bounded sample of them: at most
@@ -29,9 +37,9 @@ from pyspark.sql import functions as F
 
 from .common import remainder
 
-BUCKETS, CLUSTERS = 4096, 4
+BUCKETS, CLUSTERS = 8192, 4
 PER_LANGUAGE, ALL_ROWS, MAX_LANGUAGES = 1000, 8000, 1000
-TAIL, SLACK = 200, 0.35
+TAIL, FOREIGN, EXAMPLES, PIECES = 200, 20, 30, 2000
 UNKNOWN = "und"
 
 
@@ -51,7 +59,7 @@ class Grams:
         self.shift = np.uint32(32 - (buckets - 1).bit_length())
 
     def count(self, text: str):
-        """Counts by bucket and number of letters; None without a letter."""
+        """Signed counts by bucket and number of letters; None without a letter."""
         import numpy as np
         c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
         on = self.letter[c]
@@ -67,13 +75,14 @@ class Grams:
         got = np.zeros(self.buckets, np.int64)
         for h in (a[c > 0], b, t):
             h = (h ^ (h >> np.uint32(15))) * np.uint32(2246822519)
-            got += np.bincount(h >> self.shift, minlength=self.buckets)
+            at, sign = h >> self.shift, (h ^ (h >> np.uint32(13))) * np.uint32(3266489917) >> np.uint32(31)
+            got += np.bincount(at, 1.0 - 2.0 * sign, self.buckets).astype(np.int64)
         return got, n
 
 
 def _weigh(counts, idf):
     import numpy as np
-    v = np.sqrt(counts).astype(np.float32) * idf
+    v = (np.sign(counts) * np.sqrt(np.abs(counts))).astype(np.float32) * idf
     return v / np.maximum(np.sqrt((v * v).sum(-1, keepdims=True)), 1e-9)
 
 
@@ -98,6 +107,89 @@ def _size(letters):
     return np.log2(np.maximum(letters, 1)).astype(int)
 
 
+def _piece_and_noise(text: str, letter):
+    """The beginning of a text, of a length class by its hash, and as many random ones of its letters."""
+    import zlib
+    import numpy as np
+    seed = zlib.crc32(text.encode("utf-8", "surrogatepass"))
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    place = np.flatnonzero(letter[c])
+    cut = int(1.5 * 2 ** (seed % (int(np.log2(len(place))) + 1)))
+    piece = c[:place[cut - 1] + 1] if cut < len(place) else c
+    known = np.unique(c[place])
+    noise = None
+    if len(known) >= 10:  # fewer letters make words of the language
+        noise, on = piece.copy(), letter[piece]
+        noise[on] = np.random.default_rng(seed).choice(known, int(on.sum()))
+    return [None if x is None else x.tobytes().decode("utf-32-le", "surrogatepass") for x in (piece, noise)]
+
+
+def _limits(by: dict[str, list], noise: list, idf, buckets: int, clusters: int):
+    """Limit of each length class, from halves of the sample and from noise."""
+    import numpy as np
+
+    def cosines(some: list, centres):
+        out = [np.zeros((0, len(centres)), np.float32)]
+        for a in range(0, len(some), 128):
+            out.append(_weigh(_dense(some[a:a + 128], buckets), idf) @ centres.T)
+        return np.concatenate(out)
+
+    known, foreign = [], []  # cosine and length class
+    random = [np.zeros((0, 2))]
+    for half in (0, 1):
+        names, centres = [], []
+        for lang, rows in by.items():
+            some = [r for r in rows if r[3] == half and not r[4]]
+            if some:
+                c = _kmeans(_weigh(_dense(some, buckets), idf), clusters)
+                names += [lang] * len(c)
+                centres.append(c)
+        if not names:
+            continue
+        centres, names = np.concatenate(centres), np.array(names)
+        for lang, rows in by.items():
+            some = [r for r in rows if r[3] != half]
+            cos, size = cosines(some, centres), _size(np.array([r[0] for r in some], int))
+            own = names == lang
+            if own.any():
+                known += zip(cos.max(1).tolist(), size.tolist())
+            if not own.all():
+                foreign += zip(cos[:, ~own].max(1).tolist(), size.tolist())
+        if noise:
+            random.append(np.column_stack([cosines(noise, centres).max(1), _size(np.array([r[0] for r in noise]))]))
+    known, foreign, random = np.array(known).reshape(-1, 2), np.array(foreign).reshape(-1, 2), np.concatenate(random)
+    limit = np.zeros(64)
+    if len(known) < EXAMPLES:
+        return limit
+
+    def near(x, k: int):
+        width = next((w for w in range(64) if (np.abs(x[:, 1] - k) <= w).sum() >= EXAMPLES), 64)
+        return np.sort(x[np.abs(x[:, 1] - k) <= width, 0])
+
+    for k in range(64):
+        at = near(known, k)
+        least, most = at[len(at) // TAIL], 0.0
+        for x, one_in in ((foreign, FOREIGN), (random, 100)):
+            if len(x) >= EXAMPLES:
+                at = near(x, k)
+                most = max(most, at[-1 - len(at) // one_in])
+        limit[k] = least - max(0.0, least - most) / 4
+    return limit
+
+
+def _half(idx) -> int:
+    import zlib
+    return zlib.crc32(idx.tobytes()) & 1
+
+
+def _dense(some: list, buckets: int):
+    import numpy as np
+    x = np.zeros((len(some), buckets), np.float32)
+    for i, r in enumerate(some):
+        x[i, r[1]] = r[2]
+    return x
+
+
 def train(rows: DataFrame, buckets: int = BUCKETS, clusters: int = CLUSTERS) -> dict | None:
     """Fit on rows with text and lang (doc_id orders the sample)."""
     import numpy as np
@@ -111,29 +203,37 @@ def train(rows: DataFrame, buckets: int = BUCKETS, clusters: int = CLUSTERS) ->
                            for v in (r["lang"], int(min(1.0, each / r["count"]) * scale))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(scale))
     packed = _letters()
-    kind = "idx array<int>, cnt array<int>, lang string, letters long, df binary"
+    kind = "idx array<int>, cnt array<int>, lang string, letters long, part string, df binary"
+    pieces = max(1, -(-sum(min(each, r["count"]) for r in sizes) // PIECES))  # one in so many sampled rows gives them
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, df = Grams(packed, buckets), np.zeros(buckets, np.int64)
         table = lambda x: pa.RecordBatch.from_pylist(x, schema=pa.schema(
             [("idx", pa.list_(pa.int32())), ("cnt", pa.list_(pa.int32())), ("lang", pa.string()),
-             ("letters", pa.int64()), ("df", pa.binary())]))
+             ("letters", pa.int64()), ("part", pa.string()), ("df", pa.binary())]))
         for b in batches:
             out = []
-            for text, lang, drawn in zip(*(c.to_pylist() for c in b.columns)):
+            for text, lang, drawn, cut in zip(*(c.to_pylist() for c in b.columns)):
                 got, n = grams.count(text)
                 if got is None:
                     continue
-                df += got > 0
-                if drawn:
-                    i = np.flatnonzero(got)
-                    out.append({"idx": i.tolist(), "cnt": got[i].tolist(), "lang": lang, "letters": n, "df": None})
+                df += got != 0
+                parts = [("whole", got, n)] if drawn else []
+                if drawn and cut:
+                    made = zip(("piece", "noise"), _piece_and_noise(text, grams.letter))
+                    parts += [(p, *grams.count(t)) for p, t in made if t is not None]
+                for part, got, n in parts:
+                    if got is not None:
+                        i = np.flatnonzero(got)
+                        out.append({"idx": i.tolist(), "cnt": got[i].tolist(), "lang": lang, "letters": n,
+                                    "part": part, "df": None})
             if out:
                 yield table(out)
-        yield table([{"idx": None, "cnt": None, "lang": None, "letters": None, "df": df.tobytes()}])
+        yield table([{"idx": None, "cnt": None, "lang": None, "letters": None, "part": None, "df": df.tobytes()}])
 
     from .common import save
-    got = save(rows.select("text", "lang", (draw < F.coalesce(share[F.col("lang")], F.lit(0))).alias("drawn"))
+    got = save(rows.select("text", "lang", (draw < F.coalesce(share[F.col("lang")], F.lit(0))).alias("drawn"),
+                           (F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.lit(pieces)) == 0).alias("cut"))
                .mapInArrow(run, kind), "langid-sample")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,35 +248,25 @@ def train(rows: DataFrame, buckets: int = BUCKETS, clusters: int = CLUSTERS) ->
     df = sum((np.frombuffer(r.df, np.int64) for r in sums), np.zeros(buckets, np.int64))
     documents = sum(r["count"] for r in sizes)
     idf = np.log((1 + documents) / (1 + df)).astype(np.float32) + np.float32(1e-3)
-    langs, centres, names, cos, length = sorted(r["lang"] for r in sizes), [], [], [], []
-    sample = got.filter("lang is not null").select("idx", "cnt", "lang", "letters")
-    by: dict[str, list] = {}
-    for r in sample.toLocalIterator():
-        by.setdefault(r.lang, []).append(
-            (r.letters, np.array(r.idx, np.int32), np.array(r.cnt, np.int32)))
-    for lang in langs:
-        if lang not in by:
-            continue
-        x = np.zeros((len(by[lang]), buckets), np.float32)
-        for i, (_, idx, cnt) in enumerate(sorted(by[lang], key=lambda t: (t[0], t[1].tobytes(), t[2].tobytes()))):
-            x[i, idx] = cnt
-        x = _weigh(x, idf)
-        c = _kmeans(x, clusters)
-        centres.append(c)
-        names += [lang] * len(c)
-        cos.append((x @ c.T).max(1))
-        length.append(_size(np.array(sorted(t[0] for t in by[lang]))))
+    centres, names, noise = [], [], []
+    by: dict[str, list] = {r["lang"]: [] for r in sorted(sizes, key=lambda r: r["lang"])}
+    for r in got.filter("lang is not null").select("idx", "cnt", "lang", "letters", "part").toLocalIterator():
+        x = (r.letters, np.array(r.idx, np.int32), np.array(r.cnt, np.int32))
+        if r.part == "noise":
+            noise.append(x)
+        else:
+            by[r.lang].append((*x, r.part == "piece"))
+    for lang, some in by.items():  # letters, buckets, counts, half, whether a piece
+        some = sorted(some, key=lambda t: (t[3], t[0], t[1].tobytes(), t[2].tobytes()))
+        by[lang] = [(*t[:3], _half(t[1]), t[3]) for t in some]
+        whole = [t for t in by[lang] if not t[4]]
+        if whole:
+            c = _kmeans(_weigh(_dense(whole, buckets), idf), clusters)
+            centres.append(c)
+            names += [lang] * len(c)
     if not names:
         return None
-    cos, length = np.concatenate(cos), np.concatenate(length)
-    limit = np.zeros(64)
-    for k in range(64):
-        at = np.sort(cos[length == k])
-        limit[k] = SLACK * at[len(at) // TAIL] if len(at) >= 30 else 0.0
-    # a length class without examples uses that of the nearest shorter one
-    for k in range(1, 64):
-        if not limit[k] and not (length == k).sum() >= 30:
-            limit[k] = limit[k - 1]
+    limit = _limits(by, noise, idf, buckets, clusters)
     return {"idf": idf, "centres": np.concatenate(centres).astype(np.float32), "names": names,
             "limit": limit, "packed": packed, "buckets": buckets}
 

@@ -455,3 +455,26 @@ def test_licence_altered_words_are_not_looked_up_first():
         for j in once[:len(w) // 5]:
             w[j] = "zz"
         assert index.scan(" ".join([*w, *key.split()]))["labels"] == {label}, label
+
+
+def test_language_rejects_noise_and_foreign_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.length("text") >= 40)
+    r, rows = random.Random(4), []
+    letters = {"latin": "abcdefghijklmnopqrstuvwxyz", "cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя",
+               "han": [chr(0x4E00 + i) for i in range(3000)]}
+    for kind, some in letters.items():
+        for n in (60, 250, 1500, 6000):
+            for _ in range(20):
+                words = ("".join(r.choice(some) for _ in range(r.randint(2, 9))) for _ in range(n))
+                rows.append((len(rows), " ".join(words)[:n], f"{kind} {n}"))
+    noise = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs.filter(~langid.held_out(F.col("doc_id"))))
+    part = lambda df, m: {x.lang: x.r for x in langid.predict(df, m).join(df.select("doc_id", "lang"), "doc_id")
+                          .groupBy("lang").agg(F.avg(F.col("rejected").cast("int")).alias("r")).collect()}
+    got = part(noise, model)
+    assert all(v >= 0.9 for k, v in got.items() if k != "latin 60"), got
+    long = docs.filter((F.length("text") > 500) & F.col("lang").isNotNull())
+    rest = langid.train(docs.filter((F.col("lang") != "es") & ~langid.held_out(F.col("doc_id"))))
+    got = part(long, rest)
+    assert got.pop("es") > 0.9 and all(v < 0.05 for v in got.values()), got
+    assert all(v < 0.05 for v in part(docs.filter("lang is not null"), model).values())
