@@ -15,13 +15,17 @@ bucket's largest length, is a local threshold of the cosine:
 What is left is verified with whole-number products, and the bound rises with
 every bucket.  Results are exact; ties go to the smaller number.
 
-Queries travel to every group in blocks; a task holds one group and one block.
+Queries travel in blocks of alike needs (bound over own length).  A block goes
+only to the groups whose longest vector reaches the least need of the block;
+a task holds one group and one block.
 
 Defined results: vectors that are null, empty, hold a null or a non-finite
 component, or have no number take no part; vectors of another dimension than
 the query's are no candidates; rows that repeat a number and vector count
 once, and other rows of the query's own number are no candidates; a query
-with no candidate has no rows; further columns are ignored.
+with no candidate has no rows; further columns are ignored;
+a vector of length 2**31.5 or more raises an error, as its products may not be
+longs.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from pyspark.sql import functions as F
 from .common import parts, save
 
 K, BUCKET, GROUP, BLOCK, COORDINATE = 5, 512, 16, 256, 0.7
+NONE = -(1 << 63)  # no bound yet, or an empty place
 COPIES = 64  # tasks that share the queries to the first group, each with its own copy of it
 
 
@@ -46,11 +51,13 @@ def whole_vectors(rows: DataFrame, scale: int = 256) -> DataFrame:
     v = F.transform(x, lambda c: F.floor(c.cast("double") * F.lit(float(scale))))
     got = rows.filter(ok).select("vec_id", v.alias("v")).distinct()
     square = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
-    return got.select("vec_id", "v", F.size("v").alias("dim"), F.sqrt(square).alias("length"))
+    fits = F.when(square < F.lit(2.0 ** 63), square).otherwise(
+        F.raise_error(F.lit("a vector is too long for products that are longs")).cast("double"))
+    return got.select("vec_id", "v", F.size("v").alias("dim"), F.sqrt(fits).alias("length"))
 
 
 def buckets(vectors: DataFrame, bucket: int = BUCKET, group: int = GROUP) -> DataFrame:
-    """grp, seq, dim, ids, data: buckets of vectors by length, longest first, as binary blocks."""
+    """grp, seq, dim, longest, ids, data: buckets of vectors by length, longest first, as binary blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
         from pyspark import TaskContext
@@ -62,11 +69,13 @@ def buckets(vectors: DataFrame, bucket: int = BUCKET, group: int = GROUP) -> Dat
             ids, data = zip(*held.pop(dim))
             k = n.get(dim, 0)
             n[dim] = k + 1
+            data = np.array(data, np.int64)
+            longest = np.sqrt((data.astype(np.float64) ** 2).sum(1)).max()
             return pa.RecordBatch.from_arrays(
                 [pa.array([(pid << 32) + (k // group)]), pa.array([k % group], pa.int32()), pa.array([dim], pa.int32()),
-                 pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
-                 pa.array([np.array(data, np.int64).tobytes()], pa.binary())],
-                names=["grp", "seq", "dim", "ids", "data"])
+                 pa.array([float(longest)]), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
+                 pa.array([data.tobytes()], pa.binary())],
+                names=["grp", "seq", "dim", "longest", "ids", "data"])
 
         for b in batches:
             for i, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -78,20 +87,25 @@ def buckets(vectors: DataFrame, bucket: int = BUCKET, group: int = GROUP) -> Dat
 
     order = [F.col("dim"), F.col("length").desc(), F.col("vec_id")]
     return (vectors.repartitionByRange(parts(vectors), *order).sortWithinPartitions(*order)
-            .select("vec_id", "v").mapInArrow(run, "grp long, seq int, dim int, ids binary, data binary"))
+            .select("vec_id", "v")
+            .mapInArrow(run, "grp long, seq int, dim int, longest double, ids binary, data binary"))
 
 
 def _best(scores, ids, k: int):
-    """Places of the k best scores of each row, ties to the smaller id (ids ascend by place)."""
+    """Places of the k best scores of each row, ties to the smaller id (ids ascend by place).
+
+    Empty places hold ``NONE``: ``~`` turns the order of longs round without
+    an overflow, so they come last.
+    """
     import numpy as np
     n = scores.shape[1]
     if n <= k:
-        return np.argsort(-scores, axis=1, kind="stable")
+        return np.argsort(~scores, axis=1, kind="stable")
     kth = np.partition(scores, n - k, axis=1)[:, n - k]
     out = np.empty((len(scores), k), np.int64)
     for r in range(len(scores)):
         at = np.flatnonzero(scores[r] >= kth[r])
-        out[r] = at[np.argsort(-scores[r, at], kind="stable")[:k]]
+        out[r] = at[np.argsort(~scores[r, at], kind="stable")[:k]]
     return out
 
 
@@ -99,7 +113,7 @@ def _search(k: int):
     """Partition function: rows sorted by group and copy, buckets before query blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
-        none = np.iinfo(np.int64).min
+        none = NONE
         group, held = None, []
         for b in batches:
             for r in range(b.num_rows):
@@ -108,13 +122,15 @@ def _search(k: int):
                     group, held = (cell("grp"), cell("copy")), []
                 dim = cell("dim")
                 ids = np.frombuffer(cell("ids"), np.int64)
-                data = np.frombuffer(cell("data"), np.int64).reshape(len(ids), dim).astype(np.float64)
+                whole = np.frombuffer(cell("data"), np.int64).reshape(len(ids), dim)
                 if not cell("asks"):
                     order = np.argsort(ids, kind="stable")
-                    ids, data = ids[order], data[order]
+                    ids, whole = ids[order], whole[order]
+                    data = whole.astype(np.float64)
                     length = np.sqrt((data * data).sum(1))
-                    held.append((ids, data, length, data / np.maximum(length, 1e-300)[:, None]))
+                    held.append((ids, whole, data, length, data / np.maximum(length, 1e-300)[:, None]))
                     continue
+                data = whole.astype(np.float64)
                 bound = np.frombuffer(cell("bound"), np.int64)
                 own = np.sqrt((data * data).sum(1))
                 unit = data / np.maximum(own, 1e-300)[:, None]
@@ -122,7 +138,7 @@ def _search(k: int):
                 top_i = np.full((len(ids), k), -1)
                 low = bound.astype(np.float64)  # a score below it cannot be among the best
                 low[bound == none] = -np.inf
-                for c_ids, c_data, c_len, c_unit in held:
+                for c_ids, c_whole, c_data, c_len, c_unit in held:
                     longest = c_len.max()
                     with np.errstate(divide="ignore", invalid="ignore"):
                         local = np.where(own * longest > 0, low / (own * longest), np.where(low > 0, np.inf, -np.inf))
@@ -144,8 +160,10 @@ def _search(k: int):
                     if not any_q.any():
                         continue
                     live, at = live[any_q], np.flatnonzero(any_c)
-                    # whole numbers below 2**53 multiply exactly
-                    score = (data[live] @ c_data[at].T).astype(np.int64)
+                    if own[live].max() * longest < 1 << 53:  # doubles multiply such whole numbers exactly
+                        score = (data[live] @ c_data[at].T).astype(np.int64)
+                    else:
+                        score = whole[live] @ c_whole[at].T
                     score[~mask[any_q][:, at] | (ids[live][:, None] == c_ids[at][None, :])] = none
                     s = np.concatenate([top_s[live], score], 1)
                     i = np.concatenate([top_i[live], np.broadcast_to(c_ids[at], score.shape)], 1)
@@ -164,45 +182,49 @@ def _search(k: int):
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
-    """query_id, rank, vec_id, score: each query's k best; both tables as of ``whole_vectors``.
-
-    Products must stay below 2**53: components up to 2**22 in 512 dimensions do.
-    """
-    stored = save(buckets(vectors), "topk-buckets").withColumn("bound", F.lit(None).cast("binary"))
-    kind = "grp long, seq int, dim int, ids binary, data binary, bound binary"
-    none = -(1 << 63)
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, bucket: int = BUCKET, group: int = GROUP) -> DataFrame:
+    """query_id, rank, vec_id, score: each query's k best; both tables as of ``whole_vectors``."""
+    stored = save(buckets(vectors, bucket, group), "topk-buckets")
+    kind = "grp long, seq int, dim int, least double, ids binary, data binary, bound binary"
 
     def blocks(q: DataFrame) -> DataFrame:
+        """Blocks of queries; ``least``: the least length that a candidate of any of them needs."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             import numpy as np
             held: dict[int, list] = {}
 
             def table(dim: int) -> pa.RecordBatch:
-                ids, data, low = zip(*held.pop(dim))
+                ids, data, low, need = zip(*held.pop(dim))
                 return pa.RecordBatch.from_arrays(
                     [pa.array([None], pa.int64()), pa.array([None], pa.int32()), pa.array([dim], pa.int32()),
+                     pa.array([min(need)], pa.float64()),
                      *[pa.array([np.array(x, np.int64).tobytes()], pa.binary()) for x in (ids, data, low)]],
-                    names=["grp", "seq", "dim", "ids", "data", "bound"])
+                    names=["grp", "seq", "dim", "least", "ids", "data", "bound"])
 
             for b in batches:
-                for i, v, low in zip(*(c.to_pylist() for c in b.columns)):
-                    held.setdefault(len(v), []).append((i, v, none if low is None else low))
+                for i, v, low, need in zip(*(c.to_pylist() for c in b.columns)):
+                    held.setdefault(len(v), []).append((i, v, NONE if low is None else low, need))
                     if len(held[len(v)]) == BLOCK:
                         yield table(len(v))
             for dim in list(held):
                 yield table(dim)
 
-        return q.select("vec_id", "v", "bound").mapInArrow(run, kind)
+        # a score above 0 needs a length; other bounds are reached by any vector
+        need = F.when((F.col("bound") > 0) & (F.col("length") > 0), F.col("bound") / F.col("length")).otherwise(F.lit(0.0))
+        q = q.withColumn("need", need * F.lit(1 - 1e-9))
+        return (q.repartitionByRange(parts(vectors), "dim", "need", "vec_id").sortWithinPartitions("dim", "need")
+                .select("vec_id", "v", "bound", "need").mapInArrow(run, kind))
 
-    groups = save(stored.select("grp", "dim").distinct(), "topk-groups")
-    first = groups.groupBy("dim").agg(F.min("grp").alias("grp"))
+    groups = save(stored.groupBy("grp", "dim").agg(F.max("longest").alias("longest")), "topk-groups")
+    first = groups.groupBy("dim").agg(F.min("grp").alias("grp")).join(groups, ["grp", "dim"])
 
     def search(q: DataFrame, to: DataFrame, copies: int) -> DataFrame:
         cols = ["grp", "copy", "seq", "dim", "ids", "data", "bound"]
+        own = to.select(F.col("dim").alias("d"), "grp", "longest")
         asked = (blocks(q).drop("grp").withColumn("copy", F.pmod(F.xxhash64("ids"), F.lit(copies)).cast("int"))
-                 .join(to.select("dim", "grp"), "dim"))
+                 .join(own, (F.col("dim") == F.col("d")) & (F.col("longest") >= F.col("least"))))
         kept = (stored.join(to.select("grp", "dim"), ["grp", "dim"], "left_semi")
+                .withColumn("bound", F.lit(None).cast("binary"))
                 .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))))
         rows = (kept.select(*cols).withColumn("asks", F.lit(False))
                 .unionByName(asked.select(*cols).withColumn("asks", F.lit(True))))

@@ -290,6 +290,41 @@ def test_top_k(spark):
     assert topk.top_k(w.limit(0), w.limit(0)).count() == 0
 
 
+def check_top_k(spark, v, bucket=topk.BUCKET, group=topk.GROUP):
+    """Every query's rows against all products, for whole vectors."""
+    rows = [(i, [float(x) / 256 for x in v[i]]) for i in range(len(v))]
+    w = topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5))
+    got = {}
+    for r in topk.top_k(w, w.filter("vec_id % 50 = 0"), bucket=bucket, group=group).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    for q in range(0, len(v), 50):
+        s = [sum(int(a) * int(b) for a, b in zip(v[i], v[q])) for i in range(len(v))]
+        want = sorted((-s[i], i) for i in range(len(v)) if i != q)[:5]
+        assert sorted(got.get(q, [])) == [(k + 1, i, -a) for k, (a, i) in enumerate(want)], q
+
+
+@pytest.mark.parametrize("n", [0, 3, 6, 51])
+def test_top_k_of_few_vectors(spark, n):
+    rng = np.random.default_rng(n)
+    check_top_k(spark, rng.integers(-300, 300, (n, 3)))
+
+
+@pytest.mark.parametrize("dim, bucket, group", [(2, 512, 16), (3, 4, 2), (4, 3, 1)])
+def test_top_k_where_pruning_leaves_few(spark, dim, bucket, group):
+    rng = np.random.default_rng(dim)
+    v = rng.normal(size=(1500, dim))
+    v *= (rng.choice([1, 2, 4, 8], len(v)) / np.linalg.norm(v, axis=1))[:, None]
+    check_top_k(spark, np.floor(256 * v).astype(np.int64), bucket, group)
+
+
+def test_top_k_of_long_vectors(spark):
+    rng = np.random.default_rng(3)
+    check_top_k(spark, rng.integers(-(1 << 29), 1 << 29, (120, 4)))
+    far = spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="too long"):
+        topk.whole_vectors(far).collect()
+
+
 def test_fixity(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     records = fixity.page_archives(pages, 20)
