@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixity, html_text, langid, licences, mixing, packing, piecewise, simhash, topk, toxicity
+from . import dialogue, fixity, html_text, langid, lexical, licences, mixing, packing, piecewise, simhash, topk, toxicity
 from .common import read, save
 
 
@@ -62,6 +62,14 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, index).drop("spans")
 
 
+def op12_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogue.repair(dialogue.damaged(read(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id,
     op2_hilbert_packing,
@@ -73,11 +81,14 @@ QUERIES = {f.__name__: f for f in (
     op8_mix_sources,
     op9_toxicity,
     op10_licence_scan,
+    op12_max_sketch_search,
+    op13_conversation_repair,
 )}
 ORACLES = {
     "op5_exact_top_k": topk.ORACLE_SQL,
     "op7_merkle_fixity": fixity.ORACLE_SQL,
     "op8_mix_sources": mixing.ORACLE_SQL,
+    "op12_max_sketch_search": lexical.ORACLE_SQL,
     # base counts only need words and phrases, but labels of the method's own need its index: no SQL for op10
 }
 

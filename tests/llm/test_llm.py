@@ -37,10 +37,10 @@ def none(spark, df):
     return spark.createDataFrame([], df.schema)
 
 
-@pytest.mark.parametrize("key", ["op5_exact_top_k", "op7_merkle_fixity", "op8_mix_sources"])
+@pytest.mark.parametrize("key", ["op5_exact_top_k", "op7_merkle_fixity", "op8_mix_sources", "op12_max_sketch_search"])
 def test_query_matches_sql(spark, key):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = E.queries()[key](spark, SF)
     want = con.execute(E.oracle_sql()[key])
