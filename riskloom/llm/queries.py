@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dialogue, fixity, html_text, langid, lexical, licences, mixing, packing, piecewise, simhash, topk, toxicity
+from . import (dialogue, fixity, html_text, langid, lexical, licences, mixing, packing, pii, piecewise, simhash, topk,
+               toxicity)
 from .common import read, save
 
 
@@ -62,6 +63,10 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(docs, index).drop("spans")
 
 
+def op11_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(read(spark, sf_dir, "documents")))
+
+
 def op12_max_sketch_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -81,6 +86,7 @@ QUERIES = {f.__name__: f for f in (
     op8_mix_sources,
     op9_toxicity,
     op10_licence_scan,
+    op11_bootstrapped_pii,
     op12_max_sketch_search,
     op13_conversation_repair,
 )}
