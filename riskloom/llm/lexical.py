@@ -43,7 +43,7 @@ from .common import save
 from .licences import words
 
 K, ROOM, TERMS = 20, 8, 50_000
-SLICE = 1 << 21  # cells of the table of bounds that a task holds at a time
+SLICE = 1 << 19  # cells of the table of bounds that a task holds at a time
 UNIT = 1_000_000_000
 MOST = 1_000_000  # no impact is higher
 
