@@ -104,7 +104,13 @@ def exact_percentiles(df: DataFrame, group_cols: Sequence[str], value_col: str,
     wanted positions; they are picked by one aggregate with map-side combine.
     Unlike ``percentile`` nothing keeps a whole group's value map in one task,
     and nothing is collected, however many groups there are.
+
+    Rows without weights (and without a fixed number of partitions) go through
+    ``quantiles.refined_percentiles``: sketches first, and no ordering of all values.
     """
+    if weight_col is None and buckets is None:
+        from .quantiles import refined_percentiles
+        return refined_percentiles(df, group_cols, value_col, probs)
     groups = list(group_cols)
     keyed = groups or ["_rl_g"]
     base = df if groups else df.withColumn("_rl_g", F.lit(0))

@@ -58,11 +58,8 @@ def psi_features(df: DataFrame, features: Sequence[str], split_col: str, base: s
     """
     probs = [i / n_bins for i in range(1, n_bins)]
     base_rows = df.where(F.col(split_col) == base)
-    vc = W.value_counts(base_rows.withColumn("_z", F.lit(0)), features, "_z").where(
-        F.col("value").isNotNull())
-    rng = {r["feature"]: (r["mn"], r["mx"]) for r in vc.groupBy("feature").agg(
-        F.min("value").alias("mn"), F.max("value").alias("mx")).collect()}
-    inner = W.inner_edges(W.weighted_percentiles(vc, probs), vc, rng, edge_decimals)
+    found = W.NumericSketch(W.numeric_long(base_rows.withColumn("_z", F.lit(0)), features, "_z"), probs)
+    rng, inner = found.range, found.edges(edge_decimals)
     sel = df.where(F.col(split_col).isin([base, *others])).select(
         F.col(split_col).alias("_split"), *[F.col(f).cast("double").alias(f) for f in features])
     long = sel.unpivot(["_split"], list(features), "feature", "value")

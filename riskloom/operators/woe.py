@@ -1,9 +1,10 @@
 """Binning, weight of evidence and information value for all features at once.
 
-Fit is one aggregation of the training rows to (feature, value, n, n_pos)
-after an ``unpivot``; distinct counts, exact decile edges and bin counts are
-all read off that aggregate, so the raw rows are scanned once whatever the
-number of features.  The fitted encoder is small (at most ``len(probs)+1``
+The training rows are unpivoted to (feature, value, y) and scanned three times
+whatever the number of features: for sketches, for the values near the wanted
+quantiles (``quantiles``) together with all values of features that have few,
+and for the counts of the bins.  Rows are binned before they are aggregated,
+so a task passes on a row per feature and bin and no value.  The fitted encoder is small (at most ``len(probs)+1``
 bins per numeric feature, ``discrete_max`` values per discrete one) and is
 applied as literal expressions: no join, stays in whole-stage codegen.
 Categorical levels are the only part whose size depends on the data; their
@@ -24,12 +25,13 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.expr import count_le, count_lt, dbl, round_half_up
 from ..session import materialize
-from .ordered import exact_percentiles, row_positions
+from . import quantiles as Q
+from .ordered import row_positions
 
+FEW_VALUES = 64  # by estimate; all values of such features are counted
 BROADCAST_LEVELS_MAX = 100_000  # a larger table of levels is joined without a broadcast hint
 SHARE_FLOOR = 1e-6
 TABLE_SCHEMA = ("feature string, type string, bin int, level string, lo double, hi double, n bigint, "
@@ -58,14 +60,14 @@ class CategoryBins:
     """A categorical feature: its levels stay a table, whose size depends on the data."""
 
     feature: str
-    table: DataFrame  # rows of ``Encoder.table``
+    table: DataFrame  # rows of ``Encoder.rows``
     n_bins: int
     first: float  # WoE of bin 0, for levels not seen
     iv: float = 0.0
     kind: str = "categorical"
 
     def _ordered(self, column: str) -> list:
-        return [r[0] for r in sorted(self.table.select(column, "bin").collect(), key=lambda r: r[1])]
+        return [r[0] for r in sorted(self.table.select(column, "level").collect(), key=lambda r: (r[1] is not None, r[1]))]
 
     @property
     def values(self) -> list:
@@ -81,12 +83,22 @@ class CategoryBins:
 @dataclass
 class Encoder:
     bins: dict[str, FeatureBins | CategoryBins]
-    table: DataFrame  # feature, type, bin, level, lo, hi, n, n_pos, n_neg, woe, iv_part
+    rows: DataFrame  # feature, type, bin, level, lo, hi, n, n_pos, n_neg, woe, iv_part; levels have no bin
     convention: str
     closed: str
 
+    @property
+    def table(self) -> DataFrame:
+        """``rows`` with the levels numbered in order, across tasks as they grow with the data."""
+        level = F.col("type") == "categorical"
+        if not any(fb.kind == "categorical" for fb in self.bins.values()):
+            return self.rows
+        ranked = row_positions(self.rows.where(level), ["level"], ["feature"]).withColumn(
+            "bin", (F.col("rn") - 1).cast("int")).select(*TABLE_COLUMNS)
+        return self.rows.where(~level).unionByName(ranked)
+
     def iv_frame(self) -> DataFrame:
-        return self.table.groupBy("feature", "type").agg(F.sum("iv_part").alias("iv"))
+        return self.rows.groupBy("feature", "type").agg(F.sum("iv_part").alias("iv"))
 
 
 def numeric_long(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
@@ -95,12 +107,6 @@ def numeric_long(df: DataFrame, features: Sequence[str], target: str) -> DataFra
     return cast.unpivot(["_y"], list(features), "feature", "value")
 
 
-def value_counts(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """(feature, value, n, n_pos) for all numeric features in one aggregation."""
-    return numeric_long(df, features, target).groupBy("feature", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_y").alias("n_pos"))
-
-
 def level_counts(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     cast = df.select(F.col(target).cast("bigint").alias("_y"),
                      *[F.col(c).cast("string").alias(c) for c in features])
@@ -108,30 +114,51 @@ def level_counts(df: DataFrame, features: Sequence[str], target: str) -> DataFra
         "feature", "level").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("n_pos"))
 
 
-def weighted_percentiles(vc: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Exact percentiles per feature from a (feature, value, n) table."""
-    return exact_percentiles(vc.select("feature", "value", "n"), ["feature"], "value",
-                             probs, weight_col="n", distinct=True)
-
+class NumericSketch:
+    """Range, distinct values and quantiles of numeric features, from two passes over (feature, value).
 
-def inner_edges(quantiles: DataFrame, vc: DataFrame, rng: dict | None = None,
-                decimals: int | None = None) -> dict[str, list[float]]:
-    """Distinct quantiles strictly inside (min, max); collected (bounded).
-
-    ``rng`` maps feature -> (min, max) when the caller already has it;
-    ``decimals`` rounds the edges (half up), e.g. to compare two engines.
+    The first pass sketches all features.  The second keeps the values near
+    the wanted quantiles and all values of the features that have few.
     """
-    if rng is None:
-        rng = {r["feature"]: (r["mn"], r["mx"]) for r in vc.groupBy("feature").agg(
-            F.min("value").alias("mn"), F.max("value").alias("mx")).collect()}
-    out: dict[str, set] = {}
-    for r in quantiles.collect():
-        mn, mx = rng.get(r["feature"], (None, None))
-        q = r["q"]
-        if q is None or mn is None or not (mn < q < mx):
-            continue
-        out.setdefault(r["feature"], set()).add(q if decimals is None else round_half_up(q, decimals))
-    return {k: sorted(v) for k, v in out.items()}
+
+    def __init__(self, long: DataFrame, probs: Sequence[float]):
+        value = F.col("value")
+        self.probs = list(probs)
+        sketches = Q.sketch(long, ["feature"], "value", mn=F.min(value), mx=F.max(value),
+                            k=F.approx_count_distinct(value, 0.02))
+        few = F.col("k") <= FEW_VALUES
+        self.range, self.values, self.quantiles = {}, {}, {}
+        rows = {r["feature"]: r for r in sketches.select("feature", "mn", "mx", "k", few.alias("few")).collect()}
+        self.range = {f: (r["mn"], r["mx"]) for f, r in rows.items()}
+        left = set(rows)
+        for error in Q.ERRORS:
+            again = sketches.where(F.col("feature").isin(sorted(left)))
+            kept = Q.kept_values(long, ["feature"], "value", Q.brackets(again, ["feature"], probs, error, few),
+                                 len(self.probs), {"n_pos": F.col("_y")})
+            for r in Q.pick(kept, ["feature"], probs).collect():
+                found = [r[f"_q{i}"] for i in range(len(self.probs))]
+                if None not in found:
+                    self.quantiles[r["feature"]] = found
+                    left.discard(r["feature"])
+            small = sorted(f for f in rows if rows[f]["few"] and f not in self.values)
+            if small:  # a feature of few values has all of them here: FEW_VALUES and the estimate's error bound the rows
+                for f in small:
+                    self.values[f] = []
+                for r in kept.where(F.col("feature").isin(small) & F.col("_v").isNotNull()).collect():
+                    self.values[r["feature"]].append((r["_v"], r["_c"], r["n_pos"]))
+            if not left:
+                break
+
+    def edges(self, decimals: int | None = None) -> dict[str, list[float]]:
+        """Distinct quantiles strictly inside (min, max); ``decimals`` rounds them
+        (half up), e.g. to compare two engines."""
+        out = {}
+        for f, found in self.quantiles.items():
+            mn, mx = self.range[f]
+            inside = {q if decimals is None else round_half_up(q, decimals) for q in found if mn < q < mx}
+            if inside:
+                out[f] = sorted(inside)
+        return out
 
 
 def _woe_columns(counts: DataFrame, totals: DataFrame, convention: str, floored: str,
@@ -171,6 +198,13 @@ def _class_totals(counts: DataFrame) -> DataFrame:
                                          F.sum(F.col("n") - F.col("n_pos")).alias("_N"))
 
 
+def _totals_of_rows(train: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """``_class_totals`` of features of which every row counts: the same for all."""
+    pos = F.sum(F.col(target).cast("bigint"))
+    all_ = train.agg(F.coalesce(pos, F.lit(0)).alias("_P"), (F.count(F.lit(1)) - F.coalesce(pos, F.lit(0))).alias("_N"))
+    return all_.select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"), "_P", "_N")
+
+
 def _by_feature(cases: dict[str, Column]) -> Column:
     """The expression of the row's feature."""
     out = None
@@ -179,53 +213,34 @@ def _by_feature(cases: dict[str, Column]) -> Column:
     return out
 
 
-def _numeric_counts(vc: DataFrame, numeric: Sequence[str], probs: Sequence[float], discrete_max: int,
-                    closed: str, edge_decimals: int | None) -> tuple[dict, DataFrame]:
-    """Bins of the numeric features and their counts, from (feature, value, n, n_pos)."""
-    spark = vc.sparkSession
-    present = vc.where(F.col("value").isNotNull())
-    stats = {r["feature"]: r for r in present.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("k"), F.min("value").alias("mn"), F.max("value").alias("mx")).collect()}
-    nd = {f: r["k"] for f, r in stats.items()}
-    discrete = [f for f in numeric if 0 < nd.get(f, 0) <= discrete_max]
-    cont = [f for f in numeric if f not in discrete]
+def _numeric_counts(long: DataFrame, numeric: Sequence[str], probs: Sequence[float], discrete_max: int,
+                    closed: str, edge_decimals: int | None) -> tuple[dict, list[tuple]]:
+    """Bins of the numeric features, and rows of ``TABLE_SCHEMA`` up to n_pos, from (feature, value, _y)."""
+    found = NumericSketch(long, probs)
     bins: dict[str, FeatureBins] = {}
-    parts = []
-    if discrete:
-        vals: dict[str, list] = {}
-        known = present.where(F.col("feature").isin(discrete))
-        for r in known.select("feature", "value").collect():
-            vals.setdefault(r["feature"], []).append(r["value"])
-        for f in discrete:
-            bins[f] = FeatureBins(f, "discrete_numeric", values=sorted(vals[f]))
-        place = _by_feature({f: count_lt(F.col("value"), bins[f].values) for f in discrete})
-        parts.append(known.select(
-            "feature", F.lit("discrete_numeric").alias("type"), place.alias("bin"),
-            F.col("value").cast("string").alias("level"), F.col("value").alias("lo"),
-            F.col("value").alias("hi"), "n", "n_pos"))
+    rows = []
+    for f in numeric:
+        values = sorted(found.values.get(f, []))
+        if 0 < len(values) <= discrete_max:
+            bins[f] = FeatureBins(f, "discrete_numeric", values=[v for v, _, _ in values])
+            rows += [(f, "discrete_numeric", i, str(v), v, v, n, pos) for i, (v, n, pos) in enumerate(values)]
+    cont = [f for f in numeric if f not in bins]
     if cont:
-        inside = present.where(F.col("feature").isin(cont))
-        edges = inner_edges(weighted_percentiles(inside, probs), inside,
-                            {f: (r["mn"], r["mx"]) for f, r in stats.items()}, edge_decimals)
+        edges = found.edges(edge_decimals)
         for f in cont:
             bins[f] = FeatureBins(f, "numeric", edges=edges.get(f, []))
         cmp = count_le if closed == "left" else count_lt
         place = _by_feature({f: F.when(F.col("value").isNull(), F.lit(len(bins[f].edges))).otherwise(
             cmp(F.col("value"), bins[f].edges)) for f in cont})
-        got = (vc.where(F.col("feature").isin(cont)).select("feature", place.alias("bin"), "n", "n_pos")
-               .groupBy("feature", "bin").agg(F.sum("n").alias("n"), F.sum("n_pos").alias("n_pos")))
-        spine_rows = []
+        # binned before it is aggregated: a row per feature and bin leaves a task
+        got = {(r["feature"], r["bin"]): (r["n"], r["n_pos"]) for r in long.where(F.col("feature").isin(cont))
+               .select("feature", place.alias("bin"), "_y").groupBy("feature", "bin")
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("n_pos")).collect()}
         for f in cont:
             e = [-math.inf, *bins[f].edges, math.inf]
-            spine_rows += [(f, b, float(e[b]), float(e[b + 1])) for b in range(len(e) - 1)]
-        spine = spark.createDataFrame(spine_rows, "feature string, bin int, lo double, hi double")
-        parts.append(spine.join(got, ["feature", "bin"], "left").select(
-            "feature", F.lit("numeric").alias("type"), "bin", F.lit(None).cast("string").alias("level"),
-            "lo", "hi", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("n_pos", F.lit(0)).alias("n_pos")))
-    counts = parts[0]
-    for p in parts[1:]:
-        counts = counts.unionByName(p)
-    return bins, counts.withColumns({c: F.col(c).cast("bigint") for c in ("n", "n_pos")})
+            rows += [(f, "numeric", i, None, float(e[i]), float(e[i + 1]), *got.get((f, i), (0, 0)))
+                     for i in range(len(e) - 1)]
+    return bins, rows
 
 
 def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = (),
@@ -246,14 +261,10 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
     bins: dict = {}
     full = None
     if numeric:
-        vc = value_counts(train, numeric, target).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            bins, counts = _numeric_counts(vc, numeric, probs, discrete_max, closed, edge_decimals)
-            # features x bins, both bounded by parameters: collected once, kept local
-            known = counts.collect()
-        finally:
-            vc.unpersist()
-        local = spark.createDataFrame([tuple(r) for r in known], counts.schema)
+        bins, known = _numeric_counts(numeric_long(train, numeric, target), numeric, probs, discrete_max,
+                                      closed, edge_decimals)
+        # features x bins, both bounded by parameters: kept local
+        local = spark.createDataFrame(known, TABLE_SCHEMA.split(", n_neg")[0])
         rows = _woe_columns(local, _class_totals(local), convention, floored, woe_decimals).collect()
         by_f: dict[str, list] = {}
         for r in sorted(rows, key=lambda r: (r["feature"], r["bin"])):
@@ -263,17 +274,17 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
             fb.iv = float(sum(r["iv_part"] for r in by_f.get(f, [])))
         full = spark.createDataFrame([tuple(r) for r in rows], TABLE_SCHEMA)
     if categorical:
-        # levels grow with the data: ranked in two levels, written, never collected
-        ranked = row_positions(level_counts(train, categorical, target), ["level"], ["feature"])
-        counts = materialize(ranked.select(
-            "feature", F.lit("categorical").alias("type"), (F.col("rn") - 1).cast("int").alias("bin"), "level",
+        # levels grow with the data: written once, never collected, numbered only where they are shown
+        counts = level_counts(train, categorical, target).select(
+            "feature", F.lit("categorical").alias("type"), F.lit(None).cast("int").alias("bin"), "level",
             F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
-            F.col("n").cast("bigint").alias("n"), F.col("n_pos").cast("bigint").alias("n_pos")), "levels")
-        table = materialize(_woe_columns(counts, _class_totals(counts), convention, floored, woe_decimals),
-                            "encoder")
+            F.col("n").cast("bigint").alias("n"), F.col("n_pos").cast("bigint").alias("n_pos"))
+        # totals per feature come from the rows, so that the counts are made once
+        totals = _totals_of_rows(train, categorical, target)
+        table = materialize(_woe_columns(counts, totals, convention, floored, woe_decimals), "encoder")
         seen = {r["feature"]: r for r in table.groupBy("feature").agg(
             F.count(F.lit(1)).alias("k"), F.sum("iv_part").alias("iv"),
-            F.max(F.when(F.col("bin") == 0, F.col("woe"))).alias("first")).collect()}
+            F.min(F.struct("level", "woe"))["woe"].alias("first")).collect()}
         for f in categorical:
             r = seen.get(f)
             bins[f] = CategoryBins(f, table.where(F.col("feature") == f), r["k"] if r else 0,
