@@ -205,18 +205,10 @@ def _totals_of_rows(train: DataFrame, features: Sequence[str], target: str) -> D
     return all_.select(F.explode(F.array(*[F.lit(f) for f in features])).alias("feature"), "_P", "_N")
 
 
-def _by_feature(cases: dict[str, Column]) -> Column:
-    """The expression of the row's feature."""
-    out = None
-    for f, e in cases.items():
-        out = (F if out is None else out).when(F.col("feature") == f, e)
-    return out
-
-
-def _numeric_counts(long: DataFrame, numeric: Sequence[str], probs: Sequence[float], discrete_max: int,
+def _numeric_counts(train: DataFrame, target: str, numeric: Sequence[str], probs: Sequence[float], discrete_max: int,
                     closed: str, edge_decimals: int | None) -> tuple[dict, list[tuple]]:
-    """Bins of the numeric features, and rows of ``TABLE_SCHEMA`` up to n_pos, from (feature, value, _y)."""
-    found = NumericSketch(long, probs)
+    """Bins of the numeric features, and rows of ``TABLE_SCHEMA`` up to n_pos."""
+    found = NumericSketch(numeric_long(train, numeric, target), probs)
     bins: dict[str, FeatureBins] = {}
     rows = []
     for f in numeric:
@@ -229,13 +221,13 @@ def _numeric_counts(long: DataFrame, numeric: Sequence[str], probs: Sequence[flo
         edges = found.edges(edge_decimals)
         for f in cont:
             bins[f] = FeatureBins(f, "numeric", edges=edges.get(f, []))
+        # binned before it is unpivoted and aggregated: a row per feature and bin leaves a task
         cmp = count_le if closed == "left" else count_lt
-        place = _by_feature({f: F.when(F.col("value").isNull(), F.lit(len(bins[f].edges))).otherwise(
-            cmp(F.col("value"), bins[f].edges)) for f in cont})
-        # binned before it is aggregated: a row per feature and bin leaves a task
-        got = {(r["feature"], r["bin"]): (r["n"], r["n_pos"]) for r in long.where(F.col("feature").isin(cont))
-               .select("feature", place.alias("bin"), "_y").groupBy("feature", "bin")
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("n_pos")).collect()}
+        wide = train.select(F.col(target).cast("bigint").alias("_y"), *[
+            F.when(F.col(f).isNull(), F.lit(len(bins[f].edges))).otherwise(cmp(F.col(f).cast("double"), bins[f].edges))
+            .cast("int").alias(f) for f in cont])
+        got = {(r["feature"], r["bin"]): (r["n"], r["n_pos"]) for r in wide.unpivot(["_y"], cont, "feature", "bin")
+               .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("_y").alias("n_pos")).collect()}
         for f in cont:
             e = [-math.inf, *bins[f].edges, math.inf]
             rows += [(f, "numeric", i, None, float(e[i]), float(e[i + 1]), *got.get((f, i), (0, 0)))
@@ -261,8 +253,7 @@ def fit_encoder(train: DataFrame, numeric: Sequence[str], categorical: Sequence[
     bins: dict = {}
     full = None
     if numeric:
-        bins, known = _numeric_counts(numeric_long(train, numeric, target), numeric, probs, discrete_max,
-                                      closed, edge_decimals)
+        bins, known = _numeric_counts(train, target, numeric, probs, discrete_max, closed, edge_decimals)
         # features x bins, both bounded by parameters: kept local
         local = spark.createDataFrame(known, TABLE_SCHEMA.split(", n_neg")[0])
         rows = _woe_columns(local, _class_totals(local), convention, floored, woe_decimals).collect()
