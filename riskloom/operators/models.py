@@ -10,7 +10,7 @@ a single scoring pass evaluates all of them with the exact rank metrics.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import dbl
 from ..session import cut_lineage
+from . import boosting as B
 from .calibration import prob_losses
 from .rank_metrics import cumulative, rank_summary
 
@@ -228,77 +229,105 @@ def forward_logistic(data: DataFrame, pool: Sequence[str], max_features: int = 1
 
 
 # ---------------------------------------------------------------------------
-# Tree searches (Spark ML fits run concurrently from a driver thread pool)
+# Tree searches: all candidates, folds and weights grow in one chain of passes
 # ---------------------------------------------------------------------------
 
-def _cv_tree_score(data: DataFrame, features: list[str], n_folds: int, alpha: float,
-                   params: dict, pool: ThreadPoolExecutor) -> float:
-    def one(f):
-        tr = data.where(F.col("fold") != f)
-        te = data.where(F.col("fold") == f)
-        m = gbt(tr, features, **params)
-        return predict_proba(m, te, features, ["y"]).withColumn("fold", F.lit(f))
-    parts = list(pool.map(one, range(n_folds)))
-    scored = parts[0]
-    for p_ in parts[1:]:
-        scored = scored.unionByName(p_)
-    crit = combined_criterion(scored, ["fold"], "p", "y", alpha)
-    return float(crit.agg(F.avg("score")).first()[0])
+def fold_scores(data: DataFrame, forest: B.Forest, models: Sequence[int], alpha: float) -> DataFrame:
+    """model, gini, brier_skill, score on the fold that each model did not see (one rank pass for all)."""
+    held = {forest.specs[m].name: forest.specs[m].held_out for m in models}
+    own = F.create_map(*[x for n, f in held.items() for x in (F.lit(n), F.lit(f))])
+    scored = B.score(data, forest, ["y", "fold"], models).where(F.col("fold") == own[F.col("model")])
+    return combined_criterion(scored, ["model"], "p", "y", alpha)
 
 
 def forward_gbt(data: DataFrame, pool: Sequence[str], max_features: int = 10, n_folds: int = 5,
-                alpha: float = 0.5, params: dict | None = None, threads: int = 8) -> list[tuple]:
-    """Greedy forward selection with boosted trees (raw features)."""
-    params = params or {}
-    data = cut_lineage(data.select(*pool, "y", "fold"))
+                alpha: float = 0.5, settings: B.Settings | None = None, key: str = "loan_id") -> list[tuple]:
+    """Greedy forward selection with boosted trees: [(step, feature, score)].
+
+    ``data`` holds the pool features, ``y``, ``fold`` and the row key.  The
+    models of a step (candidates x folds) grow in one chain of passes, over
+    columns that are cut into bins once; the first candidate in pool order
+    wins ties.
+    """
+    pool, settings = list(pool), settings or B.Settings()
+    data = cut_lineage(data.select(key, *pool, "y", "fold"))
+    edges = B.bin_edges(data, pool)
     chosen: list[str] = []
     out = []
-    with ThreadPoolExecutor(max_workers=threads) as ex:
-        for step in range(1, max_features + 1):
-            remaining = [f for f in pool if f not in chosen]
-            if not remaining:
-                break
-            with ThreadPoolExecutor(max_workers=max(1, threads // n_folds)) as outer:
-                scores = list(outer.map(
-                    lambda c: _cv_tree_score(data, chosen + [c], n_folds, alpha, params, ex),
-                    remaining))
-            best_i = int(np.argmax(scores))
-            chosen.append(remaining[best_i])
-            out.append((step, remaining[best_i], scores[best_i]))
+    for step in range(1, max_features + 1):
+        remaining = [f for f in pool if f not in chosen]
+        if not remaining:
+            break
+        specs = [B.Spec(f"{c}/{f}", tuple(pool.index(x) for x in [*chosen, c]), held_out=f)
+                 for c in remaining for f in range(n_folds)]
+        forest = B.grow(data, pool, specs, settings, key, edges)
+        rows = fold_scores(data, forest, range(len(specs)), alpha).select("model", "score").collect()
+        per: dict[str, list] = {}
+        for r in rows:
+            if r["score"] is not None:
+                per.setdefault(r["model"].rsplit("/", 1)[0], []).append(r["score"])
+        best = max((c for c in remaining if c in per), key=lambda c: float(np.mean(per[c])), default=None)
+        if best is None:
+            break
+        chosen.append(best)
+        out.append((step, best, float(np.mean(per[best]))))
     return out
 
 
-def tune_pos_weight(train: DataFrame, test: DataFrame, features: Sequence[str],
-                    weights: Sequence[float], n_folds: int = 3, alpha: float = 0.5,
-                    params: dict | None = None, threads: int = 8) -> list[tuple]:
+def tune_pos_weight(train: DataFrame, test: DataFrame, features: Sequence[str], weights: Sequence[float],
+                    n_folds: int = 3, alpha: float = 0.5, settings: B.Settings | None = None,
+                    key: str = "loan_id") -> list[tuple]:
     """For each class-1 weight: CV combined score on TRAIN folds, train and test
-    Gini of a fit on all TRAIN rows.  Fits run concurrently.  Returns
-    [(weight, cv_score, gini_train, gini_test)]; ``train`` needs a ``fold``."""
-    params = dict(params or {})
-    train = cut_lineage(train.select(*features, "y", "fold"))
-
-    def full(w):
-        m = gbt(train, list(features), pos_weight=w, **params)
-        g = {}
-        for name, d in (("train", train), ("test", test)):
-            sc = predict_proba(m, d, list(features), ["y"])
-            g[name] = rank_summary(cumulative(sc, [], "p", "y"), []).first()["gini"]
-        return g
-
-    with ThreadPoolExecutor(max_workers=threads) as ex:
-        fulls = list(ex.map(full, weights))
-        cvs = [_cv_tree_score(train, list(features), n_folds, alpha,
-                              {**params, "pos_weight": w}, ex) for w in weights]
-    return [(float(w), float(c), float(f["train"]), float(f["test"]))
-            for w, c, f in zip(weights, cvs, fulls)]
-
-
-def evaluate(train_scored: DataFrame, test_scored: DataFrame) -> dict:
-    """Gini, Brier, KS (two-sided) and log-loss of one model on train and test."""
-    out = {}
-    for name, sc in (("train", train_scored), ("test", test_scored)):
-        rk = rank_summary(cumulative(sc, [], "p", "y"), []).first()
-        ls = prob_losses(sc, [], "p", "y").first()
-        out[name] = {"gini": rk["gini"], "ks": rk["ks_two_sided"], "brier": ls["brier"],
-                     "log_loss": ls["log_loss"]}
-    return out
+    Gini of a fit on all TRAIN rows: [(weight, cv_score, gini_train, gini_test)].
+
+    The weights x (folds + 1) models grow in one chain of passes and are
+    scored in one rank pass.  ``train`` needs a ``fold``.
+    """
+    features, settings = list(features), settings or B.Settings()
+    train = cut_lineage(train.select(key, *features, "y", "fold"))
+    every = tuple(range(len(features)))
+    specs = [B.Spec(f"{i}/{f}", every, float(w), f) for i, w in enumerate(weights) for f in [B.NO_FOLD, *range(n_folds)]]
+    forest = B.grow(train, features, specs, settings, key)
+    rows = train.select(*features, "y", "fold").unionByName(
+        test.select(*features, "y", F.lit(B.NO_FOLD).alias("fold")))  # a test row belongs to no fold
+    scored = B.score(rows, forest, ["y", "fold"])
+    name, held = F.substring_index("model", "/", 1), F.substring_index("model", "/", -1).cast("int")
+    part = (F.when(held == F.col("fold"), F.when(held == B.NO_FOLD, "test").otherwise("cv"))
+            .when(held == B.NO_FOLD, "train"))
+    scored = scored.select(name.alias("weight"), part.alias("part"), held.alias("held"), "p", "y").where("part is not null")
+    got: dict = {}
+    for r in combined_criterion(scored, ["weight", "part", "held"], "p", "y", alpha).collect():
+        got.setdefault((int(r["weight"]), r["part"]), []).append(r["score"] if r["part"] == "cv" else r["gini"])
+    mean = lambda i, part: float(np.mean(got[i, part])) if None not in got.get((i, part), [None]) else float("nan")
+    return [(float(w), mean(i, "cv"), mean(i, "train"), mean(i, "test")) for i, w in enumerate(weights)]
+
+
+@dataclass(frozen=True)
+class ModelRecord:
+    """What a model family is fitted on: its name, features, encoder (None: raw columns) and kind."""
+
+    name: str
+    features: tuple[str, ...]
+    encoder: object | None
+    kind: str
+
+
+def evaluate(scored: DataFrame, order: Sequence[str]) -> DataFrame:
+    """A row per model: Gini, Brier, their gaps, test KS and log-loss; is_best by test Gini.
+
+    ``scored`` holds (model, split, p, y) of all models with the splits train
+    and test: one rank pass and one aggregate serve all of them.  ``order`` is
+    that of the rows.
+    """
+    keys = ["model", "split"]
+    rank = rank_summary(cumulative(scored, keys, "p", "y"), keys)
+    both = rank.join(prob_losses(scored, keys, "p", "y"), keys)
+    of = lambda split, c: F.max(F.when(F.col("split") == split, F.col(c)))
+    wide = both.groupBy("model").agg(*[of(s, c).alias(f"{n}_{s}") for s in ("train", "test") for c, n in (
+        ("gini", "gini"), ("brier", "brier"), ("ks_two_sided", "ks"), ("log_loss", "log_loss"))])
+    best = wide.agg(F.max_by("model", F.struct("gini_test", -F.element_at(
+        F.create_map(*[x for i, n in enumerate(order) for x in (F.lit(n), F.lit(i))]), F.col("model")))).alias("best"))
+    return wide.join(best).select(
+        "model", "gini_train", "gini_test", (F.col("gini_train") - F.col("gini_test")).alias("gini_gap"),
+        "brier_train", "brier_test", (F.col("brier_test") - F.col("brier_train")).alias("brier_gap"),
+        "ks_test", F.col("log_loss_test").alias("log_loss"), (F.col("model") == F.col("best")).alias("is_best"))

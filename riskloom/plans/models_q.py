@@ -7,10 +7,14 @@ features, stratified folds, greedy forward search, boosted trees.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession, Window
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import IV_THRESHOLD
+from ..operators import boosting as B
 from ..operators import models as M
 from ..operators import prep as P
 from ..operators import rank_metrics as RM
@@ -274,12 +278,11 @@ def _tree_data(spark, sf):
 def forward_gbt_query(spark, sf):
     """Greedy forward search with boosted trees (100 rounds, depth 4, 5 folds).
 
-    Not registered: at the reference settings it is ~180 boosted fits (about
-    25 minutes on local[8] at sf0.01).  ``operators.models.forward_gbt`` is
-    tested on a small fixture instead.
+    Not registered: a step is a chain of 400 passes, and the search takes a
+    step per feature.  ``operators.models.forward_gbt`` is tested instead.
     """
     tr, test, pool, _ = _tree_data(spark, sf)
-    steps = M.forward_gbt(tr, pool, MAX_FEATURES, N_FOLDS, ALPHA, TREE_SEARCH)
+    steps = M.forward_gbt(tr, pool, MAX_FEATURES, N_FOLDS, ALPHA)
     return rounded(spark.createDataFrame(steps, "step int, feature string, cv_score double"),
                    ["cv_score"])
 
@@ -289,7 +292,7 @@ def q_tune_pos_weight(spark, sf):
     """Class-1 weight search {1, 5, 10, 20, 40, 60}: 3-fold CV score, train/test Gini."""
     tr, test, pool, _ = _tree_data(spark, sf)
     folds3 = stratified_folds(tr.drop("fold"), "y", "loan_id", TUNE_FOLDS, FOLD_SEED)
-    rows = M.tune_pos_weight(folds3, test, pool, POS_WEIGHTS, TUNE_FOLDS, ALPHA, TREE_SEARCH)
+    rows = M.tune_pos_weight(folds3, test, pool, POS_WEIGHTS, TUNE_FOLDS, ALPHA)
     out = spark.createDataFrame(rows, "weight double, cv_score double, gini_train double, "
                                       "gini_test double")
     best = max(rows, key=lambda r: r[1])[0] if rows else None
@@ -321,43 +324,51 @@ def q_gbt_importance(spark, sf):
                    ["importance"])
 
 
-# The two boosted-tree libraries of the reference become two configurations.
-TREE_B = {**TREE_FINAL, "seed": 7}
+def _model_records(prep, train, pool) -> list[M.ModelRecord]:
+    """The four model families: features and encoder of each, as data."""
+    scaled = P.standardize(train.select("loan_id", "y", *pool), pool, population=True)
+    folds = stratified_folds(scaled, "y", "loan_id", N_FOLDS, FOLD_SEED)
+    chosen = tuple(f for _, f, _ in M.forward_logistic(folds, pool, MAX_FEATURES, N_FOLDS, 1.0, ALPHA))
+    enc = S.fit_scorecard_encoder(prep, convention="floor", closed="right", numeric=list(chosen),
+                                  categorical=[], discrete_max=0)
+    return [M.ModelRecord("logit, L2, on WoE", chosen, enc, "l2"), M.ModelRecord("logit, L1, on WoE", chosen, enc, "l1"),
+            # second-order trees on binned columns, and Spark ML's first-order ones
+            M.ModelRecord("Boosted trees A", tuple(pool), None, "second_order"),
+            M.ModelRecord("Boosted trees B", tuple(pool), None, "first_order")]
+
+
+def _scores_of(record: M.ModelRecord, prep, train):
+    """model, split, p, y of one record: fitted on TRAIN, applied to all loans."""
+    split = F.when(F.col("cohort") == "TRAIN", "train").otherwise("test").alias("split")
+    keep, features = ["cohort", "y"], list(record.features)
+    rows, cols = prep.select("loan_id", *keep, *features), features
+    if record.encoder is not None:
+        rows = W.transform(prep, record.encoder, features, keep=keep)
+        cols = [f"woe_{f}" for f in features]
+    if record.kind == "second_order":
+        forest = B.grow(train.select("loan_id", "y", *features).withColumn("fold", F.lit(0)), features,
+                        [B.Spec(record.name, tuple(range(len(features))))], B.Settings(rounds=TREE_FINAL["max_iter"]),
+                        "loan_id")
+        scored = B.score(rows, forest, keep)
+    else:
+        known = rows.where(F.col("cohort") == "TRAIN") if record.encoder is not None else train
+        model = (M.gbt(known, cols, **TREE_FINAL) if record.kind == "first_order"
+                 else M.logistic(known, cols, "y", L1_C if record.kind == "l1" else 1.0, record.kind))
+        scored = M.predict_proba(model, rows, cols, keep)
+    return scored.select(F.lit(record.name).alias("model"), split, "p", "y")
 
 
 @register("model_comparison")
 def q_model_comparison(spark, sf):
     """Gini / Brier train, test and gaps, KS test, log-loss: four models; best by test Gini."""
-    tr, test, pool, prep = _tree_data(spark, sf)
+    prep, train, selected, pool, removed = second_pipeline_pool(spark, sf)
+    needed = [*pool, "loan_id", "cohort", "y", "vintage"]
+    prep = materialize(prep.select(*needed), "model_loans")
     train = S.train_rows(prep)
-    # logistic models on floor-convention WoE of the forward-selected features
-    data, scaled_pool, _ = _scaled_folds(spark, sf)
-    chosen = [f for _, f, _ in M.forward_logistic(data, scaled_pool, MAX_FEATURES, N_FOLDS, 1.0,
-                                                   ALPHA)]
-    enc = S.fit_scorecard_encoder(prep, convention="floor", closed="right", numeric=chosen,
-                                  categorical=[], discrete_max=0)
-    woe_all = W.transform(prep, enc, chosen, keep=["loan_id", "cohort", "y"])
-    wcols = [f"woe_{f}" for f in chosen]
-    wtr = woe_all.where(F.col("cohort") == "TRAIN")
-    wte = woe_all.where(F.col("cohort") != "TRAIN")
-    rows = []
-    fits = [("logit, L2, on WoE", lambda: M.logistic(wtr, wcols, "y", 1.0, "l2"), wcols,
-             wtr, wte),
-            ("logit, L1, on WoE", lambda: M.logistic(wtr, wcols, "y", L1_C, "l1"),
-             wcols, wtr, wte),
-            ("Boosted trees A", lambda: M.gbt(tr, pool, **TREE_FINAL), pool, tr, test),
-            ("Boosted trees B", lambda: M.gbt(tr, pool, **TREE_B), pool, tr, test)]
-    for name, fit, cols, a, b in fits:
-        m = fit()
-        ev = M.evaluate(M.predict_proba(m, a, cols, ["y"]), M.predict_proba(m, b, cols, ["y"]))
-        rows.append((name, ev["train"]["gini"], ev["test"]["gini"],
-                     ev["train"]["gini"] - ev["test"]["gini"], ev["train"]["brier"],
-                     ev["test"]["brier"], ev["test"]["brier"] - ev["train"]["brier"],
-                     ev["test"]["ks"], ev["test"]["log_loss"]))
-    best = max(rows, key=lambda r: r[2])[0]
-    out = spark.createDataFrame(rows, "model string, gini_train double, gini_test double, "
-                                      "gini_gap double, brier_train double, brier_test double, "
-                                      "brier_gap double, ks_test double, log_loss double")
-    m6 = ["gini_train", "gini_test", "gini_gap", "brier_train", "brier_test", "brier_gap",
-          "ks_test", "log_loss"]
-    return rounded(out.withColumn("is_best", F.col("model") == F.lit(best)), m6)
+    records = _model_records(prep, train, pool)
+    with ThreadPoolExecutor(max_workers=len(records)) as ex:  # independent fits side by side
+        parts = list(ex.map(lambda r: _scores_of(r, prep, train), records))
+    scored = materialize(reduce(DataFrame.unionByName, parts), "model_scores")
+    out = M.evaluate(scored, [r.name for r in records])
+    return rounded(out, ["gini_train", "gini_test", "gini_gap", "brier_train", "brier_test", "brier_gap", "ks_test",
+                         "log_loss"])

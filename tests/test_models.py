@@ -81,15 +81,6 @@ def test_newton_offset_hits_target(spark):
     assert abs(np.mean(1 / (1 + np.exp(-z))) - pdf.y.mean()) < 1e-12
 
 
-def test_forward_gbt_small_fixture(spark):
-    """Mechanism check of the tree search on a small fixture (few rounds)."""
-    pdf, df = _data(spark, n=600)
-    steps = M.forward_gbt(df, ["x1", "x2", "x3"], max_features=2, n_folds=3,
-                          params={"max_iter": 3, "max_depth": 2}, threads=4)
-    assert [s[0] for s in steps] == [1, 2]
-    assert len({s[1] for s in steps}) == 2
-
-
 def test_newton_offset_far_targets(spark):
     for p, target in ((0.018, 0.5), (0.98, 0.1), (0.5, 0.999)):
         df = spark.createDataFrame([(p, 0), (p, 1)], "p double, y int")
