@@ -149,11 +149,11 @@ def _first(stored: DataFrame, batch: Batch, k: int) -> DataFrame:
         bound = np.empty((len(batch.items), 0), np.int64)
         ids = np.empty((len(batch.items), 0), object)
         for b in batches:
-            doc, ns, sk = (c.to_pylist() for c in b.columns)
             for a, z in batch.slices(b.num_rows):
-                new = batch.bounds(ns[a:z], sk[a:z]).T
+                doc, ns, sk = (c.to_pylist() for c in b.slice(a, z - a).columns)
+                new = batch.bounds(ns, sk).T
                 bound = np.concatenate([bound, new], 1)
-                ids = np.concatenate([ids, np.broadcast_to(np.array(doc[a:z], object), new.shape)], 1)
+                ids = np.concatenate([ids, np.broadcast_to(np.array(doc, object), new.shape)], 1)
                 if bound.shape[1] > k:
                     top = np.argpartition(-bound, k - 1, axis=1)[:, :k]
                     bound, ids = np.take_along_axis(bound, top, 1), np.take_along_axis(ids, top, 1)
@@ -194,9 +194,11 @@ def _rescore(stored: DataFrame, batch: Batch, thresholds: list[int], k: int) ->
         best: list[list] = [[] for _ in batch.items]
         low = np.array(thresholds, np.int64)
         for b in batches:
-            doc, text, ns, sk = (c.to_pylist() for c in b.columns)
             for a, z in batch.slices(b.num_rows):
-                bound = batch.bounds(ns[a:z], sk[a:z])
+                part = b.slice(a, z - a)
+                doc, ns, sk = (part.column(c).to_pylist() for c in ("doc_id", "n", "sketch"))
+                text = part.column("text")
+                bound = batch.bounds(ns, sk)
                 counts: dict[int, Counter] = {}
                 for i in np.flatnonzero((bound >= low).any(0)):
                     kept = best[i]
@@ -205,10 +207,10 @@ def _rescore(stored: DataFrame, batch: Batch, thresholds: list[int], k: int) ->
                             break
                         r = int(r)
                         if r not in counts:
-                            counts[r] = Counter(words(text[a + r]))
-                        s = batch.score(counts[r], ns[a + r], int(i))
+                            counts[r] = Counter(words(text[r].as_py()))
+                        s = batch.score(counts[r], ns[r], int(i))
                         if s >= low[i]:
-                            d = doc[a + r]
+                            d = doc[r]
                             kept.append((-s, d is None, d))
                             if len(kept) > k:
                                 kept.sort()
