@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import remainder, worker_cache
 
 BUCKETS, CLUSTERS = 8192, 4
 PER_LANGUAGE, ALL_ROWS, MAX_LANGUAGES = 1000, 8000, 1000
@@ -304,6 +304,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache().clear()  # what a worker keeps for other operators
         f = None
         for b in batches:
             f = f or _predictor(model)
@@ -321,6 +322,7 @@ def filter_language(docs: DataFrame, model: dict | None) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache().clear()  # what a worker keeps for other operators
         f = None
         for b in batches:
             f = f or _predictor(model)

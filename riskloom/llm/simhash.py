@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import save, temp
+from .common import save, temp, worker_cache
 from .components import components
 
 WORDS, DISTANCE, SEGMENTS = 4, 4, 3
@@ -71,6 +71,7 @@ def with_fingerprints(docs: DataFrame, words: int = WORDS, name: str = "fp") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
+        worker_cache().clear()  # what a worker keeps for other operators
         for b in batches:
             got = np.array([fingerprint(x.as_py(), words) for x in b.columns[at]], np.uint64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got.view(np.int64))],
@@ -179,11 +180,10 @@ def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, segm
     without any number keeps one row.
     """
     fp = temp("fp")
-    prints = save(with_fingerprints(docs.select("doc_id", "text"), words).select("doc_id", "fp"), "simhash-fp")
-    kept = group(prints, distance, segments)
+    marked = save(with_fingerprints(docs, words, fp), "simhash-marked")  # texts are fingerprinted once
+    kept = group(marked.select("doc_id", F.col(fp).alias("fp")), distance, segments)
     kept = (kept.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root")
             .agg(F.min("fp").alias("k_fp"), F.min("doc_id").alias("k_id")).drop("root"))
-    marked = with_fingerprints(docs, words, fp)
     same = (F.col(fp) == F.col("k_fp")) & F.col("doc_id").eqNullSafe(F.col("k_id"))
     return marked.join(kept, same).dropDuplicates(["k_fp", "k_id"]).select(*docs.columns)
 
