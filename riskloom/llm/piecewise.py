@@ -4,7 +4,10 @@ A rolling hash over the last ``ROLL`` bytes of the text (UTF-8) ends a chunk
 wherever it is ``block - 1`` modulo the block size; each chunk gives one
 character of the signature.  Block sizes are ``LEAST`` times a power of two;
 a text gets the size at which about ``CHARS`` chunks are expected, or a
-smaller one if that gives fewer than half.  A fingerprint holds the signatures
+smaller one if that gives fewer than half and the smaller one enough, or a
+larger one if a signature would have more than ``2 * CHARS`` boundaries.  Signatures span the
+whole text; a text that repeats a short period has boundaries at nearly all
+periods or at none, so its signature may be a single character.  A fingerprint holds the signatures
 at that size and at twice the size: ``size:signature:signature``.
 
 Two fingerprints are compared at a block size that both have: likeness is 1 -
@@ -53,21 +56,26 @@ def fingerprint(text: str | None) -> str:
     while size * CHARS < n:
         size *= 2
 
-    def signature(block: int, most: int) -> str:
-        ends = np.flatnonzero(h % np.uint32(block) == block - 1)[:most - 1].tolist()
+    def ends(block: int):
+        return np.flatnonzero(h % np.uint32(min(block, 0xFFFFFFFF)) == block - 1)
+
+    def signature(block: int) -> str:
         out, start = [], 0
-        for e in ends:
+        for e in ends(block).tolist():
             out.append(_ALPHABET[zlib.crc32(raw[start:e + 1]) >> 26])
             start = e + 1
         if start < n:
             out.append(_ALPHABET[zlib.crc32(raw[start:]) >> 26])
         return "".join(out)
 
-    one = signature(size, CHARS)
-    while size > LEAST and len(one) < CHARS // 2:
-        size //= 2
-        one = signature(size, CHARS)
-    return f"{size}:{one}:{signature(2 * size, CHARS // 2)}"
+    few = size
+    while few > LEAST and len(ends(few)) < CHARS // 2:
+        few //= 2
+    if CHARS // 2 <= len(ends(few)) <= 2 * CHARS:
+        size = few
+    while max(len(ends(size)), len(ends(2 * size))) > 2 * CHARS:
+        size *= 2
+    return f"{size}:{signature(size)}:{signature(2 * size)}"
 
 
 def _squeeze(s: str) -> str:

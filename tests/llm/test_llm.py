@@ -172,6 +172,23 @@ def test_mix(spark, odd, docs):
     assert odd_copies.count() == got.agg(F.sum("copies")).first()[0]
 
 
+def test_mix_draws_with_unequal_probabilities(spark):
+    # one source with half its words to draw: pairs of a short and a long document
+    rows = [(i, "w " * (1 if i % 2 else 31), "a") for i in range(8000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mix_sources(docs, weights=(1,), share=(1, 2)).collect()
+    long_, short = (sum(r.copies for r in got if r["size"] == k) / 4000 for k in (31, 1))
+    total = sum(r["size"] for r in got)
+    assert abs(sum(r.taken for r in got) - total / 2) <= 31
+    # weights 5 and 1, the binary digits of 31 and 1: p = total / 2 * weight / (4000 * (5 * 31 + 1))
+    p = total / 2 / (4000 * 156)
+    assert abs(long_ - 5 * p) < 0.03 and abs(short - p) < 0.03
+    # a weight of the caller's; probabilities of 1 and more are certain copies
+    sure = mixing.mix_sources(docs, weights=(1,), share=(1, 2),
+                              weight=F.when(F.col("doc_id") < 2000, 1_000_000).otherwise(1)).collect()
+    assert all(r.copies == 1 for r in sure if r.doc_id < 2000) and {r.copies for r in sure} == {0, 1}
+
+
 def test_packing(spark, odd, docs):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(packing.tokenizer_path())
@@ -230,6 +247,21 @@ def test_piecewise(spark, odd, docs):
     assert piecewise.fingerprints_with_next(none(spark, odd)).count() == 0
 
 
+def test_piecewise_spans_the_whole_text():
+    r = random.Random(3)
+    prose = "".join(r.choice("abcdefghij  klmnop\n") for _ in range(300_000))
+    for text in (LONG, prose, LONG[:200_000] + prose, prose + LONG[:200_000], "a" * 100_000, "ab", "x"):
+        size, one, two = piecewise.fingerprint(text).split(":")
+        assert 1 <= len(one) <= 2 * piecewise.CHARS + 1 and 1 <= len(two) <= 2 * piecewise.CHARS + 1
+        changed = text[:-1] + "#"  # the last character counts, however many boundaries come before it
+        assert piecewise.fingerprint(text + "# one more passage at the end of it" * 40) != ":".join((size, one, two))
+        assert piecewise.likeness(piecewise.fingerprint(text), piecewise.fingerprint(changed)) <= 1
+    half = len(LONG) // 2
+    assert piecewise.likeness(piecewise.fingerprint(LONG), piecewise.fingerprint(LONG[:half] + prose[:half])) < 1
+    edited = prose[:200_000] + "".join(r.choice("qrstuvw xyz") for _ in range(100_000))
+    assert 0.4 < piecewise.likeness(piecewise.fingerprint(prose), piecewise.fingerprint(edited)) < 0.9
+
+
 def test_bit_parallel_lcs():
     r = random.Random(2)
     for _ in range(200):
