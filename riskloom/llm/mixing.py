@@ -7,7 +7,12 @@ no target is above its limit.  A document of a source whose target is m times
 its size is first taken floor(m) times whole; what is left of the target is a
 sample of fixed size: documents are ranked by random odds over inclusion odds,
 [u / (1 - u)] / [p / (1 - p)], and taken in that order until their words come
-nearest to the rest of the target.
+nearest to the rest of the target.  Inclusion probabilities differ: p is the
+rest of the target times the document's weight over the sum of weight times
+size in its source, so the expected words are the rest.  The weight is the
+number of binary digits of the size (longer documents are likelier) or a
+column of the caller's; a probability of 1 or more makes the copy certain
+(first in order).
 
 Everything is DataFrame functions.  No window runs over all documents of a
 source: ranks are first summed up in ``BINS`` bins a source, the windows run
@@ -82,27 +87,34 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share=(3, 2), most: int =
 
 
 def mix_sources(docs: DataFrame, weights=WEIGHTS, share=(3, 2), most: int = 2,
-                seed: str = "mix:", odds: Column | None = None) -> DataFrame:
+                seed: str = "mix:", weight: Column | None = None) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document, and its copies.
 
-    ``odds``: a positive number a document by which its inclusion odds differ
-    from its source's (default: all alike).
+    ``weight``: a positive whole number a document, in proportion to which its
+    inclusion probability differs from others of its source (default: the
+    binary digits of its size).
     """
     base = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                       (F.lit(1.0) if odds is None else odds.cast("double")).alias("odds"))
+                       *([] if weight is None else [weight.cast("long").alias("draw")]))
+    if weight is None:
+        base = base.withColumn("draw", F.length(F.bin("size")).cast("long"))
     sized = save(base, "mix-sizes")  # the texts are read once
     targets = save(source_targets(sized, weights, share, most), "mix-targets")
-    t = targets.select(F.col("source").alias("t_source"), "source_size", "target")
+    drawn = sized.groupBy(F.col("source").alias("d_source")).agg(F.sum(F.col("draw") * F.col("size")).alias("drawn"))
+    t = (targets.join(drawn, targets["source"].eqNullSafe(drawn["d_source"]))
+         .select(F.col("source").alias("t_source"), "source_size", "target", "drawn"))
     copies = F.col("target") / F.col("source_size")
     whole = F.when(F.col("source_size") > 0, F.floor(copies)).otherwise(F.lit(0)).cast("long")
     u = uniform(F.col("doc_id"), seed)
-    p = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), copies - F.floor(copies)))
-    rank = (u / (1 - u)) / (F.col("odds") * p / (1 - p))
+    left = F.col("target") - (F.col("whole") * F.col("source_size")).cast("double")
+    p = left * F.col("draw").cast("double") / F.col("drawn").cast("double")
+    p = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), p))
+    rank = (u / (1 - u)) / (p / (1 - p))
     cell = F.least(F.lit(BINS - 1), F.floor(F.col("rank") / (1 + F.col("rank")) * BINS)).cast("int")
     ranked = (sized.join(t, sized["source"].eqNullSafe(t["t_source"])).drop("t_source")
               .withColumn("whole", whole)
-              .withColumn("left", F.col("target") - (F.col("whole") * F.col("source_size")).cast("double"))
-              .withColumn("rank", F.when(F.col("source_size") > 0, rank).otherwise(F.lit(0.0)))
+              .withColumn("left", left)
+              .withColumn("rank", F.when(F.col("drawn") > 0, rank).otherwise(F.lit(0.0)))
               .withColumn("bin", cell))
     sums = ranked.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"),
                                                F.first("left").alias("left"))
@@ -191,16 +203,25 @@ t AS (
                    / CAST(CAST(2 * sum(CASE WHEN above THEN 0 ELSE weight END) OVER () AS BIGINT) AS DOUBLE) END AS target
   FROM c),
 r AS (
-  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target, length(bin(d.size)) AS draw,
          CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS whole,
          (CAST(CAST('0x' || substr(md5('mix:' || CAST(d.doc_id AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) + 0.5)
          / CAST(4503599627370496 AS DOUBLE) AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-q AS (
+p AS (
   SELECT *, target - CAST(whole * source_size AS DOUBLE) AS rest,
-         CAST(sum(size) OVER (PARTITION BY source ORDER BY u, doc_id, size
+         CAST(CAST(sum(draw * size) OVER (PARTITION BY source) AS BIGINT) AS DOUBLE) AS drawn
+  FROM r),
+o AS (
+  SELECT *, greatest(CAST(1e-12 AS DOUBLE), least(CAST(1 AS DOUBLE) - CAST(1e-12 AS DOUBLE),
+                     rest * CAST(draw AS DOUBLE) / drawn)) AS p
+  FROM p),
+q AS (
+  SELECT *, CAST(sum(size) OVER (PARTITION BY source
+              ORDER BY CASE WHEN drawn > 0 THEN (u / (CAST(1 AS DOUBLE) - u)) / (p / (CAST(1 AS DOUBLE) - p))
+                            ELSE CAST(0 AS DOUBLE) END, doc_id, size
               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS upto
-  FROM r)
+  FROM o)
 SELECT doc_id, size, source_size, target,
        CAST((whole + CASE WHEN upto <= rest AND rest > 0 THEN 1
                           WHEN upto - size < rest AND upto - rest < rest - (upto - size) THEN 1
