@@ -10,8 +10,11 @@ to the records.  A node has few children, so no task holds an archive.
 Defined results: a record that only one replica has is ``missing`` (from the
 second) or ``extra``; one that differs is ``corrupt``; records without archive
 or offset take no part; a null record has length 0; repeated rows of a leaf
-count once; equal replicas, and empty tables, give no rows; further columns
-are ignored.
+count once; of several records at one archive and offset, those that both
+replicas have are sound, and the others are compared in order of length and
+digest; equal replicas, and empty tables, give no rows; further columns are
+ignored.  Repeated rows of a table of pages are records of their own, at
+offsets one after the other.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import save
 
-RANGE, FAN = 1 << 16, 16
+RANGE, FAN, COPIES = 1 << 16, 16, 4096
 ARCHIVE = 500  # pages in an archive made from a table of pages
 
 
@@ -74,12 +77,21 @@ def audit(first: DataFrame, second: DataFrame) -> DataFrame:
                         .join(under, ["archive", "up"], "left_semi").drop("up"))  # noqa: B023
         open_ = save(_differing(go(a[level]), go(b[level]), ["archive", "idx"], "digest").select("archive", "idx"),
                      "fixity-open")
-    here = lambda t: (t.withColumn("idx", F.floor(F.col("offset") / RANGE))
-                      .join(open_, ["archive", "idx"], "left_semi")
-                      .select("archive", "offset", F.struct("length", "digest").alias("leaf"), "record_id"))
-    x = here(first).select("archive", "offset", F.col("leaf").alias("x"), F.col("record_id").alias("x_id"))
-    y = here(second).select("archive", "offset", F.col("leaf").alias("y"), F.col("record_id").alias("y_id"))
-    pair = x.join(y, ["archive", "offset"], "full_outer").filter(~F.col("x").eqNullSafe(F.col("y")))
+    def here(t: DataFrame) -> DataFrame:
+        return (t.withColumn("idx", F.floor(F.col("offset") / RANGE))
+                .join(open_, ["archive", "idx"], "left_semi")
+                .select("archive", "offset", F.struct("length", "digest").alias("leaf"), "record_id"))
+
+    same = ["archive", "offset", "leaf"]
+    nth = Window.partitionBy("archive", "offset").orderBy("leaf", "record_id")
+
+    def lone(t: DataFrame, other: DataFrame, mark: str) -> DataFrame:
+        """Records that the other replica does not have, numbered where several share an offset."""
+        only = here(t).join(here(other).select(*same), same, "left_anti")
+        return (only.withColumn("nth", F.row_number().over(nth))
+                .select("archive", "offset", "nth", F.col("leaf").alias(mark), F.col("record_id").alias(f"{mark}_id")))
+
+    pair = lone(first, second, "x").join(lone(second, first, "y"), ["archive", "offset", "nth"], "full_outer")
     status = (F.when(F.col("y").isNull(), "missing").when(F.col("x").isNull(), "extra").otherwise("corrupt"))
     return pair.select("archive", "offset", F.coalesce("x_id", "y_id").alias("record_id"), status.alias("status"),
                        F.col("x.digest").alias("expected"), F.col("y.digest").alias("found"))
@@ -102,15 +114,29 @@ def page_archives(pages: DataFrame, archive: int = ARCHIVE) -> DataFrame:
         F.lit("\r\n\r\n"), html, F.lit("\r\n\r\n"))
     made = pages.select(hashed("archive:", F.col("page_id"), n).alias("archive"), F.col("page_id").alias("record_id"),
                         record.alias("text"))
+    # offsets from lengths only; equal rows are one group with a range of offsets
+    same = ["archive", "record_id", "size", "check"]
+    made = made.withColumn("size", F.octet_length("text")).withColumn("check", F.xxhash64("text"))
     upto = Window.partitionBy("archive").orderBy("record_id", "size", "check").rowsBetween(
         Window.unboundedPreceding, -1)
-    # offsets from lengths only; the texts join them by record
-    made = made.withColumn("size", F.octet_length("text")).withColumn("check", F.xxhash64("text"))
-    at = (made.select("archive", "record_id", "size", "check")
-          .withColumn("offset", F.coalesce(F.sum("size").over(upto), F.lit(0)).cast("long")))
-    at = at.select(F.col("record_id").alias("o_id"), F.col("check").alias("o_check"), "offset")
-    return (made.join(at, made["record_id"].eqNullSafe(at["o_id"]) & (made["check"] == at["o_check"]))
-            .select("archive", "offset", "record_id", "text"))
+    at = save(made.groupBy(*same).agg(F.count(F.lit(1)).alias("rows"))
+              .withColumn("offset", F.coalesce(F.sum(F.col("size") * F.col("rows")).over(upto), F.lit(0)).cast("long"))
+              .select(F.col("record_id").alias("o_id"), F.col("check").alias("o_check"), "offset", "rows"),
+              "fixity-offsets")
+
+    def placed(rows: DataFrame, groups: DataFrame) -> DataFrame:
+        return rows.join(groups, rows["record_id"].eqNullSafe(groups["o_id"]) & (rows["check"] == groups["o_check"]))
+
+    out = ["archive", "offset", "record_id", "text"]
+    single = placed(made, at.filter("rows = 1")).select(*out)
+    # one text a group, dealt out again in blocks of copies
+    many = (placed(made, at.filter("rows > 1")).dropDuplicates(same)
+            .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1,
+                                                      F.lit(COPIES).cast("long"))))
+            .repartition("archive", "record_id", "check", "block")
+            .withColumn("k", F.explode(F.sequence("block", F.least(F.col("block") + COPIES, F.col("rows")) - 1)))
+            .withColumn("offset", F.col("offset") + F.col("k") * F.col("size")))
+    return single.unionByName(many.select(*out))
 
 
 def damaged(records: DataFrame, one_in: int = 50) -> DataFrame:
