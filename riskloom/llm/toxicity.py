@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import remainder, worker_cache
 
-BUCKETS, DIM, WINDOW, STRIDE = 1 << 16, 8, 12, 4
+BUCKETS, DIM, WINDOW = 1 << 16, 8, 12
 PER_CLASS, FIT_CHARS, ROUNDS, SEED = 1500, 20_000, 6, 11
 MEMO, EMPTY = 400_000, -8.0
 EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„…"
@@ -109,8 +109,9 @@ def window_means(values, window: int = WINDOW):
 def fit(texts: list[str], labels: list[int], odds: float = 1.0) -> dict | None:
     """Vectors, softmax and calibration from bounded lists.
 
-    ``odds``: how much more frequent class 1 is, against class 0, among all
-    labels than in these lists.
+    Half the log of ``odds`` is added to the calibrated margins; ``train``
+    chooses it so that half the log odds of all its labels count, however
+    many of each class were drawn.
     """
     import numpy as np
     y = np.array(labels, float)
@@ -220,7 +221,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> dict | N
     got = sorted((r.doc_id, r.l_y, r.text) for r in rows.toLocalIterator())
     y = [y for _, y, _ in got]
     few1, few0 = sum(y), len(y) - sum(y)
-    odds = sizes.get(1, 0) / max(1, sizes.get(0, 0)) * few0 / max(1, few1)
+    # half the log odds of all labels count, in place of the sample's own, whatever the table's size
+    odds = sizes.get(1, 0) / max(1, sizes.get(0, 0)) * (few0 / max(1, few1)) ** 2
     return fit([t for *_, t in got], y, odds)
 
 
