@@ -14,12 +14,16 @@ with centroids of the other half of them, and the most that unknown texts do (tr
 centroids of their language, all but one in ``FOREIGN``, and noise of their
 letters, all but one in 100).  Where these overlap, the limit is that of the
 known texts.  Besides whole texts, beginnings of them of all shorter lengths
-take part; a length class with few examples uses the classes around it.
+take part; a length class with few examples uses the classes around it, and a
+small table all it has; without any text to compare (no language has rows in
+both halves) no limit is set.
 
 Document frequencies cover all training rows (labelled and not held out).
 The clustering and the limits are fitted on a bounded sample of them: at most
-``PER_LANGUAGE`` rows a language and ``ALL_ROWS`` rows in all, chosen by a
-hash of the document number, counts of grams only (sparse), on the driver.
+``PER_LANGUAGE`` rows a language and about ``ALL_ROWS`` rows in all, but
+``LEAST_ROWS`` rows of every language (one at least has a letter, if any
+has), chosen by a hash of the document number, counts of grams only (sparse),
+on the driver.  Every language is learned; the sample grows with their number.
 
 Defined results: a null text and one without a letter is ``und`` with score 0
 and rejected; without any training row every text is ``und``; repeated rows
@@ -38,7 +42,7 @@ from pyspark.sql import functions as F
 from .common import remainder, worker_cache
 
 BUCKETS, CLUSTERS = 8192, 4
-PER_LANGUAGE, ALL_ROWS, MAX_LANGUAGES = 1000, 8000, 1000
+PER_LANGUAGE, ALL_ROWS, LEAST_ROWS = 1000, 8000, 16
 TAIL, FOREIGN, EXAMPLES, PIECES = 200, 20, 30, 2000
 UNKNOWN = "und"
 
@@ -159,7 +163,7 @@ def _limits(by: dict[str, list], noise: list, idf, buckets: int, clusters: int):
             random.append(np.column_stack([cosines(noise, centres).max(1), _size(np.array([r[0] for r in noise]))]))
     known, foreign, random = np.array(known).reshape(-1, 2), np.array(foreign).reshape(-1, 2), np.concatenate(random)
     limit = np.zeros(64)
-    if len(known) < EXAMPLES:
+    if not len(known):
         return limit
 
     def near(x, k: int):
@@ -170,7 +174,7 @@ def _limits(by: dict[str, list], noise: list, idf, buckets: int, clusters: int):
         at = near(known, k)
         least, most = at[len(at) // TAIL], 0.0
         for x, one_in in ((foreign, FOREIGN), (random, 100)):
-            if len(x) >= EXAMPLES:
+            if len(x):
                 at = near(x, k)
                 most = max(most, at[-1 - len(at) // one_in])
         limit[k] = least - max(0.0, least - most) / 4
@@ -194,14 +198,16 @@ def train(rows: DataFrame, buckets: int = BUCKETS, clusters: int = CLUSTERS) ->
     """Fit on rows with text and lang (doc_id orders the sample)."""
     import numpy as np
     rows = rows.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return None
-    each = max(1, min(PER_LANGUAGE, ALL_ROWS // len(sizes)))
     scale = 1 << 30
-    share = F.create_map(*[F.lit(v) for r in sizes
-                           for v in (r["lang"], int(min(1.0, each / r["count"]) * scale))])
     draw = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(scale))
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(
+        F.when(F.col("text").rlike(r"\p{L}"), draw)).alias("first")).collect()  # a row a language
+    if not sizes:
+        return None
+    each = max(LEAST_ROWS, min(PER_LANGUAGE, ALL_ROWS // len(sizes)))
+    share = rows.sparkSession.createDataFrame(
+        [(r["lang"], max(int(min(1.0, each / r["count"]) * scale), (r["first"] or 0) + 1)) for r in sizes],
+        "lang string, share long")
     packed = _letters()
     kind = "idx array<int>, cnt array<int>, lang string, letters long, part string, df binary"
     pieces = max(1, -(-sum(min(each, r["count"]) for r in sizes) // PIECES))  # one in so many sampled rows gives them
@@ -232,8 +238,9 @@ def train(rows: DataFrame, buckets: int = BUCKETS, clusters: int = CLUSTERS) ->
         yield table([{"idx": None, "cnt": None, "lang": None, "letters": None, "part": None, "df": df.tobytes()}])
 
     from .common import save
-    got = save(rows.select("text", "lang", (draw < F.coalesce(share[F.col("lang")], F.lit(0))).alias("drawn"),
-                           (F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.lit(pieces)) == 0).alias("cut"))
+    got = save(rows.join(share, "lang")  # a local table of a row a language
+               .select("text", "lang", (draw < F.col("share")).alias("drawn"),
+                       (F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.lit(pieces)) == 0).alias("cut"))
                .mapInArrow(run, kind), "langid-sample")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

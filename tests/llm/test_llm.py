@@ -64,6 +64,25 @@ def test_language(spark, odd, docs):
     assert {x.lang_pred for x in langid.predict(odd, None).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    # a draw of one row a language, in expectation, would leave about a third of them without any
+    monkeypatch.setattr(langid, "ALL_ROWS", 40)
+    monkeypatch.setattr(langid, "LEAST_ROWS", 1)
+    r = random.Random(5)
+    letters = [chr(0x4E00 + k) for k in range(1200)]
+    words = [["".join(r.choice(letters[30 * k:30 * k + 30]) for _ in range(6)) for _ in range(12)] for k in range(40)]
+    rows = [(100 * k + j, " ".join(r.choice(words[k]) for _ in range(60)), f"l{k:02}") for k in range(40)
+            for j in range(1 if k == 7 else 4)] + [
+        (9000 + j, " ".join(words[0]), "l00") for j in range(80)]
+    known = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(known)
+    assert set(model["names"]) == {f"l{k:02}" for k in range(40)}
+    got = langid.predict(known, model).join(known, "doc_id")
+    assert got.filter("lang <> lang_pred").count() == 0
+    foreign = spark.createDataFrame([(1, "zyxw vuts rqpo " * 60, None)], "doc_id long, text string, lang string")
+    assert langid.predict(foreign, model).first().rejected
+
+
 def test_toxicity(spark, odd, docs):
     rng = random.Random(5)
     plain = ["".join(rng.choice("aeioubdfgklmnprst") for _ in range(rng.randint(3, 7))) for _ in range(400)]
@@ -373,6 +392,26 @@ def test_fixity(spark):
     assert [r.length for r in fixity.leaves(null).collect()] == [0]
 
 
+def test_fixity_of_repeated_pages_and_clashing_offsets(spark):
+    rows = [(7, "u", "<p>same</p>")] * 9000 + [(8, "u", "<p>other</p>"), (7, "u", "<p>changed</p>"), (None, None, None),
+                                              (None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = fixity.page_archives(pages, 100_000).collect()
+    assert len(got) == len(rows)
+    at = 0
+    for r in sorted(got, key=lambda r: r.offset):  # gapless: every row has its place
+        assert (r.archive, r.offset) == (0, at)
+        at += len(r.text)
+    leaf = lambda *x: spark.createDataFrame(
+        [(0, o, i, d.encode()) for o, i, d in x], "archive long, offset long, record_id string, record binary")
+    a = fixity.leaves(leaf((0, "a", "A"), (0, "b", "B"), (9, "c", "C")))
+    b = fixity.leaves(leaf((0, "a", "A"), (0, "b", "B"), (9, "c", "D")))
+    bad = fixity.audit(a, b).collect()
+    assert [(r.offset, r.status, r.record_id) for r in bad] == [(9, "corrupt", "c")]
+    more = fixity.leaves(leaf((0, "a", "A"), (9, "c", "C")))
+    assert [(r.offset, r.status, r.record_id) for r in fixity.audit(a, more).collect()] == [(0, "missing", "b")]
+
+
 def test_read_warc(spark, tmp_path):
     body = [b"hello", b"", b"WARC/1.1 inside\r\n\r\nbody"]
     raw = b"".join(b"WARC/1.1\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (i, len(x), x)
