@@ -42,7 +42,8 @@ def _key_columns(order_by: Sequence[str]) -> list[Column]:
 
 def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
                    partition_by: Sequence[str] = (), buckets: int | None = None,
-                   prefix: str = "cum_", totals: Mapping[str, str] | None = None) -> DataFrame:
+                   prefix: str = "cum_", totals: Mapping[str, str] | None = None,
+                   following: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sums of ``sums`` in ``order_by`` order per ``partition_by``.
 
     ``order_by`` lists column names, "-name" for descending.  It must be a
@@ -50,6 +51,10 @@ def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
     add a unique tie-breaker), as for a ROWS window.  A NULL group is a group.
     ``totals`` maps columns of ``sums`` to names under which their sum over
     the whole group is added.  ``buckets`` fixes the number of partitions.
+    ``following`` lists columns whose value in the next row of the group is
+    added as "next_name" (NULL in the last row); across partitions it comes
+    from the next partition's first row, found in the same small table as the
+    offsets.
     """
     part = list(partition_by)
     keys = _key_columns(order_by)
@@ -59,20 +64,26 @@ def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
 
     group = Window.partitionBy(*part)
     before = group.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(*part, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    first = [F.min(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)],
+                            F.struct(*following).alias("row"))).alias("_first")] if following else []
+    sizes = rows.groupBy(*part, BUCKET).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums], *first)
     # written, so that its size is known when the join is planned
     offsets = materialize(sizes.select(
         *part, BUCKET,
         *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums],
-        *[F.sum(f"_t_{c}").over(group).alias(t) for c, t in (totals or {}).items()]), "offsets")
+        *[F.sum(f"_t_{c}").over(group).alias(t) for c, t in (totals or {}).items()],
+        *[F.lead("_first").over(group.orderBy(BUCKET))["row"].alias("_edge") for _ in first]), "offsets")
 
     inside = Window.partitionBy(BUCKET, *part).orderBy(*keys).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    inner = rows.select("*", *[F.sum(c).over(inside).alias(f"_i_{c}") for c in sums])
+    after = [F.lead(F.struct(*following)).over(Window.partitionBy(BUCKET, *part).orderBy(*keys)).alias("_after")
+             ] if following else []
+    inner = rows.select("*", *[F.sum(c).over(inside).alias(f"_i_{c}") for c in sums], *after)
     out = join_null_safe(inner, offsets, [*part, BUCKET])
     return out.select(*df.columns, *[
         (F.col(f"_o_{c}") + F.col(f"_i_{c}")).alias(f"{prefix}{c}") for c in sums],
-        *(totals or {}).values())
+        *(totals or {}).values(),
+        *[F.coalesce("_after", "_edge")[c].alias(f"next_{c}") for c in following])
 
 
 def row_positions(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),

@@ -25,13 +25,17 @@ def score_counts(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> Da
         F.sum(yy).alias("pos"), F.sum(F.lit(1) - yy).alias("neg"))
 
 
-def cumulative(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> DataFrame:
-    """Per distinct score (descending): pos, neg, tp, fp (inclusive), P, N."""
+def cumulative(df: DataFrame, group_cols: Sequence[str], p: str, y: str, following: bool = False) -> DataFrame:
+    """Per distinct score (descending): pos, neg, tp, fp (inclusive), P, N.
+
+    ``following`` adds next_pos and next_neg, the counts of the next lower score.
+    """
     sc = score_counts(df, group_cols, p, y)
     keys = list(group_cols) or ["_rl_g"]
     if not group_cols:
         sc = sc.withColumn("_rl_g", F.lit(0))
-    out = (running_totals(sc, ["-score"], ["pos", "neg"], keys, totals={"pos": "P", "neg": "N"})
+    out = (running_totals(sc, ["-score"], ["pos", "neg"], keys, totals={"pos": "P", "neg": "N"},
+                          following=["pos", "neg"] if following else [])
            .withColumnRenamed("cum_pos", "tp").withColumnRenamed("cum_neg", "fp"))
     return out if group_cols else out.drop("_rl_g")
 
@@ -67,6 +71,29 @@ def roc_points(cum: DataFrame, group_cols: Sequence[str]) -> DataFrame:
                       _ratio(F.col("tp"), F.col("P")).alias("tpr"))
 
 
+def roc_curve(df: DataFrame, group_cols: Sequence[str], p: str, y: str) -> DataFrame:
+    """ROC without points inside a straight run: (threshold, fpr, tpr) per group, with the origin.
+
+    A point goes if the next step has the same counts of both classes as its
+    own, so the curve is kept whole.  The first and the last point stay, and
+    the origin comes before them with threshold NULL (above every score).
+    Rates are NULL in a group without rows of the class.
+    """
+    cum = cumulative(df, group_cols, p, y, following=True)
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    turn = (F.col("next_pos").isNull() | (F.col("next_pos") != F.col("pos"))
+            | (F.col("next_neg") != F.col("neg")))
+
+    def point(score, fp, tp):
+        return F.struct(score.cast("double").alias("threshold"), _ratio(fp, F.col("N")).alias("fpr"),
+                        _ratio(tp, F.col("P")).alias("tpr"))
+
+    here = point(F.col("score"), F.col("fp"), F.col("tp"))
+    zero = F.lit(0).cast("bigint")
+    points = F.when(first, F.array(point(F.lit(None), zero, zero), here)).otherwise(F.array(here))
+    return cum.where(first | turn).select(*group_cols, F.explode(points).alias("_pt")).select(*group_cols, "_pt.*")
+
+
 def decile_table(df: DataFrame, group_cols: Sequence[str], p: str, y: str, key: str,
                  n_groups: int = 10) -> DataFrame:
     """Gain table by decile of row position after a descending sort on p.

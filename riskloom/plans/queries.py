@@ -247,6 +247,20 @@ def q_iv_table(spark, sf):
     return iv_table_frame(_enc(spark, sf))
 
 
+@register("iv_dictionary", lambda: O.base(*O.scorecard_woe_ctes(), "iv AS (" + IV_SQL_TAIL + ")") + """
+SELECT iv.feature, iv.type, iv.iv, iv.iv_rank, v.description FROM iv LEFT JOIN (VALUES """ + ", ".join(
+    f"({O.q(f)}, {O.q(d)})" for f, d in S.DICTIONARY.items()) + """) AS v(feature, description)
+ON iv.feature = v.feature""")
+def q_iv_dictionary(spark, sf):
+    """IV table with the texts of a variable dictionary read from a delimited file."""
+    from ..session import scratch_path
+    from ..sources.files import describe, read_dictionary, write_csv
+    path = write_csv(spark.createDataFrame(list(S.DICTIONARY.items()), "feature string, description string"),
+                     scratch_path(spark, "dictionary"))
+    iv = iv_table_frame(_enc(spark, sf)).select("feature", "type", "iv", "iv_rank")
+    return describe(iv, read_dictionary(spark, path))
+
+
 # ---------------------------------------------------------------------------
 # Step 3: preparation
 # ---------------------------------------------------------------------------
@@ -404,6 +418,19 @@ def q_assign_grade(spark, sf):
     return S.scored_calibrated(spark, sf).select("loan_id", "cohort", "p_cal", "grade")
 
 
+@register("saved_scorecard", lambda: O.base(*O.scored_ctes()) + """
+SELECT loan_id, cohort, p, p_cal, grade FROM gr""")
+def q_saved_scorecard(spark, sf):
+    """Scores of a pipeline that was saved and loaded again."""
+    from pyspark.ml import PipelineModel
+
+    from ..session import scratch_path
+    prep, enc, _, offset = S.fitted(spark, sf)
+    path = scratch_path(spark, "scorecard")
+    S.scoring_pipeline(enc, offset).write().save(path)
+    return PipelineModel.load(path).transform(prep).select("loan_id", "cohort", "p", "p_cal", "grade")
+
+
 @register("grade_table", lambda: O.base(*O.scored_ctes(), """
 spine AS (SELECT s AS split, g AS grade FROM (SELECT unnest(['TRAIN', 'VAL', 'OOT']) AS s),
           (SELECT unnest(""" + "[" + ", ".join(O.q(x) for x in __import__(
@@ -590,6 +617,18 @@ def q_roc_points(spark, sf):
     return rounded(t, ["fpr", "tpr"])
 
 
+@register("roc_curve", lambda: O.base(*O.scored_ctes(), *RANK_CTES, """
+rt AS (SELECT *, lead(pos) OVER w AS next_pos, lead(neg) OVER w AS next_neg,
+      row_number() OVER w AS rn FROM cu WINDOW w AS (PARTITION BY cohort ORDER BY score DESC))""") + """
+SELECT cohort, score AS threshold, round(fp / N, 6) AS fpr, round(tp / P, 6) AS tpr FROM rt
+WHERE rn = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+UNION ALL
+SELECT cohort, CAST(NULL AS DOUBLE), CAST(0 AS DOUBLE), CAST(0 AS DOUBLE) FROM rt WHERE rn = 1""")
+def q_roc_curve(spark, sf):
+    from ..operators.rank_metrics import roc_curve
+    return rounded(roc_curve(_cal(spark, sf), ["cohort"], "p_cal", "y"), ["fpr", "tpr"])
+
+
 @register("score_histogram", lambda: O.base(*O.scored_ctes(), """
 hr AS (SELECT cohort, y AS cls, min(p_cal) AS lo, max(p_cal) AS hi, count(*) AS n FROM gr GROUP BY 1, 2)""",
     """hb AS (SELECT gr.cohort, hr.cls, hr.lo, hr.hi, gr.p_cal,

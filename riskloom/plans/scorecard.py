@@ -45,6 +45,15 @@ CALIBRATION_STEPS = 8
 BAD_PERIOD = 1996
 
 
+# the variable dictionary of the stand-in
+DICTIONARY = {
+    "loan_amount": "Total price of the order", "acctbal": "Account balance of the customer",
+    "n_lines": "Lines of the order", "avg_qty": "Mean quantity of a line", "max_disc": "Largest discount of a line",
+    "avg_tax": "Mean tax of a line", "n_returns": "Returned lines", "loan_to_income": "Amount over balance",
+    "payment_to_income": "Yearly annuity over balance", "segment": "Market segment of the customer",
+    "priority": "Priority of the order"}
+
+
 def derive(df: DataFrame) -> DataFrame:
     """Term, rate, annuity payment, ratios and logs (after imputation)."""
     inc = clip_lower(F.col("acctbal"), 1.0)
@@ -135,6 +144,16 @@ def fitted(spark: SparkSession, sf_dir: str):
     return prep, enc, scored, round(offset, SCORE_DECIMALS)
 
 
+def scoring_pipeline(enc: W.Encoder, offset: float):
+    """The fixed scorecard as a ``PipelineModel``: WoE, score, calibration and grade of prepared loans."""
+    from pyspark.ml import PipelineModel
+
+    from ..operators.saved import ScoreStage, WoeStage
+    weights = {f"_rl_woe_{f}": w for f, w in SCORE_WEIGHTS.items()}
+    return PipelineModel([WoeStage(enc, list(SCORE_WEIGHTS), "_rl_woe_"),
+                          ScoreStage(weights, SCORE_INTERCEPT, offset, decimals=SCORE_DECIMALS)])
+
+
 def scored_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     prep, enc, scored, offset = fitted(spark, sf_dir)
     return graded(calibrated(scored, offset))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -27,6 +28,18 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return r.option("inferSchema", True).csv(path)
 
 
+def read_dictionary(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """Variable dictionary (feature, description): names trimmed, empty ones left out, the least text of repeated ones."""
+    raw = read_csv(spark, path, "feature string, description string", sep)
+    named = raw.select(F.trim("feature").alias("feature"), "description").where("feature <> ''")
+    return named.groupBy("feature").agg(F.min("description").alias("description"))
+
+
+def describe(table: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """``table`` (one row or more a feature) with descriptions; NULL where the dictionary has none."""
+    return table.join(dictionary.select("feature", "description"), "feature", "left")
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Replace a parquet table (the DROP + CREATE TABLE AS of the warehouse)."""
     w = df.write.mode("overwrite")

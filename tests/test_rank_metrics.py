@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators.rank_metrics import (cap_curve, cumulative, decile_table,
-                                             rank_summary, threshold_sweep)
+                                             rank_summary, roc_curve, threshold_sweep)
 
 
 def _scores(spark, n=1200, seed=5):
@@ -129,3 +129,32 @@ def test_null_group_and_group_without_bads_are_kept(spark):
     sweep = R.threshold_sweep(df, ["g"], "p", "y", 11)
     by = {g: sorted(str(r.asDict() | {"g": 0}) for r in sweep.collect() if r.g == g) for g in groups}
     assert by["a"] == by[None]
+
+
+def _roc(y, p):
+    """Points of the curve without those between two equal steps, origin first."""
+    th = np.unique(p)[::-1]
+    pos = np.array([((p == t) & (y == 1)).sum() for t in th])
+    neg = np.array([((p == t) & (y == 0)).sum() for t in th])
+    keep = [i for i in range(len(th)) if i in (0, len(th) - 1) or (pos[i], neg[i]) != (pos[i + 1], neg[i + 1])]
+    tp, fp = np.cumsum(pos), np.cumsum(neg)
+    return [(None, 0.0, 0.0)] + [(th[i], fp[i] / neg.sum(), tp[i] / pos.sum()) for i in keep]
+
+
+@pytest.mark.parametrize("ties", [True, False])
+def test_roc_curve(spark, ties):
+    pdf, df = _scores(spark)
+    if not ties:  # distinct scores: long runs of one class become a single step
+        pdf["p"] = (pdf["id"] * 7919 % 10007) / 10007
+        df = spark.createDataFrame(pdf)
+    got = roc_curve(df, ["grp"], "p", "y").collect()
+    for g, d in pdf.groupby("grp"):
+        want = _roc(d.y.values, d.p.values)
+        rows = sorted((r for r in got if r.grp == g), key=lambda r: -(2.0 if r.threshold is None else r.threshold))
+        assert [r.threshold for r in rows] == [w[0] for w in want]
+        assert np.allclose([(r.fpr, r.tpr) for r in rows], [w[1:] for w in want])
+        full = _auc(d.y.values, d.p.values)
+        assert np.isclose(np.trapezoid([r.tpr for r in rows], [r.fpr for r in rows]), full)
+    one = spark.createDataFrame([(0.5, 1), (0.5, 0), (0.5, 1)], "p double, y int")
+    assert [tuple(r) for r in roc_curve(one, [], "p", "y").collect()] == [(None, 0.0, 0.0), (0.5, 1.0, 1.0)]
+    assert roc_curve(one.limit(0), [], "p", "y").count() == 0
