@@ -30,6 +30,7 @@ from .common import parts, save, worker_cache
 
 LENGTH, END_ID = 1024, 0
 BUCKETS, DIMS, BITS, SEED = 1024, 3, 10, 7
+SPACE = "\u0120"  # how byte-level vocabularies write a space
 MEMO = 1_000_000  # pieces of text whose ids a worker keeps
 
 
@@ -50,6 +51,7 @@ class Encoder:
     def __init__(self, path: str):
         import os
         import re
+        import numpy as np
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -58,13 +60,11 @@ class Encoder:
             raise ValueError("ids must fit in 16 bits")
         self.double = re.compile(r"\s\s")
         self.cut = re.compile(r"(?<=\S)(?=[ \n])")
-        self.marks = self._new([".", ","], literal=True)
+        self.begins = np.zeros(1 << 16, bool)
+        self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token[:1] == SPACE]] = True
+        self.marks = dict(zip(["\r.", "\r,"], self._whole([".", ","])))
         self.kept, self.old = dict(self.marks), {}
 
-    @staticmethod
-    def _text(piece: str) -> str:
-        return piece[1:] if piece[:1] == "\t" else piece if piece[:1] == "\n" else " " + piece
-
     def pieces(self, text: str) -> list[str]:
         """The text's pieces: a word stands for itself after a space, one after a line end
         begins with it, and any other begins with a tab that is not part of it."""
@@ -80,17 +80,45 @@ class Encoder:
             out += rest
         return out
 
-    def _new(self, pieces: list[str], literal: bool = False) -> dict[str, bytes]:
+    @staticmethod
+    def _slices(ids: list[int], starts: list[int]) -> list[bytes]:
+        import numpy as np
+        raw = np.array(ids, "<u2").tobytes()
+        cuts = [2 * x for x in starts] + [len(raw)]
+        return [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts as they stand."""
+        import numpy as np
+        e = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False)
+        return self._slices(e.ids, np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(texts))).tolist())
+
+    def _spaced(self, words: list[str]) -> list[bytes]:
+        """Ids of words after a space, as one text: only a word's first token holds the space."""
         import numpy as np
+        e = self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0]
+        return self._slices(e.ids, np.flatnonzero(self.begins[e.ids]).tolist())
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of ASCII letters after a space: one run of the pattern, so its merges alone decide."""
+        ids: list[int] = []
+        starts = []
+        for x in words:
+            starts.append(len(ids))
+            ids += [t.id for t in self.tokenizer.model.tokenize(SPACE + x)]
+        return self._slices(ids, starts)
+
+    def _new(self, pieces: list[str]) -> dict[str, bytes]:
         made: dict[str, bytes] = {}
-        for a in range(0, len(pieces), 1000):
-            some = pieces[a:a + 1000]
-            e = self.tokenizer.encode(some if literal else [self._text(x) for x in some], is_pretokenized=True,
-                                      add_special_tokens=False)
-            ids = np.array(e.ids, "<u2").tobytes()
-            ends = (np.searchsorted(np.array(e.word_ids, np.int64), np.arange(len(some) + 1)) * 2).tolist()
-            made.update(zip(["\r" + x for x in some] if literal else some,
-                            (ids[x:y] for x, y in zip(ends, ends[1:]))))
+        letters, spaced, whole = [], [], []
+        for x in pieces:
+            (letters if x.isascii() and x.isalpha() else spaced if x and x[0] not in "\t\n" else whole).append(x)
+        for some, ids in ((letters, self._letters), (spaced, self._spaced)):
+            for a in range(0, len(some), 200):
+                made.update(zip(some[a:a + 200], ids(some[a:a + 200]), strict=True))
+        for a in range(0, len(whole), 200):
+            texts = [x[1:] if x[:1] == "\t" else x or " " for x in whole[a:a + 200]]
+            made.update(zip(whole[a:a + 200], self._whole(texts), strict=True))
         return made
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
@@ -98,7 +126,7 @@ class Encoder:
             cut = [self.pieces(t) for t in texts[a:a + 128]]
             if len(self.kept) > MEMO // 2:  # what was not used since the last time goes
                 self.old, self.kept = self.kept, dict(self.marks)
-            new = {x for x in set().union(*cut) if x not in self.kept}
+            new = set().union(*cut).difference(self.kept)
             again = {x for x in new if x in self.old}
             self.kept.update((x, self.old[x]) for x in again)
             new -= again
