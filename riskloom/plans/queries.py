@@ -810,6 +810,47 @@ def q_write_read_table(spark, sf):
                    ["acctbal"])
 
 
+def _catalogue_loans(spark, sf):
+    """A new table of loans in the shared folder, bucketed by loan and partitioned by vintage: name, location, buckets."""
+    import uuid
+    from ..session import scratch_path
+    from ..sources.catalogue import bucket_count, replace_table
+    from ..sources.tables import LOAN_TABLES, table_path
+    name, location = f"loans_{uuid.uuid4().hex[:12]}", scratch_path(spark, "catalogue")
+    buckets = bucket_count(spark, [table_path(sf, t) for t in LOAN_TABLES])
+    loans = loan_view(spark, sf).select("loan_id", "vintage", "loan_amount", "y", F.lit(0).alias("revision"))
+    replace_table(loans, name, location, "loan_id", buckets, ["vintage"])
+    return name, location, buckets
+
+
+@register("bucketed_join", lambda: O.base(prep=False) + f"""
+SELECT loan_id, vintage, y, CAST(sum(l_quantity) AS BIGINT) AS quantity, count(*) AS n_items
+FROM loan JOIN lineitem ON l_orderkey = loan_id
+WHERE vintage IN {O.in_list(S.TRAIN_VINTAGES)} GROUP BY loan_id, vintage, y""")
+def q_bucketed_join(spark, sf):
+    """TRAIN loans with the sums of their lines, from two tables bucketed alike: no exchange, vintages pruned."""
+    from ..sources.catalogue import replace_table
+    from ..sources.tables import read_table as scan
+    name, location, buckets = _catalogue_loans(spark, sf)
+    lines = scan(spark, sf, "lineitem").select(F.col("l_orderkey").alias("loan_id"), "l_quantity")
+    sums = replace_table(lines, f"{name}_lines", location, "loan_id", buckets).groupBy("loan_id").agg(
+        F.sum("l_quantity").cast("bigint").alias("quantity"), F.count(F.lit(1)).alias("n_items"))
+    train = spark.table(name).where(F.col("vintage").isin(S.TRAIN_VINTAGES)).select("loan_id", "vintage", "y")
+    return train.join(sums, "loan_id")
+
+
+@register("replace_partitions", lambda: O.base(prep=False) + f"""
+SELECT loan_id, vintage, y, CASE WHEN vintage IN {O.in_list(S.VAL_VINTAGES)} THEN 1 ELSE 0 END AS revision
+FROM loan WHERE vintage NOT IN {O.in_list(S.VAL_VINTAGES)} OR y = 1""")
+def q_replace_partitions(spark, sf):
+    """The catalogue table after the VAL vintages were replaced by their defaults, the others untouched."""
+    from ..sources.catalogue import replace_partitions
+    name, _, _ = _catalogue_loans(spark, sf)
+    revised = loan_view(spark, sf).where(F.col("vintage").isin(S.VAL_VINTAGES) & (F.col("y") == 1)).select(
+        "loan_id", "vintage", "loan_amount", "y", F.lit(1).alias("revision"))
+    return replace_partitions(revised, name).select("loan_id", "vintage", "y", "revision")
+
+
 METRICS_SCHEMA = ("cohort string, calib_offset double, metrics struct<auc: double, "
                   "gini: double, ks: double, log_loss: double, brier: double, ap: double, "
                   "base_rate: double, psi_vs_train: double>")

@@ -12,7 +12,8 @@ from conftest import SF_SMALL
 TABLES = ["orders", "customer", "lineitem"]
 # representative keys checked on every run; RISKLOOM_FULL=1 checks all oracles
 QUICK = ["loan_view", "iv_table", "woe_bins", "grade_table", "auc_gini", "decile_table",
-         "psi_features", "threshold_sweep", "calibrate_offset", "stratified_folds"]
+         "psi_features", "threshold_sweep", "calibrate_offset", "stratified_folds",
+         "bucketed_join", "replace_partitions"]
 
 
 def _norm(rows, cols):
