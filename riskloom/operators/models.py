@@ -29,38 +29,64 @@ from .rank_metrics import cumulative, rank_summary
 FEATURES_COL = "_rl_features"
 
 
-def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    va = VectorAssembler(inputCols=list(features), outputCol=FEATURES_COL,
-                         handleInvalid="keep")
+ONE_COL = "_rl_one"
+
+
+def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str] = (), constant: bool = False) -> DataFrame:
+    """Feature vectors; with ``constant`` their last component is 1."""
+    cols = list(features)
+    if constant:
+        df, cols = df.withColumn(ONE_COL, F.lit(1.0)), [*cols, ONE_COL]
+    va = VectorAssembler(inputCols=cols, outputCol=FEATURES_COL, handleInvalid="keep")
     return va.transform(df).select(*keep, FEATURES_COL)
 
 
+def _has_constant(model, features: Sequence[str]) -> bool:
+    return model.numFeatures == len(features) + 1
+
+
 def logistic(df: DataFrame, features: Sequence[str], label: str = "y", C: float = 1.0,
-             penalty: str = "l2", n_rows: int | None = None, max_iter: int = 1000):
+             penalty: str = "l2", n_rows: int | None = None, max_iter: int = 1000,
+             penalise_intercept: bool = False):
     """Logistic regression with the objective C * sum(logloss) + penalty(w).
 
     Spark's objective is mean(logloss) + regParam * penalty, so
-    regParam = 1 / (C * n); the intercept is not penalised; no standardisation.
+    regParam = 1 / (C * n); no standardisation.  The intercept is penalised
+    like a weight only if ``penalise_intercept``: then it is the weight of a
+    constant column (``coefficients`` and ``predict_proba`` know such models).
+    Spark leaves out columns without variance, so every row is given twice with
+    half the weight, as it is and with all signs and the label turned: the loss
+    is the same and the column is 1 or -1.
     """
     n = n_rows if n_rows is not None else df.count()
-    data = assemble(df, features, [F.col(label).cast("double").alias("_rl_label")])
-    lr = LogisticRegression(featuresCol=FEATURES_COL, labelCol="_rl_label",
+    target = F.col(label).cast("double")
+    if penalise_intercept:
+        sign = F.col("_rl_sign")
+        rows = df.select(*features, target.alias("_rl_y"), F.explode(F.array(F.lit(1.0), F.lit(-1.0))).alias("_rl_sign"))
+        turned = rows.select(*[(F.col(c) * sign).alias(c) for c in features], sign.alias(ONE_COL),
+                             F.when(sign > 0, F.col("_rl_y")).otherwise(1 - F.col("_rl_y")).alias("_rl_label"),
+                             F.lit(0.5).alias("_rl_weight"))
+        data = assemble(turned, [*features, ONE_COL], ["_rl_label", "_rl_weight"])
+    else:
+        data = assemble(df, features, [target.alias("_rl_label"), F.lit(1.0).alias("_rl_weight")])
+    lr = LogisticRegression(featuresCol=FEATURES_COL, labelCol="_rl_label", weightCol="_rl_weight",
                             regParam=1.0 / (C * max(n, 1)),
                             elasticNetParam=1.0 if penalty == "l1" else 0.0,
-                            standardization=False, fitIntercept=True, maxIter=max_iter,
+                            standardization=False, fitIntercept=not penalise_intercept, maxIter=max_iter,
                             tol=1e-10)
     return lr.fit(data)
 
 
 def coefficients(model, features: Sequence[str]) -> list[tuple[str, float]]:
     coefs = list(model.coefficients.toArray())
-    return [("(intercept)", float(model.intercept))] + [
+    intercept = coefs[-1] if _has_constant(model, features) else model.intercept
+    return [("(intercept)", float(intercept))] + [
         (f, float(c)) for f, c in zip(features, coefs)]
 
 
 def predict_proba(model, df: DataFrame, features: Sequence[str], keep: Sequence[str],
                   p_col: str = "p") -> DataFrame:
-    data = assemble(df, features, keep)
+    data = assemble(df, features, keep, constant=_has_constant(model, features))
     out = model.transform(data)
     return out.select(*keep, vector_to_array("probability")[1].alias(p_col))
 

@@ -1,6 +1,7 @@
 """Model jobs against numpy restatements (Newton logistic, inverse correlation)."""
 
 import numpy as np
+import pytest
 import pandas as pd
 
 from riskloom.operators import models as M
@@ -41,6 +42,32 @@ def test_l2_logistic_matches_newton(spark):
     assert np.allclose(got, w, atol=1e-5)
 
 
+@pytest.mark.parametrize("C", [0.02, 0.1, 1.0])
+def test_l1_with_penalised_intercept_is_at_its_optimum(spark, C):
+    pdf, df = _data(spark)
+    names = ["x1", "x2", "x3"]
+    m = M.logistic(df, names, "y", C=C, penalty="l1", penalise_intercept=True)
+    table = dict(M.coefficients(m, names))
+    w = np.array([table["(intercept)"], *[table[n] for n in names]])
+    x = np.column_stack([np.ones(len(pdf)), pdf[names].to_numpy()])
+    p = 1 / (1 + np.exp(-x @ w))
+    slope = C * (x.T @ (p - pdf.y.to_numpy()))  # of the loss; the penalty's is the sign, or within 1 at zero
+    on = w != 0
+    assert np.allclose(slope[on], -np.sign(w[on]), atol=1e-3)
+    assert (np.abs(slope[~on]) <= 1 + 1e-3).all()
+    got = M.predict_proba(m, df, names, names).toPandas()
+    z = table["(intercept)"] + got[names].to_numpy() @ w[1:]
+    assert np.allclose(got.p, 1 / (1 + np.exp(-z)), atol=1e-12)
+
+
+def test_penalised_intercept_can_be_zero(spark):
+    _, df = _data(spark)
+    m = M.logistic(df, ["x1"], "y", C=1e-6, penalty="l1", penalise_intercept=True)
+    assert M.coefficients(m, ["x1"]) == [("(intercept)", 0.0), ("x1", 0.0)]
+    free = M.logistic(df, ["x1"], "y", C=1e-6, penalty="l1")
+    assert dict(M.coefficients(free, ["x1"]))["(intercept)"] != 0
+
+
 def test_batched_newton_fits_match_numpy(spark):
     pdf, df = _data(spark)
     models = M._fit_all(df, ["x1", "x2", "x3"], {"x2": ["x1", "x2"]}, 5, 1.0)
