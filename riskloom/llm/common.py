@@ -71,6 +71,16 @@ def worker_cache() -> dict:
     return sys.modules[name].__dict__.setdefault("kept", {})
 
 
+def trim_memory() -> None:
+    """Give the pages of freed small objects back to the system, where the C library can (after a fit on the driver)."""
+    import ctypes
+    import gc
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def neighbours(df: DataFrame, deal: list[Column], order: list[Column], rows: Callable, schema: str,
                partitions: int, wrap: bool = False) -> DataFrame:
     """Apply ``rows`` to runs of a globally sorted table.
@@ -165,4 +175,4 @@ def parts(df: DataFrame, least: int = 1) -> int:
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-__all__ = ["by_batch", "neighbours", "parts", "read", "remainder", "save", "temp", "worker_cache"]
+__all__ = ["by_batch", "neighbours", "parts", "read", "remainder", "save", "temp", "trim_memory", "worker_cache"]

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, worker_cache
+from .common import remainder, trim_memory, worker_cache
 
 BUCKETS, CLUSTERS = 8192, 4
 PER_LANGUAGE, ALL_ROWS, LEAST_ROWS = 1000, 8000, 16
@@ -274,6 +274,8 @@ def train(rows: DataFrame, buckets: int = BUCKETS, clusters: int = CLUSTERS) ->
     if not names:
         return None
     limit = _limits(by, noise, idf, buckets, clusters)
+    del by, noise
+    trim_memory()
     return {"idf": idf, "centres": np.concatenate(centres).astype(np.float32), "names": names,
             "limit": limit, "packed": packed, "buckets": buckets}
 

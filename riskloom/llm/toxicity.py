@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder, worker_cache
+from .common import remainder, trim_memory, worker_cache
 
 BUCKETS, DIM, WINDOW = 1 << 16, 8, 12
 PER_CLASS, FIT_CHARS, ROUNDS, SEED = 1500, 20_000, 6, 11
@@ -118,18 +118,20 @@ def fit(texts: list[str], labels: list[int], odds: float = 1.0) -> dict | None:
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(SEED)
-    docs = [split(t) for t in texts]
     vocab: dict[str, int] = {}
-    ids = [np.array([vocab.setdefault(w, len(vocab)) for w in d], np.int64) for d in docs]
+    ids = [np.array([vocab.setdefault(w, len(vocab)) for w in split(t)], np.int32) for t in texts]
     words = list(vocab)
+    del vocab
     if not words:
         return None
-    parts = [grams(words[a:a + 20_000]) for a in range(0, len(words), 20_000)]
-    gram = np.concatenate([g for g, _ in parts])
-    owner = np.concatenate([at + a for a, (_, at) in zip(range(0, len(words), 20_000), parts)])
-    order = np.argsort(owner, kind="stable")
-    gram, owner = gram[order], owner[order]
-    count = np.bincount(owner, minlength=len(words))
+    parts, counts = [], []  # each word's grams, side by side
+    for a in range(0, len(words), 20_000):
+        some = words[a:a + 20_000]
+        g, at = grams(some)
+        parts.append(g[np.argsort(at, kind="stable")].astype(np.int32))
+        counts.append(np.bincount(at, minlength=len(some)))
+    gram, count = np.concatenate(parts), np.concatenate(counts)
+    del words, parts, counts
     first = np.concatenate([[0], np.cumsum(count)])
     vectors = rng.uniform(-1, 1, (BUCKETS, DIM)) / DIM
     softmax = np.zeros((DIM, 2))
@@ -223,7 +225,10 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic") -> dict | N
     few1, few0 = sum(y), len(y) - sum(y)
     # half the log odds of all labels count, in place of the sample's own, whatever the table's size
     odds = sizes.get(1, 0) / max(1, sizes.get(0, 0)) * (few0 / max(1, few1)) ** 2
-    return fit([t for *_, t in got], y, odds)
+    model = fit([t for *_, t in got], y, odds)
+    del got
+    trim_memory()
+    return model
 
 
 def _scorer(model: dict | None):
