@@ -115,22 +115,21 @@ def page_archives(pages: DataFrame, archive: int = ARCHIVE) -> DataFrame:
     made = pages.select(hashed("archive:", F.col("page_id"), n).alias("archive"), F.col("page_id").alias("record_id"),
                         record.alias("text"))
     # offsets from lengths only; equal rows are one group with a range of offsets
-    same = ["archive", "record_id", "size", "check"]
-    made = made.withColumn("size", F.octet_length("text")).withColumn("check", F.xxhash64("text"))
+    same = ["archive", "rid", "no_id", "size", "check"]  # no nulls: the join finds the texts dealt out by these already
+    made = (made.withColumn("size", F.octet_length("text")).withColumn("check", F.xxhash64("text"))
+            .withColumn("rid", F.coalesce(F.col("record_id").cast("string"), F.lit("")))
+            .withColumn("no_id", F.col("record_id").isNull()))
     upto = Window.partitionBy("archive").orderBy("record_id", "size", "check").rowsBetween(
         Window.unboundedPreceding, -1)
-    at = save(made.groupBy(*same).agg(F.count(F.lit(1)).alias("rows"))
+    at = save(made.groupBy(*same, "record_id").agg(F.count(F.lit(1)).alias("rows"))
               .withColumn("offset", F.coalesce(F.sum(F.col("size") * F.col("rows")).over(upto), F.lit(0)).cast("long"))
-              .select(F.col("record_id").alias("o_id"), F.col("check").alias("o_check"), "offset", "rows"),
-              "fixity-offsets")
-
-    def placed(rows: DataFrame, groups: DataFrame) -> DataFrame:
-        return rows.join(groups, rows["record_id"].eqNullSafe(groups["o_id"]) & (rows["check"] == groups["o_check"]))
-
+              .select(*same, "offset", "rows"), "fixity-offsets")
+    # one text a group: texts are shuffled once, for both kinds of groups
+    placed = lambda rows: made.dropDuplicates(same).join(at.filter(rows), same)
     out = ["archive", "offset", "record_id", "text"]
-    single = placed(made, at.filter("rows = 1")).select(*out)
-    # one text a group, dealt out again in blocks of copies
-    many = (placed(made, at.filter("rows > 1")).dropDuplicates(same)
+    single = placed("rows = 1").select(*out)
+    # dealt out again in blocks of copies
+    many = (placed("rows > 1")
             .withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1,
                                                       F.lit(COPIES).cast("long"))))
             .repartition("archive", "record_id", "check", "block")

@@ -392,6 +392,20 @@ def test_fixity(spark):
     assert [r.length for r in fixity.leaves(null).collect()] == [0]
 
 
+def test_fixity_shuffles_texts_once(spark):
+    rows = [(i % 40 if i % 9 else None, f"http://a/{i % 40}", f"<p>{i % 40}</p>" * 9) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are too large
+    try:
+        records = fixity.page_archives(pages, 20)
+        assert len(records.collect()) == 60
+        plan = records._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "SortMergeJoin" in plan and "ReusedExchange" in plan
+
+
 def test_fixity_of_repeated_pages_and_clashing_offsets(spark):
     rows = [(7, "u", "<p>same</p>")] * 9000 + [(8, "u", "<p>other</p>"), (7, "u", "<p>changed</p>"), (None, None, None),
                                               (None, None, None)]
