@@ -127,31 +127,35 @@ def _design(xall: np.ndarray, rows: np.ndarray, pool: list[str], cols: list[str]
     return np.column_stack([np.ones(len(x)), x])
 
 
-def _newton_pass(data: DataFrame, pool: list[str], models: dict, n_folds: int) -> dict:
-    """Gradient and Hessian of sum(logloss) on each model's training folds."""
-    spec = {k: (cols, w.tolist()) for k, (cols, w) in models.items()}
+def _partial_sums(spec: dict, pool: list[str]):
+    """Gradients and Hessians of a task's rows: added up over its batches, a row per number at the end."""
+    at = {key: [0, *(1 + pool.index(c) for c in cols)] for key, (cols, _) in spec.items()}
 
     def partial(it):
+        total: dict = {}
         for pdf in it:
             y = pdf["y"].to_numpy(dtype=float)
             fold = pdf["fold"].to_numpy()
-            xall = pdf[pool].to_numpy(dtype=float)
-            rows = []
-            for (cand, f), (cols, w) in spec.items():
-                m = fold != f
-                if not m.any():
+            xall = np.column_stack([np.ones(len(y)), pdf[pool].to_numpy(dtype=float)])
+            known = {f: (xall[fold != f], y[fold != f]) for f in {f for _, f in spec}}
+            for key, (_, w) in spec.items():
+                x, label = known[key[1]]
+                if not len(x):
                     continue
-                x = _design(xall, m, pool, cols)
+                x = x[:, at[key]]
                 p = 1.0 / (1.0 + np.exp(-(x @ np.asarray(w))))
-                g = x.T @ (p - y[m])
-                h = (x * (p * (1 - p))[:, None]).T @ x
-                vals = np.concatenate([g, h.ravel()])
-                rows.append(pd.DataFrame({"cand": cand, "fold": f,
-                                          "ix": np.arange(len(vals), dtype=np.int32),
-                                          "v": vals}))
-            if rows:
-                yield pd.concat(rows, ignore_index=True)
+                vals = np.concatenate([x.T @ (p - label), ((x * (p * (1 - p))[:, None]).T @ x).ravel()])
+                total[key] = total[key] + vals if key in total else vals
+        if total:
+            yield pd.concat([pd.DataFrame({"cand": cand, "fold": f, "ix": np.arange(len(vals), dtype=np.int32), "v": vals})
+                             for (cand, f), vals in total.items()], ignore_index=True)
+
+    return partial
+
 
+def _newton_pass(data: DataFrame, pool: list[str], models: dict, n_folds: int) -> dict:
+    """Gradient and Hessian of sum(logloss) on each model's training folds."""
+    partial = _partial_sums({k: (cols, w.tolist()) for k, (cols, w) in models.items()}, pool)
     agg = (data.mapInPandas(partial, "cand string, fold int, ix int, v double")
            .groupBy("cand", "fold", "ix").agg(F.sum("v").alias("v")).collect())
     sums: dict = {}

@@ -156,3 +156,17 @@ def test_solver_passes_read_written_rows(spark):
     wide, cols, feats, enc = MQ._woe_design(spark, "/root/testdata/sf0.001")
     plan = wide._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan and "CASE" not in plan and wide.columns == ["loan_id", "cohort", "y", *cols]
+
+
+def test_newton_sums_leave_a_task_once():
+    rng = np.random.default_rng(0)
+    pdf = pd.DataFrame({"a": rng.normal(size=60), "b": rng.normal(size=60), "y": rng.integers(0, 2, 60), "fold": np.arange(60) % 2})
+    spec = {("a", f): (["b", "a"], [0.1, 0.2, 0.3]) for f in range(2)}
+    got = list(M._partial_sums(spec, ["a", "b"])(iter([pdf[:20], pdf[20:21], pdf[21:]])))
+    assert len(got) == 1 and len(got[0]) == 2 * (3 + 9)
+    for f in range(2):
+        r = pdf[pdf.fold != f]
+        x = np.column_stack([np.ones(len(r)), r.b, r.a])
+        p = 1 / (1 + np.exp(-x @ np.array([0.1, 0.2, 0.3])))
+        want = np.concatenate([x.T @ (p - r.y), ((x * (p * (1 - p))[:, None]).T @ x).ravel()])
+        assert np.allclose(got[0][got[0].fold == f].v, want)
