@@ -81,6 +81,13 @@ def trim_memory() -> None:
         trim(0)
 
 
+def free_worker() -> None:
+    """Drop what a worker keeps for other operators, and give the memory back (in a task)."""
+    if worker_cache():
+        worker_cache().clear()
+        trim_memory()
+
+
 def neighbours(df: DataFrame, deal: list[Column], order: list[Column], rows: Callable, schema: str,
                partitions: int, wrap: bool = False) -> DataFrame:
     """Apply ``rows`` to runs of a globally sorted table.
@@ -175,4 +182,4 @@ def parts(df: DataFrame, least: int = 1) -> int:
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-__all__ = ["by_batch", "neighbours", "parts", "read", "remainder", "save", "temp", "trim_memory", "worker_cache"]
+__all__ = ["by_batch", "free_worker", "neighbours", "parts", "read", "remainder", "save", "temp", "trim_memory", "worker_cache"]

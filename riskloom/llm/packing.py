@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts, save, worker_cache
+from .common import free_worker, parts, save, worker_cache
 
 LENGTH, END_ID = 1024, 0
 BUCKETS, DIMS, BITS, SEED = 1024, 3, 10, 7
@@ -176,8 +176,10 @@ def tokenized(docs: DataFrame, path: str, buckets: int = BUCKETS, dims: int = DI
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import math
         import numpy as np
-        encoder = worker_cache().setdefault(("encoder", path), None) or Encoder(path)
-        worker_cache()[("encoder", path)] = encoder
+        encoder = worker_cache().get(("encoder", path))
+        if encoder is None:
+            free_worker()
+            encoder = worker_cache()[("encoder", path)] = Encoder(path)
         rng = np.random.default_rng(SEED)
         bucket = rng.integers(0, buckets, 1 << 16)
         project = rng.standard_normal((buckets, dims))
@@ -209,6 +211,7 @@ def pack(rows: DataFrame, deal: list[Column], order: list[Column], length: int =
         import zlib
         import numpy as np
         from pyspark import TaskContext
+        free_worker()  # the encoder of the stage before and what it keeps
         sequence = TaskContext.get().partitionId() << 40
         held: list[tuple] = []  # pieces (doc_id, start, ids, doc_tokens) of the sequence that is not full
         filled = 0

@@ -392,6 +392,18 @@ def test_fixity(spark):
     assert [r.length for r in fixity.leaves(null).collect()] == [0]
 
 
+def test_packing_leaves_nothing_in_workers(spark):
+    import pyarrow as pa
+    from riskloom.llm import common
+    assert packing.pack_documents(spark.read.parquet(f"{SF}/documents.parquet")).count() > 0
+
+    def kept(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common.worker_cache())], pa.int64())], names=["id"])
+
+    assert {r.id for r in spark.range(0, 64, 1, 16).mapInArrow(kept, "id long").collect()} == {0}
+
+
 def test_fixity_shuffles_texts_once(spark):
     rows = [(i % 40 if i % 9 else None, f"http://a/{i % 40}", f"<p>{i % 40}</p>" * 9) for i in range(60)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
