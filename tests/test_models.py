@@ -170,3 +170,49 @@ def test_newton_sums_leave_a_task_once():
         p = 1 / (1 + np.exp(-x @ np.array([0.1, 0.2, 0.3])))
         want = np.concatenate([x.T @ (p - r.y), ((x * (p * (1 - p))[:, None]).T @ x).ravel()])
         assert np.allclose(got[0][got[0].fold == f].v, want)
+
+
+def _jobs(spark, run):
+    import uuid
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, "test")
+    try:
+        got = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return got, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("penalty", ["l1", "l2"])
+def test_logistic_needs_few_passes_and_reaches_its_optimum(spark, penalty):
+    pdf, df = _data(spark)
+    names = ["x1", "x2", "x3"]
+    m, jobs = _jobs(spark, lambda: M.logistic(df, names, "y", 0.1, penalty, penalise_intercept=True))
+    assert jobs <= 12
+    w = np.array([m.intercept, *m.coefficients.toArray()])
+    x = np.column_stack([np.ones(len(pdf)), pdf[names].to_numpy()])
+    slope = 0.1 * (x.T @ (1 / (1 + np.exp(-x @ w)) - pdf.y.to_numpy()))
+    on = w != 0
+    assert np.abs(slope + (w if penalty == "l2" else np.sign(w)))[on].max() < 1e-8 and (np.abs(slope[~on]) <= 1).all()
+
+
+def test_equal_columns_share_their_weight(spark):
+    _, df = _data(spark)
+    df = df.withColumn("again", df.x1).withColumn("flat", df.x1 * 0)
+    for penalty in ("l1", "l2"):
+        m = M.logistic(df, ["x1", "x3", "again", "flat"], "y", 0.1, penalty, penalise_intercept=penalty == "l1")
+        a, _, b, flat = m.coefficients.toArray()
+        assert a > 0.1 and abs(a - b) < 1e-9 and abs(flat) < 1e-12
+
+
+def test_logistic_of_one_class_of_large_values_and_of_bad_rows(spark):
+    _, df = _data(spark, 200)
+    one = M.logistic(df.where("y = 1"), ["x1"])
+    assert one.intercept == float("inf") and one.coefficients.toArray().tolist() == [0.0]
+    assert {r.p for r in M.predict_proba(one, df, ["x1"], ["id"]).collect()} == {1.0}
+    parted = spark.createDataFrame([(float(i), int(i > 0)) for i in range(-50, 51) if i], "x double, y int")
+    m = M.logistic(parted, ["x"], C=1e4)  # full Newton steps overshoot here
+    assert np.isfinite(m.coefficients[0]) and m.coefficients[0] > 1
+    for bad in (df.selectExpr("if(id = 7, null, x1) x1", "y"), df.where("false")):
+        with pytest.raises(ValueError):
+            M.logistic(bad, ["x1"])
