@@ -58,7 +58,7 @@ def psi_features(df: DataFrame, features: Sequence[str], split_col: str, base: s
     """
     probs = [i / n_bins for i in range(1, n_bins)]
     base_rows = df.where(F.col(split_col) == base)
-    found = W.NumericSketch(W.numeric_long(base_rows.withColumn("_z", F.lit(0)), features, "_z"), probs)
+    found = W.NumericSketch(base_rows.withColumn("_z", F.lit(0)), features, "_z", probs)
     rng, inner = found.range, found.edges(edge_decimals)
     sel = df.where(F.col(split_col).isin([base, *others])).select(
         F.col(split_col).alias("_split"), *[F.col(f).cast("double").alias(f) for f in features])
