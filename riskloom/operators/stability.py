@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import count_lt, dbl, psi_verdict
@@ -33,14 +33,14 @@ def psi_from_shares(df: DataFrame, keys: Sequence[str], expected: str, actual: s
 def psi_grades(df: DataFrame, split_col: str, grade_col: str, base: str,
                others: Sequence[str]) -> DataFrame:
     """PSI of the grade distribution of each ``other`` split against ``base``."""
+    # one scan: the counts are a row per split and grade, shares and the base's share come from windows over them
     cnt = df.groupBy(split_col, grade_col).agg(F.count(F.lit(1)).alias("n"))
-    tot = df.groupBy(split_col).agg(F.count(F.lit(1)).alias("_t"))
-    sh = cnt.join(tot, split_col).withColumn("share", F.col("n") / F.col("_t"))
-    b = sh.where(F.col(split_col) == base).select(grade_col, F.col("share").alias("expected"))
-    o = sh.where(F.col(split_col).isin(list(others))).select(
-        F.col(split_col).alias("actual_split"), grade_col, F.col("share").alias("actual"))
+    share = F.col("n") / F.sum("n").over(Window.partitionBy(split_col))
+    known = cnt.withColumn("actual", share).where(F.col(split_col).isNotNull() & F.col(grade_col).isNotNull())
+    expected = F.max(F.when(F.col(split_col) == base, F.col("actual"))).over(Window.partitionBy(grade_col))
     # grades absent from either side have share 0 and are skipped
-    j = b.join(o, grade_col, "inner")
+    j = known.withColumn("expected", expected).where(
+        F.col(split_col).isin(list(others)) & F.col("expected").isNotNull()).withColumn("actual_split", F.col(split_col))
     return psi_from_shares(j, ["actual_split"], "expected", "actual", "skip").select(
         F.lit(base).alias("expected_split"), "actual_split", "psi")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.expr import nearest_whole, round_double
 from riskloom.operators import woe as W
 from riskloom.operators.rank_metrics import threshold_sweep
+from riskloom.operators.stability import psi_grades
 from riskloom.plans import models_q as MQ
 
 
@@ -40,6 +41,22 @@ def test_threshold_sweep_scans_once(scored):
             assert found[cohort, k] == want
 
 
+def test_psi_grades_scans_once(scored):
+    df, rows = scored
+    got = psi_grades(df, "cohort", "grade", "TRAIN", ["VAL", "OOT"])
+    assert scans(got) == 1
+    found = {r["actual_split"]: r["psi"] for r in got.collect()}
+
+    def share(split, grade):
+        own = [g for c, _, _, g in rows if c == split]
+        return own.count(grade) / len(own)
+
+    assert set(found) == {"VAL", "OOT"}
+    for s in found:
+        want = sum((share(s, g) - share("TRAIN", g)) * math.log(share(s, g) / share("TRAIN", g)) for g in "ABC")
+        assert found[s] == pytest.approx(want, abs=1e-12)
+
+
 def test_woe_and_scores_are_not_written_for_one_scan(spark, monkeypatch):
     written = []
     real = MQ.materialize
