@@ -131,8 +131,9 @@ def link(fps: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS) ->
     centre = (index.groupBy("key").agg(
         F.min(F.when(~F.col("asks"), F.struct("few", "fp"))).alias("c"), F.count("*").alias("n"))
         .filter("n > 1 and c is not null").select("key", F.col("c.fp").alias("centre")))
-    near = index.join(centre, "key").filter((F.col("fp") != F.col("centre"))
-                                            & (_differ("fp", "centre") <= distance))
+    # Spark sizes an index by the table it is made from, a row a fingerprint, but it has dozens: merged, never broadcast
+    near = index.join(centre.hint("merge"), "key").filter((F.col("fp") != F.col("centre"))
+                                                          & (_differ("fp", "centre") <= distance))
     first = save(components(near.select(F.col("fp").alias("a"), F.col("centre").alias("b")), "simhash-stars"),
                  "simhash-first")
     labelled = save(start.drop("label").join(first.select(F.col("node").alias("fp"), F.col("root").alias("r")),
@@ -145,10 +146,10 @@ def link(fps: DataFrame, distance: int = DISTANCE, segments: int = SEGMENTS) ->
         F.min(F.when(~F.col("asks"), F.struct("few", "fp", "label"))).alias("c"),
         F.min("label").alias("lo"), F.max("label").alias("hi"), F.count_if(~F.col("asks")).alias("held"))
         .filter("lo <> hi and held > 1").select("key", F.col("c.label").alias("main")))
-    rows = save(index.join(mixed, "key").select("key", "asks", "fp", "label", "main"), "simhash-mixed")
+    rows = save(index.join(mixed.hint("merge"), "key").select("key", "asks", "fp", "label", "main"), "simhash-mixed")
     other = rows.filter("label <> main").select(
         "key", F.col("asks").alias("asks2"), F.col("fp").alias("fp2"), F.col("label").alias("label2"))
-    pairs = (rows.join(other, (rows["key"] == other["key"]) & (F.col("label") != F.col("label2"))
+    pairs = (rows.join(other.hint("merge"), (rows["key"] == other["key"]) & (F.col("label") != F.col("label2"))
                        & (~F.col("asks") | ~F.col("asks2")) & (_differ("fp", "fp2") <= distance))
              .select(F.col("label").alias("a"), F.col("label2").alias("b")))
     second = components(pairs, "simhash-links").select(F.col("node").alias("label"), F.col("root").alias("r"))

@@ -146,6 +146,33 @@ def test_simhash(spark, odd, docs):
     assert simhash.near_duplicates(none(spark, odd)).count() == 0
 
 
+def _plans(monkeypatch, module):
+    """Spark's plan of every table that ``module`` writes, by name."""
+    got = {}
+
+    def noted(df, name, real=module.save):
+        got[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(module, "save", noted)
+    return got
+
+
+def test_simhash_index_is_not_broadcast(spark, docs, monkeypatch):
+    """Spark sizes the index, dozens of rows a fingerprint, as a table of a row each."""
+    plans = _plans(monkeypatch, simhash)
+    edges = []
+
+    def noted(df, name, real=simhash.components):
+        edges.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, name)
+
+    monkeypatch.setattr(simhash, "components", noted)
+    assert simhash.near_duplicates(docs).count() == docs.count()
+    for plan in (*edges, plans["simhash-mixed"]):
+        assert "SortMergeJoin [key" in plan and "Broadcast" not in plan
+
+
 def test_simhash_links_only_clusters_and_chains(spark):
     rng = random.Random(8)
     fps = [0]
