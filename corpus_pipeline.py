@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from riskloom.llm import langid, mixing, packing, simhash, toxicity
 from riskloom.llm.common import read, save
 
+MEMO = 400_000  # pieces whose ids a worker keeps: less than op2's, as executors have run other stages before
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents near a language's centroid."""
@@ -37,7 +39,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row a piece of a document in a sequence."""
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, memo=MEMO)
 
 
 STAGES = [

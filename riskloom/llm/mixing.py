@@ -99,10 +99,11 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share=(3, 2), most: int = 2,
     if weight is None:
         base = base.withColumn("draw", F.length(F.bin("size")).cast("long"))
     sized = save(base, "mix-sizes")  # the texts are read once
-    targets = save(source_targets(sized, weights, share, most), "mix-targets")
+    targets = source_targets(sized, weights, share, most)
     drawn = sized.groupBy(F.col("source").alias("d_source")).agg(F.sum(F.col("draw") * F.col("size")).alias("drawn"))
-    t = (targets.join(drawn, targets["source"].eqNullSafe(drawn["d_source"]))
-         .select(F.col("source").alias("t_source"), "source_size", "target", "drawn"))
+    # written, a row a source: Spark sizes a join as the product of its sides, and would broadcast the documents instead
+    t = save(targets.join(drawn, targets["source"].eqNullSafe(drawn["d_source"]))
+             .select(F.col("source").alias("t_source"), "source_size", "target", "drawn"), "mix-targets")
     copies = F.col("target") / F.col("source_size")
     whole = F.when(F.col("source_size") > 0, F.floor(copies)).otherwise(F.lit(0)).cast("long")
     u = uniform(F.col("doc_id"), seed)
@@ -166,7 +167,8 @@ def mix_copies(docs: DataFrame, **how) -> DataFrame:
         return docs.join(side, F.col("doc_id").eqNullSafe(F.col("m_id"))
                          & F.col("source").eqNullSafe(F.col("m_source")) & (size == F.col("m_size")))
 
-    single = joined(per.filter("m_more = 0")).withColumn("n", F.col("m_least"))
+    # a row a document, a few bytes in its file and dozens on the driver: never broadcast
+    single = joined(per.filter("m_more = 0").hint("merge")).withColumn("n", F.col("m_least"))
     # at most one such group a source
     nth = Window.partitionBy("m_id", "m_source", "m_size").orderBy("text")
     more = (joined(F.broadcast(per.filter("m_more > 0"))).withColumn("k", F.row_number().over(nth))

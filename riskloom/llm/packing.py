@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_worker, parts, save, worker_cache
+from .common import free_worker, parts, save, trim_memory, worker_cache
 
 LENGTH, END_ID = 1024, 0
 BUCKETS, DIMS, BITS, SEED = 1024, 3, 10, 7
@@ -48,7 +48,7 @@ class Encoder:
     full stop is a token run of its own.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memo: int | None = None):
         import os
         import re
         import numpy as np
@@ -64,6 +64,7 @@ class Encoder:
         self.begins[[i for token, i in self.tokenizer.get_vocab().items() if token[:1] == SPACE]] = True
         self.marks = dict(zip(["\r.", "\r,"], self._whole([".", ","])))
         self.kept, self.old = dict(self.marks), {}
+        self.memo = MEMO if memo is None else memo
 
     def pieces(self, text: str) -> list[str]:
         """The text's pieces: a word stands for itself after a space, one after a line end
@@ -124,7 +125,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for a in range(0, len(texts), 128):
             cut = [self.pieces(t) for t in texts[a:a + 128]]
-            if len(self.kept) > MEMO // 2:  # what was not used since the last time goes
+            if len(self.kept) > self.memo // 2:  # what was not used since the last time goes
                 self.old, self.kept = self.kept, dict(self.marks)
             new = set().union(*cut).difference(self.kept)
             again = {x for x in new if x in self.old}
@@ -171,15 +172,20 @@ def hilbert(points, bits: int = BITS):
     return key
 
 
-def tokenized(docs: DataFrame, path: str, buckets: int = BUCKETS, dims: int = DIMS, bits: int = BITS) -> DataFrame:
-    """doc_id, ids (16-bit numbers as bytes, end id included), place on the curve."""
+def tokenized(docs: DataFrame, path: str, buckets: int = BUCKETS, dims: int = DIMS, bits: int = BITS,
+              memo: int | None = None) -> DataFrame:
+    """doc_id, ids (16-bit numbers as bytes, end id included), place on the curve.
+
+    ``memo``: pieces of text whose ids a worker keeps (fewer: less memory, more time, the same ids).
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import math
         import numpy as np
-        encoder = worker_cache().get(("encoder", path))
+        encoder = worker_cache().get(("encoder", path, memo))
         if encoder is None:
-            free_worker()
-            encoder = worker_cache()[("encoder", path)] = Encoder(path)
+            worker_cache().clear()
+            trim_memory()  # also what tasks of other operators left behind
+            encoder = worker_cache()[("encoder", path, memo)] = Encoder(path, memo)
         rng = np.random.default_rng(SEED)
         bucket = rng.integers(0, buckets, 1 << 16)
         project = rng.standard_normal((buckets, dims))
@@ -268,9 +274,9 @@ def pack(rows: DataFrame, deal: list[Column], order: list[Column], length: int =
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH,
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, memo: int | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every piece."""
-    rows = save(tokenized(docs, path or tokenizer_path()), "packing-ids")  # texts are encoded once
+    rows = save(tokenized(docs, path or tokenizer_path(), memo=memo), "packing-ids")  # texts are encoded once
     deal = [F.col("place"), F.xxhash64("doc_id")]
     return pack(rows, deal, [*deal, F.col("doc_id"), F.col("ids")], length, partitions)
 

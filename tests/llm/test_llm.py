@@ -173,6 +173,16 @@ def test_simhash_index_is_not_broadcast(spark, docs, monkeypatch):
         assert "SortMergeJoin [key" in plan and "Broadcast" not in plan
 
 
+def test_mix_does_not_broadcast_documents(spark, docs, monkeypatch):
+    many = docs.crossJoin(spark.range(20)).withColumn("doc_id", F.col("doc_id") * 20 + F.col("id")).drop("id")
+    plans = _plans(monkeypatch, mixing)
+    got = mixing.mix_copies(many)
+    for name in ("mix-bins", "mix"):  # the small table of sources is
+        assert "BroadcastHashJoin" in plans[name] and "BuildLeft" not in plans[name]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1  # the few groups that the sample splits
+
+
 def test_simhash_links_only_clusters_and_chains(spark):
     rng = random.Random(8)
     fps = [0]
@@ -261,6 +271,13 @@ def test_packing(spark, odd, docs):
     assert packing.pack_documents(none(spark, odd)).count() == 0
 
 
+def test_small_memo_gives_the_same_ids():
+    texts = [" ".join(f"word{i * j % 97}x{j}," for j in range(50)) for i in range(300)]
+    few, many = packing.Encoder(packing.tokenizer_path(), 400), packing.Encoder(packing.tokenizer_path())
+    assert list(few.encode(texts)) == list(many.encode(texts))
+    assert few.memo == 400 and len(few.old) and many.memo == packing.MEMO and not many.old
+
+
 def test_encoder_and_curve():
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(packing.tokenizer_path())
