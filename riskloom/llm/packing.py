@@ -66,6 +66,10 @@ class Encoder:
         self.kept, self.old = dict(self.marks), {}
         self.memo = MEMO if memo is None else memo
 
+    def forget(self) -> None:
+        """Drop the ids of pieces."""
+        self.kept, self.old = dict(self.marks), {}
+
     def pieces(self, text: str) -> list[str]:
         """The text's pieces: a word stands for itself after a space, one after a line end
         begins with it, and any other begins with a tab that is not part of it."""
@@ -176,7 +180,8 @@ def tokenized(docs: DataFrame, path: str, buckets: int = BUCKETS, dims: int = DI
               memo: int | None = None) -> DataFrame:
     """doc_id, ids (16-bit numbers as bytes, end id included), place on the curve.
 
-    ``memo``: pieces of text whose ids a worker keeps (fewer: less memory, more time, the same ids).
+    ``memo``: pieces of text whose ids a worker keeps, here to the end of a task only, as workers that idle
+    keep theirs too (less memory, more time, the same ids).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import math
@@ -204,6 +209,9 @@ def tokenized(docs: DataFrame, path: str, buckets: int = BUCKETS, dims: int = DI
                 yield pa.RecordBatch.from_arrays(
                     [some.columns[0], pa.array(ids, pa.binary()), pa.array(hilbert(cell.astype(np.int64), bits))],
                     names=["doc_id", "ids", "place"])
+        if memo is not None:
+            encoder.forget()
+            trim_memory()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, ids binary, place long")
 

@@ -276,6 +276,8 @@ def test_small_memo_gives_the_same_ids():
     few, many = packing.Encoder(packing.tokenizer_path(), 400), packing.Encoder(packing.tokenizer_path())
     assert list(few.encode(texts)) == list(many.encode(texts))
     assert few.memo == 400 and len(few.old) and many.memo == packing.MEMO and not many.old
+    few.forget()
+    assert len(few.kept) == 2 and not few.old and list(few.encode(texts)) == list(many.encode(texts))
 
 
 def test_encoder_and_curve():
